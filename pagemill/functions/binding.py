@@ -16,6 +16,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def only(value: Column, keep: Callable[[Column], Column]) -> Column:
+    """``value`` where ``keep`` holds, no row otherwise; use in a select.
+
+    A filter on a computed column is pushed below the projection that computes it, which
+    then runs twice. A generator is not crossed, so the value is computed once.
+    """
+    return F.explode(F.filter(F.array(value), keep))
+
+
 def empty_array(element_ddl: str) -> Column:
     return F.array().cast(f"array<{element_ddl}>")
 

@@ -32,12 +32,15 @@ LANGUAGE_WORDS: dict[str, tuple[str, ...]] = {
 def best_label(tokens: Column, words: Mapping[str, tuple[str, ...]]) -> Column:
     """Label with most tokens in its word list; the alphabetically first wins a tie, NULL if none hits."""
 
+    def hits(arr: Column, own: tuple[str, ...]) -> Column:
+        return F.size(F.filter(arr, lambda token: token.isin(*own)))
+
     def score(arr: Column) -> Column:
         # array_max takes the later rank on equal hits, so the first label gets the last rank
         ranked = F.array(
             *[
                 F.struct(
-                    F.size(F.filter(arr, lambda t, own=own: t.isin(*own))).alias("hits"),
+                    hits(arr, own).alias("hits"),
                     F.lit(rank).alias("rank"),
                     F.lit(label).alias("label"),
                 )

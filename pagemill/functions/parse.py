@@ -115,7 +115,7 @@ def pdf_text(content: Column, image_prefix: Column | None = None) -> Column:
             F.lit(PAGE_HEIGHT) - last["y"],
         )
         return _element(
-            i, _role(first["size"]), F.array_join(F.transform(block, lambda l: l["text"]), " "), None, box, first["page"]
+            i, _role(first["size"]), F.array_join(block["text"], "\n"), None, box, first["page"]
         )
 
     def document(shows: Column) -> Column:

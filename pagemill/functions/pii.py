@@ -18,7 +18,7 @@ from pyspark.sql import Column, functions as F
 from .binding import let
 from .text import stars
 
-_NAME = r"\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}\.)?(?:[ \n]\p{Lu}[\p{L}'\-]{1,40}){1,2}"
+_NAME = r"\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}\.)?[ \n]\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}[\p{L}'\-]{1,40})?"
 _CODE = r"[A-Za-z0-9\-]{0,20}[0-9][A-Za-z0-9\-]{0,20}"
 _DATE = r"[0-9]{1,4}[/.\-][0-9]{1,2}[/.\-][0-9]{1,4}"
 _FIRM = r"\p{Lu}[\p{L}&\-]{1,40}(?: \p{Lu}[\p{L}&\-]{1,40}){0,4}"

@@ -7,17 +7,26 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify, crypto, text
+from ..functions.binding import only
 from ..schemas import CATEGORIES, PARSED
 
 Parser = Callable[[Column], Column]
 
 
 def opened(files: DataFrame, key: bytes, on_error: str = "fail") -> DataFrame:
-    """Files with ``content`` decrypted. ``on_error="quarantine"`` leaves out what cannot be opened."""
+    """Files with ``content`` decrypted.
+
+    What cannot be opened fails the job (``fail``), is left out (``quarantine``) or keeps
+    its row with NULL content (``mark``).
+    """
     if on_error == "fail":
         return files.withColumn("content", crypto.decrypt_bytes(F.col("content"), key))
-    plain = files.withColumn("content", crypto.try_decrypt_bytes(F.col("content"), key))
-    return plain.filter(F.col("content").isNotNull())
+    if on_error == "mark":
+        return files.withColumn("content", crypto.try_decrypt_bytes(F.col("content"), key))
+    if on_error != "quarantine":
+        raise ValueError(f"on_error must be fail, quarantine or mark, not {on_error!r}")
+    plain = only(crypto.try_decrypt_bytes(F.col("content"), key), lambda c: c.isNotNull())
+    return files.select(*[c for c in files.columns if c != "content"], plain.alias("content"))
 
 
 def quarantined(files: DataFrame, key: bytes) -> DataFrame:
@@ -49,7 +58,7 @@ def parsed(
         F.col("path").alias("file_path"),
         F.col("length").alias("file_size"),
         classify.by_name(name, tuple(labels)).alias("document_type"),
-        parser(F.col("content")).alias("parsed_doc"),
+        F.when(F.col("content").isNotNull(), parser(F.col("content"))).alias("parsed_doc"),
         F.current_timestamp().alias("ingested_at"),
     )
 
@@ -72,6 +81,13 @@ def unsealed_docs(stored: DataFrame, key: bytes) -> DataFrame:
     )
 
 
+def failed(stored: DataFrame) -> DataFrame:
+    """Rows of the stored documents that ``mark`` kept without a parse."""
+    return stored.filter(F.col("encrypted_parsed_doc").isNull()).select(
+        "file_name", "file_path", "file_size", "document_type", "ingested_at"
+    )
+
+
 def explode_elements(docs: DataFrame) -> DataFrame:
     """One row per element in clear; a document without any keeps one row of NULLs.
 

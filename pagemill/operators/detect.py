@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import pii
-from ..functions.binding import empty_array
+from ..functions.binding import empty_array, only
 from ..functions.text import not_blank
 from ..schemas import ENTITY
 
@@ -24,7 +24,7 @@ def entity_rows(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def entity_counts(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Entities per page, for the pages that have any; no grouping, the page knows its own."""
-    return pages.select(*keys, F.size("entities").cast("bigint").alias("n_entities")).filter("n_entities > 0")
+    return pages.select(*keys, only(F.size("entities").cast("bigint"), lambda n: n > 0).alias("n_entities"))
 
 
 def answered(response: Column) -> Column:
@@ -63,7 +63,8 @@ def prompt(text: Column, classes: Sequence[str] = pii.ORDER) -> Column:
 
 def detection_input(pages: DataFrame, keys: Sequence[str], text: str = "page_content") -> DataFrame:
     """What goes to a model: pages that are not blank, with their prompt."""
-    return pages.filter(not_blank(F.col(text))).select(*keys, text, prompt(F.col(text)).alias("prompt"))
+    filled = pages.select(*keys, only(F.col(text), not_blank).alias(text))
+    return filled.withColumn("prompt", prompt(F.col(text)))
 
 
 def attach_entities(pages: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,71 +10,71 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import empty_array, let
+from ..functions.binding import empty_array, let, only
 from ..functions.text import token_key, words
 
-PLACED = "STRUCT<ent: INT, start: INT, n: INT>"
+# Stands for a taken word while matching; no cleaned token holds these characters.
+_TAKEN = "*"
 
-# A used word in the haystack: no cleaned token can equal it.
-_USED = "*"
 
+def matches(page_words: Column, entities: Column, repeat: bool = False, loose: bool = False) -> Column:
+    """What each word belongs to: array of (ent, offset) beside the words, NULL for a free word.
 
-def place(page_words: Column, entities: Column, repeat: bool = False) -> Column:
-    """Where each entity sits: array of (ent, start, n), in entity order.
+    The page is held as one text ``<w1><w2>..`` of cleaned words, an entity likewise, so a
+    run of words is found by plain string search. A taken word is overwritten with its
+    entity and offset, hence the first hit is always the first free run, and entities are
+    served in list order. With ``repeat`` an entity takes every free run, else the first.
+    The cost is one pass over the page per entity; nothing is paired up.
 
-    The page is held as its cleaned words with one blank around each. The tokens of an
-    entity, written the same way, are then found by plain string search, and the first
-    hit is the first run of free words, because used words are overwritten. With
-    ``repeat`` an entity takes every free run, otherwise the first only.
+    Tokens are compared without most punctuation, but dots and hyphens count, so the last
+    word of a sentence is not found. ``loose`` leaves them out at the ends of a token.
     """
 
-    def needle(entity: Column) -> Column:
-        return F.transform(words(entity["original"]), token_key)
-
-    def found(acc: Column, ent: Column, tokens: Column) -> Column:
-        probe = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
-        n = F.size(tokens)
-
-        def take(at: Column) -> Column:
-            before = F.left(acc["hay"], at)
-            start = F.length(F.regexp_replace(before, "[^ ]+", "")) - 1
-            hay = F.concat(before, F.repeat(F.lit(_USED + " "), n), F.substr(acc["hay"], at + F.length(probe)))
-            return F.struct(
-                hay.alias("hay"),
-                F.concat(
-                    acc["placed"], F.array(F.struct(ent.alias("ent"), start.alias("start"), n.alias("n")).cast(PLACED))
-                ).alias("placed"),
-            )
-
-        return let(F.instr(acc["hay"], probe), lambda at: F.when((n > 0) & (at > 0), take(at)).otherwise(acc))
-
-    def every(hay: Column) -> Column:
-        # an entity can occur at most as often as the page has words for it
-        def rounds(tokens: Column, text: Column) -> Column:
-            probe = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
-            times = F.floor((F.length(text) - F.length(F.replace(text, probe, F.lit("")))) / F.length(probe)) * 2 + 1
-            return F.when(F.size(tokens) > 0, times).otherwise(0).cast("int")
-
-        return rounds, hay
-
-    start = F.struct(
-        F.concat(F.lit(" "), F.array_join(F.transform(page_words, token_key), " "), F.lit(" ")).alias("hay"),
-        empty_array(PLACED).alias("placed"),
-    )
-    jobs = F.transform(entities, lambda e, i: F.struct(i.alias("ent"), needle(e).alias("tokens")))
+    def compared(token: Column) -> Column:
+        bare = token_key(token)
+        return F.regexp_replace(bare, r"^[.\-]+|[.\-]+$", "") if loose else bare
+
+    def held(tokens: Column) -> Column:
+        return F.array_join(F.transform(tokens, lambda t: F.concat(F.lit("<"), compared(t), F.lit(">"))), "")
+
+    def take(hay: Column, job: Column) -> Column:
+        probe, taken = job["probe"], job["taken"]
+        if repeat:
+            return F.when(probe == "", hay).otherwise(F.replace(hay, probe, taken))
+        return let(
+            F.when(probe == "", F.lit(0)).otherwise(F.instr(hay, probe)),
+            lambda at: F.when(
+                at > 0, F.concat(F.left(hay, at - 1), taken, F.substr(hay, at + F.length(probe)))
+            ).otherwise(hay),
+        )
 
-    def one(acc: Column, job: Column) -> Column:
-        return found(acc, job["ent"], job["tokens"])
+    def job(entity: Column, ent: Column) -> Column:
+        return let(
+            words(entity["original"]),
+            lambda tokens: F.struct(
+                held(tokens).alias("probe"),
+                F.array_join(
+                    F.transform(
+                        tokens, lambda t, j: F.concat(F.lit("<" + _TAKEN), ent, F.lit(":"), j, F.lit(">"))
+                    ),
+                    "",
+                ).alias("taken"),
+            ),
+        )
 
-    def all_runs(acc: Column, job: Column) -> Column:
-        rounds, hay = every(acc["hay"])
-        times = rounds(job["tokens"], hay)
-        return F.aggregate(F.array_repeat(job, times), acc, one)
+    def owner(token: Column) -> Column:
+        mark = F.split(F.substr(token, F.lit(2)), ":", -1)
+        return F.when(
+            token.startswith(_TAKEN),
+            F.struct(F.get(mark, F.lit(0)).cast("int").alias("ent"), F.get(mark, F.lit(1)).cast("int").alias("offset")),
+        )
 
+    hay = F.aggregate(F.transform(entities, job), held(page_words), take)
+    inner = let(hay, lambda h: F.substr(h, F.lit(2), F.length(h) - 2))
     return F.when(
         (F.size(entities) > 0) & (F.size(page_words) > 0),
-        F.aggregate(jobs, start, all_runs if repeat else one, lambda acc: acc["placed"]),
-    ).otherwise(empty_array(PLACED))
+        F.transform(F.split(inner, "><", -1), owner),
+    )
 
 
 def split_mask(masked: Column, run: Column) -> Column:
@@ -101,14 +101,19 @@ def split_mask(masked: Column, run: Column) -> Column:
 
 
 def with_redactions(
-    pages: DataFrame, page_words: str = "words", repeat: bool = False, keep_punctuation: bool = False
+    pages: DataFrame,
+    page_words: str = "words",
+    repeat: bool = False,
+    loose: bool = False,
+    keep_punctuation: bool = False,
 ) -> DataFrame:
-    """Pages with ``redactions``: (ent, start, masks) per placed entity, by position.
+    """Pages with ``redactions`` beside the words: (ent, masked, category), NULL for a free word.
 
-    ``repeat=False`` masks the first run of an entity only; ``keep_punctuation`` leaves
-    what is attached to the ends of a word ("Miller," -> "******,").
+    NULL as a whole where the page has no entity. ``repeat=False`` masks the first run of
+    an entity only; ``keep_punctuation`` leaves what is attached to the ends of a word
+    ("Miller," -> "******,").
     """
-    placed = pages.withColumn("placed", place(F.col(page_words), F.col("entities"), repeat))
+    matched = pages.withColumn("matched", matches(F.col(page_words), F.col("entities"), repeat, loose))
 
     def kept(word: Column, mask: Column) -> Column:
         lead = F.regexp_extract(word, r"^[^\p{L}\p{N}_@.\-]*", 0)
@@ -116,81 +121,62 @@ def with_redactions(
         core = F.regexp_replace(F.regexp_replace(mask, r"^[^\p{L}\p{N}_@.*\-]+", ""), r"[^\p{L}\p{N}_@.*\-]+$", "")
         return F.when(lead == word, word).otherwise(F.concat(lead, core, tail))
 
-    def redaction(p: Column) -> Column:
-        run = F.slice(F.col(page_words), p["start"] + 1, p["n"])
-        entity = F.get(F.col("entities"), p["ent"])
-        masks = split_mask(entity["masked"], run)
+    def redaction(match: Column, pos: Column) -> Column:
+        entity = F.get(F.col("entities"), match["ent"])
+        run = F.slice(F.col(page_words), pos - match["offset"] + 1, F.size(words(entity["original"])))
+        mask = F.get(split_mask(entity["masked"], run), match["offset"])
         if keep_punctuation:
-            masks = F.zip_with(run, masks, kept)
-        return F.struct(
-            p["start"].alias("start"),
-            p["ent"].alias("ent"),
-            p["n"].alias("n"),
-            entity["category"].alias("category"),
-            masks.alias("masks"),
+            mask = kept(F.get(F.col(page_words), pos), mask)
+        return F.when(
+            match.isNotNull(),
+            F.struct(match["ent"].alias("ent"), mask.alias("masked"), entity["category"].alias("category")),
         )
 
-    return placed.withColumn("redactions", F.array_sort(F.transform("placed", redaction))).drop("placed")
+    return matched.withColumn("redactions", F.transform("matched", redaction)).drop("matched")
 
 
 def redaction_rows(pages: DataFrame, keys: Sequence[str], page_words: str = "words") -> DataFrame:
     """One row per masked word."""
-    runs_ = pages.select(*keys, page_words, F.explode("redactions").alias("r"))
-    return runs_.select(
-        *keys, page_words, "r.start", "r.ent", "r.category", F.posexplode("r.masks").alias("offset", "masked")
-    ).select(
-        *keys,
-        "ent",
-        (F.col("start") + F.col("offset")).alias("pos"),
-        F.get(F.col(page_words), F.col("start") + F.col("offset")).alias("original_word"),
-        "masked",
-        "category",
+    hits = pages.select(*keys, page_words, F.posexplode("redactions").alias("pos", "r")).filter("r IS NOT NULL")
+    return hits.select(
+        *keys, "r.ent", "pos", F.get(F.col(page_words), F.col("pos")).alias("original_word"), "r.masked", "r.category"
     )
 
 
 def redaction_boxes(pages: DataFrame, keys: Sequence[str], boxes: str = "boxes", page_words: str = "words") -> DataFrame:
     """``redaction_rows`` with the box of each word, where the page has boxes; empty boxes are skipped."""
-    rows = redaction_rows(pages.withColumn("_words", F.col(page_words)), [*keys, boxes], "_words")
+    hits = pages.select(*keys, page_words, boxes, F.posexplode("redactions").alias("pos", "r")).filter("r IS NOT NULL")
     box = F.get(F.col(boxes), F.col("pos"))
-    return (
-        rows.select(
-            *keys, "ent", "pos",
-            *[box[f].alias(f) for f in ("x0", "y0", "x1", "y1", "fontname", "fontsize")],
-            "category", "masked", "original_word",
-        )
-        .filter((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0")))
-    )
-
-
-def redacted_words(page_words: Column, redactions: Column) -> Column:
-    """The words with every redaction in place. Redactions come sorted and never overlap."""
-
-    def whole(found: Column) -> Column:
-        def with_lead(r: Column, i: Column) -> Column:
-            before = F.get(found, i - 1)
-            end = F.when(i > 0, before["start"] + before["n"]).otherwise(0)
-            return F.concat(F.slice(page_words, end + 1, r["start"] - end), r["masks"])
+    return hits.select(
+        *keys, "r.ent", "pos",
+        *[box[f].alias(f) for f in ("x0", "y0", "x1", "y1", "fontname", "fontsize")],
+        "r.category", "r.masked", F.get(F.col(page_words), F.col("pos")).alias("original_word"),
+    ).filter((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0")))
 
-        last = F.element_at(found, -1)
-        end = last["start"] + last["n"]
-        tail = F.slice(page_words, end + 1, F.size(page_words))
-        return F.concat(F.flatten(F.transform(found, with_lead)), tail)
 
-    return let(redactions, lambda found: F.when(F.size(found) > 0, whole(found)).otherwise(page_words))
+def redaction_count(pages: DataFrame) -> DataFrame:
+    """Masked words over all pages: one row."""
+    per_page = F.size(F.filter(F.coalesce("redactions", F.array()), lambda r: r.isNotNull()))
+    return pages.agg(F.coalesce(F.sum(per_page), F.lit(0)).alias("n_redactions"))
 
 
 def redacted_text(pages: DataFrame, text: str = "page_content", page_words: str = "words") -> DataFrame:
     """``redacted``: page text of the masked words; a page without redactions keeps its text as it is."""
-    joined = F.array_join(redacted_words(F.col(page_words), F.col("redactions")), " ")
-    return pages.withColumn("redacted", F.when(F.size("redactions") > 0, joined).otherwise(F.col(text)))
+    masked = F.zip_with(F.col(page_words), F.col("redactions"), lambda w, r: F.coalesce(r["masked"], w))
+    hit = F.exists("redactions", lambda r: r.isNotNull())
+    return pages.withColumn("redacted", F.when(hit, F.array_join(masked, " ")).otherwise(F.col(text)))
 
 
 def redact(
-    pages: DataFrame, text: str = "page_content", repeat: bool = True, keep_punctuation: bool = False
+    pages: DataFrame,
+    text: str = "page_content",
+    repeat: bool = True,
+    loose: bool = True,
+    keep_punctuation: bool = True,
 ) -> DataFrame:
-    """Text in, redacted text out, for pages that carry ``entities``."""
+    """Text in, redacted text out, for pages that carry ``entities``; the safe choices by default."""
     cut = pages.withColumn("words", words(F.col(text)))
-    return redacted_text(with_redactions(cut, repeat=repeat, keep_punctuation=keep_punctuation), text)
+    return redacted_text(with_redactions(cut, "words", repeat, loose, keep_punctuation), text)
 
 
 def _folded(text: Column) -> Column:
@@ -222,4 +208,6 @@ def leaks(pages: DataFrame, keys: Sequence[str], output: str = "redacted") -> Da
 
 def without_leaks(pages: DataFrame, output: str = "redacted") -> DataFrame:
     """Gate: only the pages whose output shows none of their entities."""
-    return pages.filter(F.size(leaked(F.col(output), F.col("entities"))) == 0)
+    row = F.struct(*pages.columns)
+    clean = only(row, lambda r: F.size(leaked(r[output], r["entities"])) == 0)
+    return pages.select(clean.alias("page")).select("page.*")

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import crypto
-from ..functions.binding import let, runs
+from ..functions.binding import let, only, runs
 from ..functions.text import format_element, has_text
 from ..schemas import PAGE_KEY
 
 
+def _shaped() -> Column:
+    return format_element(F.col("element_type"), F.col("content"), F.col("description"))
+
+
 def formatted(elements: DataFrame) -> DataFrame:
     """Elements with ``formatted_content``; those without text are dropped."""
-    shaped = elements.withColumn(
-        "formatted_content", format_element(F.col("element_type"), F.col("content"), F.col("description"))
-    )
-    return shaped.filter(has_text(F.col("formatted_content")))
+    return elements.select("*", only(_shaped(), has_text).alias("formatted_content"))
 
 
 def pages(elements: DataFrame) -> DataFrame:
@@ -24,12 +25,12 @@ def pages(elements: DataFrame) -> DataFrame:
     Elements of one file leave one task of the scan together, so the map-side aggregate
     already holds whole pages and the shuffle moves about one row per page.
     """
-    body = F.array_sort(F.collect_list(F.struct("element_id", "formatted_content")))["formatted_content"]
+    piece = F.struct("element_id", F.col("formatted_content").alias("text"))
     return (
         formatted(elements)
         .groupBy(*PAGE_KEY)
         .agg(
-            F.concat_ws("\n\n", body).alias("page_content"),
+            F.concat_ws("\n\n", F.array_sort(F.collect_list(piece))["text"]).alias("page_content"),
             F.count("*").alias("element_count"),
             F.array_join(F.array_sort(F.collect_set("element_type")), ", ").alias("element_types"),
             F.min_by("image_uri", "element_id").alias("image_uri"),
