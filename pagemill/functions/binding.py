@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -25,6 +25,16 @@ def only(value: Column, keep: Callable[[Column], Column]) -> Column:
     return F.explode(F.filter(F.array(value), keep))
 
 
+def items(rows: DataFrame, keys: Sequence[str], array: str | Column, name: str, pos: str = "pos") -> DataFrame:
+    """One row per array item that is not NULL: keys, position, item.
+
+    For an inner explode Spark adds the filter ``size(array) > 0`` and pushes it below the
+    projection that computes the array, which doubles the work and may move it below an
+    exchange. The outer form is left alone, and the filter on its output stays above.
+    """
+    return rows.select(*keys, F.posexplode_outer(array).alias(pos, name)).filter(F.col(name).isNotNull())
+
+
 def empty_array(element_ddl: str) -> Column:
     return F.array().cast(f"array<{element_ddl}>")
 
@@ -34,7 +44,22 @@ def indices(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(empty_array("int"))
 
 
-def runs(items: Column, starts_new: Callable[[Column, Column], Column]) -> Column:
+def running_sum(values: Column) -> Column:
+    """Sums up to and including each place, in n log n: round k adds what stands 2^k before.
+
+    Appending to an array in ``aggregate`` copies it each time, which a line of many
+    thousand words makes quadratic.
+    """
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+
+    def add(acc: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(acc, lambda x, i: F.when(i >= back, x + F.get(acc, i - back)).otherwise(x))
+
+    return F.aggregate(indices(rounds), values, add)
+
+
+def runs(values: Column, starts_new: Callable[[Column, Column], Column]) -> Column:
     """Cut an array into runs: ``starts_new(previous, current)`` opens the next one."""
 
     def cut(arr: Column) -> Column:
@@ -49,4 +74,4 @@ def runs(items: Column, starts_new: Callable[[Column, Column], Column]) -> Colum
             ),
         )
 
-    return let(items, cut)
+    return let(values, cut)

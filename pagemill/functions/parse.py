@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schemas import PARSED
-from .binding import indices, let, runs
+from .binding import indices, let, running_sum, runs
 from .text import not_blank
 
 
@@ -165,43 +165,36 @@ def pdf_words(content: Column, bold_fonts: tuple[str, ...] = ("F2",)) -> Column:
         size = show["size"]
         top = F.lit(PAGE_HEIGHT) - show["y"] - F.lit(DESCENT) * size - size
         # every token goes with the blanks in front of it, so the advances add up
-        tokens = F.regexp_extract_all(show["text"], F.lit(r"\s*\S+"), F.lit(0))
+        tokens = F.transform(
+            F.regexp_extract_all(show["text"], F.lit(r"\s*\S+"), F.lit(0)),
+            lambda token: let(
+                F.regexp_extract(token, r"\S+", 0),
+                lambda word: F.struct(
+                    word.alias("word"), advance(word, bold, size).alias("width"), advance(token, bold, size).alias("step")
+                ),
+            ),
+        )
 
-        def step(acc: Column, token: Column) -> Column:
-            word = F.regexp_extract(token, r"\S+", 0)
-            lead = F.regexp_extract(token, r"^\s*", 0)
+        def boxed(parts: Column) -> Column:
             return let(
-                F.struct(
-                    (acc["x"] + advance(lead, bold, size)).alias("x0"), advance(word, bold, size).alias("w")
-                ),
-                lambda at: F.struct(
-                    (at["x0"] + at["w"]).alias("x"),
-                    F.concat(
-                        acc["out"],
-                        F.array(
-                            F.struct(
-                                show["page"].alias("page"),
-                                word.alias("text"),
-                                at["x0"].alias("x0"),
-                                top.alias("y0"),
-                                (at["x0"] + at["w"]).alias("x1"),
-                                (top + size).alias("y1"),
-                                F.when(bold, F.lit("Helvetica-Bold")).otherwise(F.lit("Helvetica")).alias("fontname"),
-                                size.alias("fontsize"),
-                            )
-                        ),
-                    ).alias("out"),
+                running_sum(parts["step"]),
+                lambda ends: F.zip_with(
+                    parts,
+                    ends,
+                    lambda part, end: F.struct(
+                        show["page"].alias("page"),
+                        part["word"].alias("text"),
+                        (show["x"] + end - part["width"]).alias("x0"),
+                        top.alias("y0"),
+                        (show["x"] + end).alias("x1"),
+                        (top + size).alias("y1"),
+                        F.when(bold, F.lit("Helvetica-Bold")).otherwise(F.lit("Helvetica")).alias("fontname"),
+                        size.alias("fontsize"),
+                    ),
                 ),
             )
 
-        start = F.struct(
-            show["x"].alias("x"),
-            F.array().cast(
-                "array<struct<page: int, text: string, x0: double, y0: double, x1: double, y1: double, "
-                "fontname: string, fontsize: double>>"
-            ).alias("out"),
-        )
-        return F.aggregate(tokens, start, step, lambda acc: acc["out"])
+        return let(tokens, boxed)
 
     return F.flatten(F.transform(pdf_shows(content), words))
 

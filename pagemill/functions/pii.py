@@ -18,10 +18,10 @@ from pyspark.sql import Column, functions as F
 from .binding import let
 from .text import stars
 
-_NAME = r"\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}\.)?[ \n]\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}[\p{L}'\-]{1,40})?"
+_NAME = r"\p{Lu}[\p{L}'\-]+(?: \p{Lu}\.)?[ \n]\p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+)?"
 _CODE = r"[A-Za-z0-9\-]{0,20}[0-9][A-Za-z0-9\-]{0,20}"
 _DATE = r"[0-9]{1,4}[/.\-][0-9]{1,2}[/.\-][0-9]{1,4}"
-_FIRM = r"\p{Lu}[\p{L}&\-]{1,40}(?: \p{Lu}[\p{L}&\-]{1,40}){0,4}"
+_FIRM = r"\p{Lu}[\p{L}&\-]+(?: \p{Lu}[\p{L}&\-]+){0,4}"
 _NO = r"(?: number| no\.?)?"
 _SEP = "[:#]? {0,3}"
 
@@ -43,10 +43,10 @@ SHAPES: dict[str, str] = {
         r"|<(?:1[\-. ])?[0-9]{3}[\-. ])[0-9]{3}[\-. ][0-9]{4}>"
     ),
     "ADDRESS": (
-        r"<[0-9]{1,6}[ \n](?:\p{Lu}[\p{L}'\-]{0,40}\.?[ \n]){1,4}"
+        r"<[0-9]{1,6}[ \n](?:\p{Lu}[\p{L}'\-]*\.?[ \n]){1,4}"
         r"(?:Street|Road|Avenue|Boulevard|Lane|Drive|Court|Way|Place|Parkway|St|Rd|Ave|Blvd|Ln|Dr|Ct|Pl|Pkwy)>\.?"
         r"(?:,?[ \n](?:Apt|Suite|Unit|No)\.?[ \n][0-9A-Za-z]{1,8})?"
-        r"(?:,[ \n]\p{Lu}[\p{L}'\-]{0,40}(?: \p{Lu}[\p{L}'\-]{0,40}){0,3},[ \n][A-Z]{2}[ \n][0-9]{5}(?:-[0-9]{4})?)?"
+        r"(?:,[ \n]\p{Lu}[\p{L}'\-]*(?: \p{Lu}[\p{L}'\-]*){0,3},[ \n][A-Z]{2}[ \n][0-9]{5}(?:-[0-9]{4})?)?"
     ),
 }
 

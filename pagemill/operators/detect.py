@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import pii
-from ..functions.binding import empty_array, only
+from ..functions.binding import empty_array, items, only
 from ..functions.text import not_blank
 from ..schemas import ENTITY
 
@@ -19,7 +19,7 @@ def with_entities(pages: DataFrame, text: str = "page_content", classes: Sequenc
 
 def entity_rows(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per entity, numbered within its page."""
-    return pages.select(*keys, F.posexplode("entities").alias("ord", "entity")).select(*keys, "ord", "entity.*")
+    return items(pages, keys, "entities", "entity", "ord").select(*keys, "ord", "entity.*")
 
 
 def entity_counts(pages: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binding import empty_array, let, only
+from ..functions.binding import items, let, only
 from ..functions.text import token_key, words
 
 # Stands for a taken word while matching; no cleaned token holds these characters.
@@ -77,29 +77,22 @@ def matches(page_words: Column, entities: Column, repeat: bool = False, loose: b
     )
 
 
-def split_mask(masked: Column, run: Column) -> Column:
-    """The mask cut for a run of words: by its own tokens if there are as many, else by length."""
-
-    def by_length(chars: Column) -> Column:
-        def step(acc: Column, word: Column) -> Column:
-            size = F.length(word)
-            piece = F.rpad(F.substr(chars, acc["pos"], size), size, F.lit("*"))
-            return F.struct(
-                (acc["pos"] + size).alias("pos"),
-                F.concat(acc["out"], F.array(F.when(size > 0, piece).otherwise(F.lit("")))).alias("out"),
-            )
-
-        start = F.struct(F.lit(1).alias("pos"), empty_array("string").alias("out"))
-        return F.aggregate(run, start, step, lambda acc: acc["out"])
-
+def mask_piece(masked: Column, run: Column, offset: Column) -> Column:
+    """The part of a mask for one word of its run: the token at its place if there are as many, else by length."""
+    word = F.length(F.get(run, offset))
+    before = F.aggregate(F.slice(run, F.lit(1), offset), F.lit(0), lambda acc, w: acc + F.length(w))
+    chars = F.replace(masked, F.lit(" "), F.lit(""))
+    by_length = F.when(word > 0, F.rpad(F.substr(chars, before + 1, word), word, F.lit("*"))).otherwise(F.lit(""))
     return let(
-        words(masked),
-        lambda tokens: F.when(F.size(tokens) == F.size(run), tokens).otherwise(
-            let(F.replace(masked, F.lit(" "), F.lit("")), by_length)
-        ),
+        words(masked), lambda tokens: F.when(F.size(tokens) == F.size(run), F.get(tokens, offset)).otherwise(by_length)
     )
 
 
+def split_mask(masked: Column, run: Column) -> Column:
+    """The mask cut for a run of words."""
+    return F.transform(run, lambda word, offset: mask_piece(masked, run, offset))
+
+
 def with_redactions(
     pages: DataFrame,
     page_words: str = "words",
@@ -124,7 +117,7 @@ def with_redactions(
     def redaction(match: Column, pos: Column) -> Column:
         entity = F.get(F.col("entities"), match["ent"])
         run = F.slice(F.col(page_words), pos - match["offset"] + 1, F.size(words(entity["original"])))
-        mask = F.get(split_mask(entity["masked"], run), match["offset"])
+        mask = mask_piece(entity["masked"], run, match["offset"])
         if keep_punctuation:
             mask = kept(F.get(F.col(page_words), pos), mask)
         return F.when(
@@ -137,7 +130,7 @@ def with_redactions(
 
 def redaction_rows(pages: DataFrame, keys: Sequence[str], page_words: str = "words") -> DataFrame:
     """One row per masked word."""
-    hits = pages.select(*keys, page_words, F.posexplode("redactions").alias("pos", "r")).filter("r IS NOT NULL")
+    hits = items(pages, [*keys, page_words], "redactions", "r")
     return hits.select(
         *keys, "r.ent", "pos", F.get(F.col(page_words), F.col("pos")).alias("original_word"), "r.masked", "r.category"
     )
@@ -145,7 +138,7 @@ def redaction_rows(pages: DataFrame, keys: Sequence[str], page_words: str = "wor
 
 def redaction_boxes(pages: DataFrame, keys: Sequence[str], boxes: str = "boxes", page_words: str = "words") -> DataFrame:
     """``redaction_rows`` with the box of each word, where the page has boxes; empty boxes are skipped."""
-    hits = pages.select(*keys, page_words, boxes, F.posexplode("redactions").alias("pos", "r")).filter("r IS NOT NULL")
+    hits = items(pages, [*keys, page_words, boxes], "redactions", "r")
     box = F.get(F.col(boxes), F.col("pos"))
     return hits.select(
         *keys, "r.ent", "pos",
@@ -201,7 +194,7 @@ def leaked(output: Column, entities: Column) -> Column:
 
 def leaks(pages: DataFrame, keys: Sequence[str], output: str = "redacted") -> DataFrame:
     """One row per entity of a page that its output still shows."""
-    return pages.select(*keys, F.explode(leaked(F.col(output), F.col("entities"))).alias("leak")).select(
+    return items(pages, keys, leaked(F.col(output), F.col("entities")), "leak").select(
         *keys, "leak.original", "leak.category"
     )
 
