@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import pii
 from ..schemas import CATEGORIES, GOLD
+from ..sources import versions
 
 
 def chunk_id(path: Column, page: Column) -> Column:
@@ -37,15 +38,23 @@ def unrouted(pages: DataFrame, categories: Sequence[str] = tuple(CATEGORIES)) ->
     )
 
 
-def publish(gold: DataFrame, path: str, compact: bool = False) -> None:
-    """All categories in one pass, one folder each; a category without rows gets none.
+def publish(gold: DataFrame, path: str, compact: bool = False) -> int:
+    """All categories in one pass, one folder each, as a new version; a category without rows gets none.
 
     Every task writes its own files, so a category that holds most of the pages is
     written by as many tasks as it has. ``compact`` adds one adaptive exchange that merges
     small pieces of a category and splits large ones.
     """
     out = gold.hint("rebalance", "document_type") if compact else gold
-    out.write.mode("overwrite").partitionBy("document_type").parquet(path)
+    return versions.write_next(out, path, "document_type")
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """All categories of the newest version, columns in their order."""
+    newest = versions.read_latest(spark, path)
+    if newest is None:
+        raise ValueError(f"nothing has been published at {path}")
+    return newest.select(*GOLD)
 
 
 def publish_tables(gold: DataFrame, path: str, prefix: str, categories: Sequence[str] = tuple(CATEGORIES)) -> list[str]:
@@ -63,7 +72,7 @@ def publish_tables(gold: DataFrame, path: str, prefix: str, categories: Sequence
 
 def category_pages(spark: SparkSession, path: str, category: str) -> DataFrame:
     """One category of the published set; only its folder is read."""
-    return spark.read.parquet(path).filter(F.col("document_type") == category)
+    return published(spark, path).filter(F.col("document_type") == category)
 
 
 def summary(gold: DataFrame) -> DataFrame:

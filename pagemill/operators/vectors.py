@@ -10,6 +10,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..sources import versions
+
 # Most bytes of query vectors that are handed to every executor as one broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one side in a cell of the block search.
@@ -111,41 +113,17 @@ def synced(
     return same.select("chunk_id", "content_hash", "embedding").unionByName(embedded)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            done.append(int(name.removeprefix("version=")))
-    return sorted(done)
-
-
 def read_index(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version, or None before the first."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else None
+    """The index as of its last finished sync, or None before the first."""
+    return versions.read_latest(spark, path)
 
 
 def sync_index(
     source: DataFrame, path: str, embed: Callable[[Column], Column] = embed_hashed, name: str = "source"
 ) -> int:
-    """Create the index at ``path``, or bring it in step with the source; returns the version.
-
-    Every sync writes a new version and readers take the newest finished one, so a run
-    that dies half-way leaves the index as it was.
-    """
-    source_ready(source, name)
-    spark = source.sparkSession
-    index = read_index(spark, path)
-    version = (_versions(spark, path) or [-1])[-1] + 1
-    rows = index_rows(source, embed) if index is None else synced(source, index, embed)
-    rows.write.mode("overwrite").parquet(f"{path}/version={version}")
-    return version
+    """Create the index at ``path``, or bring it in step with the source; returns the version."""
+    index = read_index(source_ready(source, name).sparkSession, path)
+    return versions.write_next(index_rows(source, embed) if index is None else synced(source, index, embed), path)
 
 
 # --- search -----------------------------------------------------------------------------

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import parse, pii
-from ..functions.text import words
+from ..functions.binding import runs
 from ..operators import detect, evaluate, gold, redact, silver, vectors
 from ..operators.bronze import Parser
-from ..sources import evalset, files
+from ..sources import evalset, files, versions
 from ..streaming import ingest
 
 INDEXED_CATEGORY = "finance"
@@ -31,7 +31,7 @@ class Published:
 def build_gold(spark: SparkSession, pages: DataFrame, key: bytes, path: str) -> DataFrame:
     """Masked pages of all categories in one pass; returns what was written."""
     gold.publish(gold.masked_pages(silver.unsealed_pages(pages, key)), path)
-    return spark.read.parquet(path)
+    return gold.published(spark, path)
 
 
 def files_to_index(
@@ -71,8 +71,8 @@ def redact_folder(
         F.array_join("page.boxes.text", " ").alias("page_content"),
     )
     hits = redact.with_redactions(detect.with_entities(pages), "words", repeat, loose, keep_punctuation=True)
-    redact.redacted_text(hits).write.mode("overwrite").parquet(target)
-    done = spark.read.parquet(target)
+    versions.write_next(redact.redacted_text(hits), target)
+    done = versions.read_latest(spark, target)
     keys = ["path", "page_id"]
     return (
         done.select(*keys, "page_content", "redacted"),
@@ -83,8 +83,6 @@ def redact_folder(
 
 def _pages_with_boxes(found: Column) -> Column:
     """Words of a document, in order, cut into its pages."""
-    from ..functions.binding import let, runs
-
     return F.transform(
         runs(found, lambda a, b: a["page"] != b["page"]),
         lambda page: F.struct(F.get(page, F.lit(0))["page"].alias("page_id"), page.alias("boxes")),
@@ -130,7 +128,3 @@ def masked_everywhere(text: Column) -> Column:
         category.isin(*pii.PUBLISHED), pii.mask_replace(value, category)
     ).otherwise(pii.mask_same_length(value, category))
     return pii.mask_in_text(text, pii.ORDER, mask)
-
-
-def page_words(text: Column) -> Column:
-    return words(text)

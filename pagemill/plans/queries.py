@@ -457,8 +457,7 @@ def gold_published(spark, sf):
     """Written by category and summed up from what was written."""
     folder = scratch(spark, "gold")
     gold.publish(gold.masked_pages(clear_pages(spark, sf)), folder)
-    written = spark.read.parquet(folder)
-    return gold.summary(written).select("document_type", "n_pages", "n_documents")
+    return gold.summary(gold.published(spark, folder))
 
 
 # --- vectors --------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
 from ..schemas import CATEGORIES, ELEMENTS, PARSED_DOCS
-from ..sources import files
+from ..sources import files, versions
 
 DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
 
@@ -65,10 +65,10 @@ def ingest_pages(spark: SparkSession, target: str, key: bytes) -> None:
 
 
 def refresh_pages(spark: SparkSession, target: str, key: bytes, into: str) -> None:
-    """The page table as a view over all elements, computed anew and overwritten."""
+    """The page table as a view over all elements, computed anew as its next version."""
     stored = spark.read.schema(ELEMENTS).parquet(f"{target}/{ELEMENT_TABLE}")
     pages = silver.sealed_pages(silver.pages(bronze.unsealed_elements(stored, key)), key)
-    pages.write.mode("overwrite").parquet(into)
+    versions.write_next(pages, into)
 
 
 def refresh(

@@ -187,7 +187,7 @@ def test_gold_routes_by_type(spark, tmp_path):
     names = gold.publish_tables(gold.masked_pages(pages), out, "docs_gold")
     assert names == ["docs_gold_hr", "docs_gold_finance"]
     assert spark.table("docs_gold_hr").first().page_content_masked == "mail ***@b.org"
-    assert {(r[0], r[1], r[2]) for r in gold.summary(spark.read.parquet(out)).collect()} == {("hr", 1, 1), ("finance", 2, 1)}
+    assert {(r[0], r[1], r[2]) for r in gold.summary(gold.published(spark, out)).collect()} == {("hr", 1, 1), ("finance", 2, 1)}
     assert {(r[0], r[1]) for r in gold.unrouted(pages).collect()} == {(None, 1), ("legal", 1)}
     plan = gold.category_pages(spark, out, "hr")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(document_type" in plan
