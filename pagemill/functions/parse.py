@@ -150,30 +150,37 @@ def _widths(table: str) -> Column:
 def pdf_words(content: Column, bold_fonts: tuple[str, ...] = ("F2",)) -> Column:
     """Words of the text layer with their boxes (top-left origin): array of (page, word)."""
 
-    def advance(text: Column, bold: Column, size: Column) -> Column:
+    def advance(text: Column, table: Column) -> Column:
+        """Width in thousandths; split on '' gives one string per character and an empty one at the end."""
+
         def width(char: Column) -> Column:
-            code = F.ascii(char) - 32
-            table = F.when(bold, F.get(_widths(HELVETICA_BOLD), code)).otherwise(F.get(_widths(HELVETICA), code))
-            return F.coalesce(table, F.lit(OTHER_WIDTH)) * size / 1000.0
+            return F.coalesce(F.get(table, F.ascii(char) - 32), F.when(char == "", F.lit(0)).otherwise(F.lit(OTHER_WIDTH)))
 
-        # split on '' gives one string per character; ascii('') is 0 and never occurs here
-        chars = F.filter(F.split(text, "", -1), lambda c: c != "")
-        return F.aggregate(chars, F.lit(0.0), lambda acc, c: acc + width(c))
+        return F.aggregate(F.split(text, "", -1), F.lit(0), lambda acc, c: acc + width(c))
 
     def words(show: Column) -> Column:
         bold = show["font"].isin(*bold_fonts)
         size = show["size"]
         top = F.lit(PAGE_HEIGHT) - show["y"] - F.lit(DESCENT) * size - size
+
         # every token goes with the blanks in front of it, so the advances add up
-        tokens = F.transform(
-            F.regexp_extract_all(show["text"], F.lit(r"\s*\S+"), F.lit(0)),
-            lambda token: let(
-                F.regexp_extract(token, r"\S+", 0),
-                lambda word: F.struct(
-                    word.alias("word"), advance(word, bold, size).alias("width"), advance(token, bold, size).alias("step")
+        def measured(table: Column) -> Column:
+            return F.transform(
+                F.regexp_extract_all(show["text"], F.lit(r"\s*\S+"), F.lit(0)),
+                lambda token: let(
+                    F.regexp_extract(token, r"\S+", 0),
+                    lambda word: let(
+                        advance(word, table),
+                        lambda width: F.struct(
+                            word.alias("word"),
+                            (width * size / 1000.0).alias("width"),
+                            ((width + advance(F.regexp_extract(token, r"^\s*", 0), table)) * size / 1000.0).alias("step"),
+                        ),
+                    ),
                 ),
-            ),
-        )
+            )
+
+        tokens = let(F.when(bold, _widths(HELVETICA_BOLD)).otherwise(_widths(HELVETICA)), measured)
 
         def boxed(parts: Column) -> Column:
             return let(

@@ -10,6 +10,8 @@ _SPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WORD = f"[^{_SPACE}]+"
+# The same characters for Java, which tests the parts of a class one by one: common ones first.
+_FAST_WORD = rf"[!-~\x{{a1}}-\x{{167f}}[^{_SPACE}]]+"
 # A token is compared without anything but letters, digits, and _ @ . -
 TOKEN_NOISE = r"[^\p{L}\p{N}_@.\-]"
 LETTERS_DIGITS = r"[\p{L}\p{N}]"
@@ -25,7 +27,7 @@ def base_name(name: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(_FAST_WORD), F.lit(0))
 
 
 def word_count(text: Column) -> Column:
@@ -34,7 +36,7 @@ def word_count(text: Column) -> Column:
 
 def not_blank(text: Column) -> Column:
     """Something other than white space of any kind; SQL ``trim`` strips spaces only."""
-    return text.rlike(WORD)
+    return text.rlike(_FAST_WORD)
 
 
 def token_key(token: Column) -> Column:
