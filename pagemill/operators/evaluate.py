@@ -47,9 +47,13 @@ def conversation_pairs(turns: DataFrame) -> DataFrame:
 
 
 def with_answers(qa: DataFrame, answers: DataFrame, context: DataFrame | None = None) -> DataFrame:
-    """Expected answers joined with given ones (``question, outputs``) and with retrieved context."""
-    joined = qa.join(answers, "question", "left")
-    return joined if context is None else joined.join(context, "question", "left")
+    """Expected answers joined with given ones (``question, outputs``) and with retrieved context.
+
+    One answer and one context per question, so that a question asked often on both sides
+    does not multiply.
+    """
+    joined = qa.join(answers.dropDuplicates(["question"]), "question", "left")
+    return joined if context is None else joined.join(context.dropDuplicates(["question"]), "question", "left")
 
 
 def same_document(left: Column, right: Column) -> Column:

@@ -7,6 +7,16 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import not_blank
+from . import detect
+
+# What a model is asked for when it masks a page for publishing.
+MASKING_RULES = (
+    "Mask the personal data in the text and change nothing else. Names become [[NAME]], social security\n"
+    "numbers <<SSN>>, addresses [ADDRESS]. Of e-mail addresses keep the domain only, of phone numbers the\n"
+    "format and the last four digits, of card numbers the format without digits. Answer with the text only.\n\nText:\n"
+)
+
 
 def map_batches(
     rows: DataFrame,
@@ -19,9 +29,9 @@ def map_batches(
 ) -> DataFrame:
     """Add ``result = call(column)``, asked for in batches of at most ``batch_rows``.
 
-    A batch whose call fails gets NULL results and the reason in ``error``; the job goes on
-    and the failed rows can be sent again. The number of calls at one time is the number
-    of running tasks.
+    Rows without input are not asked about. A batch whose call fails gets NULL results and
+    the reason in ``error``; the job goes on and the failed rows can be sent again. The
+    number of calls at one time is the number of running tasks.
     """
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + f", `{result}` {result_type}, `{error}` string"
 
@@ -29,18 +39,48 @@ def map_batches(
         for batch in batches:
             for at in range(0, len(batch), batch_rows):
                 part = batch.iloc[at : at + batch_rows].copy()
+                asked = part[column].notna()
+                given, problem = [None] * len(part), None
                 try:
-                    answers = list(call(part[column]))
-                    if len(answers) != len(part):
-                        raise ValueError(f"{len(answers)} answers for {len(part)} rows")
-                    part[result], part[error] = answers, None
-                except Exception as problem:
-                    part[result], part[error] = None, f"{type(problem).__name__}: {problem}"
+                    answers = list(call(part.loc[asked, column])) if asked.any() else []
+                    if len(answers) != asked.sum():
+                        raise ValueError(f"{len(answers)} answers for {asked.sum()} rows")
+                    for place, answer in zip(asked.to_numpy().nonzero()[0], answers, strict=True):
+                        given[place] = answer
+                except Exception as failure:
+                    problem = f"{type(failure).__name__}: {failure}"
+                part[result] = pd.Series(given, index=part.index, dtype=object)
+                part[error] = [problem if a else None for a in asked]
                 yield part
 
     return rows.mapInPandas(run, schema)
 
 
+def masked(pages: DataFrame, call, text: str = "page_content", result: str = "page_content_masked") -> DataFrame:
+    """Pages masked for publishing by a model; a page that failed has no masked text and an ``error``."""
+    request = F.when(not_blank(F.col(text)), F.concat(F.lit(MASKING_RULES), F.col(text)))
+    return map_batches(pages.withColumn("_request", request), call, "_request", result).drop("_request")
+
+
+def entities(pages: DataFrame, call, text: str = "page_content") -> DataFrame:
+    """``entities`` of pages from a model's answers to ``detect.prompt``."""
+    request = F.when(not_blank(F.col(text)), detect.prompt(F.col(text)))
+    told = map_batches(pages.withColumn("_request", request), call, "_request", "_answer")
+    return told.withColumn("entities", detect.answered(F.col("_answer"))).drop("_request", "_answer")
+
+
+def embedded(rows: DataFrame, call, text: str, result: str = "embedding") -> DataFrame:
+    """Vectors from a model."""
+    return map_batches(rows, call, text, result, "array<float>")
+
+
+def judged(rows: DataFrame, name: str, call, columns: Sequence[str] = ("question", "answer", "expected", "context")) -> DataFrame:
+    """A scorer column from a judge that gets the columns as JSON; an answer but yes or no counts as none."""
+    told = map_batches(rows.withColumn("_case", F.to_json(F.struct(*columns))), call, "_case", "_verdict", error=f"{name}_error")
+    verdict = F.lower(F.trim("_verdict"))
+    return told.withColumn(name, F.when(verdict.isin("yes", "no"), verdict)).drop("_case", "_verdict")
+
+
 def classified(files: DataFrame, call, labels: Sequence[str], column: str = "file_name") -> DataFrame:
     """``document_type`` from a model; an answer outside the labels counts as none."""
     answered = map_batches(files, call, column, "_label")

@@ -18,6 +18,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 CELL_ROWS = 20_000
 # Most scores a task holds at a time.
 SCORES_AT_ONCE = 8_000_000
+
+CHANGES = "chunk_id STRING, action STRING"
 # Scores are compared at this many digits, so that the order of summation cannot decide a rank.
 SCORE_DIGITS = 10
 
@@ -103,14 +105,16 @@ def index_rows(source: DataFrame, embed: Callable[[Column], Column] = embed_hash
 
 
 def synced(
-    source: DataFrame, index: DataFrame, embed: Callable[[Column], Column] = embed_hashed
+    source: DataFrame, index: DataFrame, changes: DataFrame, embed: Callable[[Column], Column] = embed_hashed
 ) -> DataFrame:
-    """The index after taking over the source; only new and changed texts are embedded."""
-    hashed = source.withColumn("content_hash", content_hash(F.col("page_content_masked")))
-    same = index.join(hashed.select("chunk_id", "content_hash"), ["chunk_id", "content_hash"], "left_semi")
-    fresh = hashed.join(index.select("chunk_id", "content_hash"), ["chunk_id", "content_hash"], "left_anti")
-    embedded = fresh.select("chunk_id", "content_hash", embed(F.col("page_content_masked")).alias("embedding"))
-    return same.select("chunk_id", "content_hash", "embedding").unionByName(embedded)
+    """The index after the changes ``index_diff`` found; only new and changed texts are embedded.
+
+    The changes hold keys only. While they are few, Spark sends them to both large sides,
+    and neither texts nor vectors are shuffled.
+    """
+    fresh = source.join(changes.filter("action <> 'delete'").select("chunk_id"), "chunk_id", "left_semi")
+    same = index.join(changes.filter("action <> 'insert'").select("chunk_id"), "chunk_id", "left_anti")
+    return same.select("chunk_id", "content_hash", "embedding").unionByName(index_rows(fresh, embed))
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame | None:
@@ -121,9 +125,22 @@ def read_index(spark: SparkSession, path: str) -> DataFrame | None:
 def sync_index(
     source: DataFrame, path: str, embed: Callable[[Column], Column] = embed_hashed, name: str = "source"
 ) -> int:
-    """Create the index at ``path``, or bring it in step with the source; returns the version."""
-    index = read_index(source_ready(source, name).sparkSession, path)
-    return versions.write_next(index_rows(source, embed) if index is None else synced(source, index, embed), path)
+    """Create the index at ``path``, or bring it in step with the source; returns the version.
+
+    The changes of a sync are stored first, under ``path/changes``: they are read three
+    times, their size is then known to the planner, and they remain as the change feed of
+    the index. Without changes nothing is written and the version stays.
+    """
+    spark = source_ready(source, name).sparkSession
+    index = read_index(spark, path)
+    if index is None:
+        return versions.write_next(index_rows(source, embed), path)
+    feed = f"{path}/changes"
+    number = versions.write_next(index_diff(source, index), feed)
+    changes = spark.read.schema(CHANGES).parquet(f"{feed}/version={number}")
+    if changes.isEmpty():
+        return versions.latest(spark, path)
+    return versions.write_next(synced(source, index, changes, embed), path)
 
 
 # --- search -----------------------------------------------------------------------------
@@ -181,9 +198,11 @@ def knn(
     """
     q = queries.select(F.col(query[0]).alias("query_id"), F.col(query[1]).alias("embedding"))
     v = vectors.select(F.col(vec[0]).alias("id"), F.col(vec[1]).alias("embedding"))
-    size = q.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("embedding")), F.lit(0)).alias("cells")).first()
-    if size["cells"] * 8 + size["n"] * 64 > broadcast_bytes:
-        return knn_blocks(v, q, k, size["n"], cell_rows)
+    # all vectors have one length; counting alone does not compute them
+    n_queries = q.count()
+    one = q.select(F.size("embedding").alias("dim")).first()
+    if n_queries * (64 + 8 * (one["dim"] if one else 0)) > broadcast_bytes:
+        return knn_blocks(v, q, k, n_queries, cell_rows)
 
     held = q.toPandas()
     shared = q.sparkSession.sparkContext.broadcast((held["query_id"].to_numpy(), _matrix(held["embedding"])))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import classify, crypto, parse, pii, text
-from ..functions.binding import indices, items, let
+from ..functions.binding import indices, items, let, only
 from ..operators import bronze, detect, evaluate, gold, modelhook, redact, silver, vectors
 from ..schemas import CATEGORIES, ENTITY
 from ..session import ephemeral_key, shared_dir, spread
@@ -124,9 +124,9 @@ def input_size_summary(spark, sf):
 def tampered_quarantine(spark, sf):
     """Spanish texts have their last byte flipped, French ones are cut below nonce and tag."""
     key = ephemeral_key(spark)
-    sealed = documents(spark, sf, "doc_id", "source", "lang", "text").select(
-        document_path().alias("path"), "lang", crypto.encrypt_bytes(F.col("text").cast("binary"), key).alias("content")
-    )
+    source = documents(spark, sf, "doc_id", "source", "lang", "text")
+    cipher = only(crypto.encrypt_bytes(F.col("text").cast("binary"), key), lambda c: c.isNotNull())
+    sealed = source.select(document_path().alias("path"), "lang", cipher.alias("content"))
     size = F.octet_length("content")
     last = F.substring(F.hex(F.substr("content", size, F.lit(1))), 1, 2)
     flipped = F.concat(F.substr("content", F.lit(1), size - 1), F.when(last == "00", F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))))

@@ -21,6 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # writers kept open per task instead of a sort by category before a partitioned write
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # call sites per Column cost more than building the plan itself
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.redaction.string.regex": _REDACT,

@@ -86,7 +86,14 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
 
 
 def encrypt_folder(spark: SparkSession, source: str, target: str, key: bytes, glob: str = "*.pdf") -> DataFrame:
-    """Every file of a folder as ``<base name>.enc`` in another; returns (name, bytes)."""
+    """Every file of a folder as ``<base name>.enc`` in another; returns (name, bytes).
+
+    Two files that would get the same name are an error, not a silent loss.
+    """
+    names = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(source).select(base_name(F.col("path")).alias("name"))
+    doubled = names.groupBy("name").count().filter("count > 1").select("name").first()
+    if doubled:
+        raise ValueError(f"several files would become {doubled['name']}.enc")
     return write_files(encrypted(read_files(spark, source, glob), key), target)
 
 

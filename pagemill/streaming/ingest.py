@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.binding import only
+from ..functions.crypto import encrypt_bytes
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
 from ..schemas import CATEGORIES, ELEMENTS, PARSED_DOCS
@@ -114,9 +116,11 @@ def read_batches(spark: SparkSession, target: str, name: str) -> DataFrame:
 
 
 def documents_as_files(documents: DataFrame, path, key: bytes) -> DataFrame:
-    """A table of texts as the rows the file source gives: (path, length, content encrypted)."""
-    from ..functions.crypto import encrypt_bytes
+    """A table of texts as the rows the file source gives: (path, length, content encrypted).
 
-    content = encrypt_bytes(F.col("text").cast("binary"), key)
+    Encryption draws a nonce, so content has to be one value for all later stages, not an
+    expression each of them may evaluate anew.
+    """
+    content = only(encrypt_bytes(F.col("text").cast("binary"), key), lambda c: c.isNotNull())
     sealed = documents.select(path.alias("path"), content.alias("content"))
     return sealed.select("path", F.octet_length("content").cast("bigint").alias("length"), "content")

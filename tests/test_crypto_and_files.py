@@ -93,6 +93,13 @@ def test_folder_is_encrypted_file_by_file(spark, key, tmp_path):
     assert sorted(bytes(r.content) for r in opened) == sorted([bodies["a_hr.pdf"], bodies["b c.pdf"]])
 
 
+def test_two_files_of_one_name_are_an_error(spark, key, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"1")
+    (tmp_path / "a.txt").write_bytes(b"2")
+    with pytest.raises(ValueError, match="a.enc"):
+        files.encrypt_folder(spark, str(tmp_path), str(tmp_path / "out"), key, "*.*")
+
+
 def test_large_files_are_reported_and_not_read(spark, tmp_path):
     (tmp_path / "small.enc").write_bytes(b"x" * 10)
     (tmp_path / "large.enc").write_bytes(b"x" * 1000)

@@ -77,7 +77,7 @@ def test_files_to_index(spark, key, tmp_path):
     index = vectors.read_index(spark, str(tmp_path / "out" / "index_finance"))
     assert {r.chunk_id for r in index.collect()} == {r.chunk_id for r in finance.collect()}
     again = jobs.files_to_index(spark, str(inbox), str(tmp_path / "out"), key)
-    assert again.index_version == 1
+    assert again.index_version == 0
     assert versions.latest(spark, done.gold_path) == 1
     assert versions.prune(spark, done.gold_path, keep=1) == [0]
     finance = gold.category_pages(spark, again.gold_path, "finance")

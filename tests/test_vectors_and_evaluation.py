@@ -32,6 +32,8 @@ def test_index_follows_its_source(spark, tmp_path):
     assert vectors.index_diff(second, index).isEmpty()
     whole = {r.chunk_id: tuple(r.embedding) for r in vectors.index_rows(second).collect()}
     assert {r.chunk_id: tuple(r.embedding) for r in index.collect()} == whole
+    # nothing changed: nothing is written
+    assert vectors.sync_index(second, path) == 1
     # a version that was not finished does not count
     (tmp_path / "index" / "version=7").mkdir()
     assert vectors.read_index(spark, path).count() == 3
@@ -42,7 +44,8 @@ def test_index_follows_its_source(spark, tmp_path):
 def test_only_changed_texts_are_embedded(spark):
     old = vectors.index_rows(source(spark, [("a", "one"), ("b", "two")]))
     marked = lambda text: F.array(F.lit(-1.0).cast("float"))
-    now = vectors.synced(source(spark, [("a", "one"), ("b", "new")]), old, marked).collect()
+    new = source(spark, [("a", "one"), ("b", "new")])
+    now = vectors.synced(new, old, vectors.index_diff(new, old), marked).collect()
     assert {r.chunk_id: len(r.embedding) for r in now} == {"a": 256, "b": 1}
 
 
@@ -128,6 +131,26 @@ def test_failed_model_batches_become_error_rows(spark):
     assert short.filter("error LIKE '%1 answers for 2 rows%'").count() == 8
 
 
+def test_model_steps(spark):
+    answers = lambda batch: ['[{"original": "Ann", "masked": "?"}]' if "Ann" in p else "no" for p in batch]
+    pages = spark.createDataFrame([(0, "Hi Ann"), (1, "  "), (2, "x"), (3, None)], "doc_id int, page_content string").coalesce(1)
+    found = {r.doc_id: [tuple(e) for e in r.entities] for r in modelhook.entities(pages, answers).collect()}
+    assert found == {0: [("Ann", "***", "UNKNOWN")], 1: [], 2: [], 3: []}
+    masked = modelhook.masked(pages, lambda batch: [p.split("Text:\n")[1].replace("Ann", "[[NAME]]") for p in batch])
+    assert {r.doc_id: r.page_content_masked for r in masked.collect()} == {0: "Hi [[NAME]]", 1: None, 2: "x", 3: None}
+    vector = modelhook.embedded(pages, lambda batch: [[float(len(t)), 1.0] for t in batch], "page_content")
+    assert [r.embedding for r in vector.orderBy("doc_id").collect()] == [[6.0, 1.0], [2.0, 1.0], [1.0, 1.0], None]
+    rows = spark.createDataFrame([("q", "a", "e", None), ("q", "b", "e", "c")], "question string, answer string, expected string, context string")
+    verdicts = modelhook.judged(rows.coalesce(1), "correctness", lambda batch: ["Yes " if '"a"' in c else "maybe" for c in batch])
+    assert {r.answer: r.correctness for r in verdicts.collect()} == {"a": "yes", "b": None}
+
+
+def test_a_question_asked_often_does_not_multiply(spark):
+    qa = spark.createDataFrame([("f", "q", "x")] * 5, "filename string, question string, answer string")
+    answers = spark.createDataFrame([("q", "o")] * 7, "question string, outputs string")
+    assert evaluate.with_answers(qa, answers).count() == 5
+
+
 def test_model_labels_outside_the_list_count_as_none(spark):
     frame = spark.createDataFrame([("a",), ("b",)], "file_name string").coalesce(1)
     rows = modelhook.classified(frame, lambda b: [" HR ", "other"], ["hr", "finance"]).collect()
