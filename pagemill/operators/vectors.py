@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window, functions as F
 
+from ..functions.binding import only
 from ..sources import versions
 
 # Most bytes of query vectors that are handed to every executor as one broadcast.
@@ -172,8 +173,17 @@ def _candidates(query_ids, queries: np.ndarray, ids, vectors: np.ndarray, k: int
     return pd.concat(parts)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype("float64") if len(column) else np.zeros((0, 0))
+def _vectors(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and the matrix of (id, embedding) rows, straight from the Arrow buffers."""
+    ids, lists = rows.column(0), rows.column(1)
+    if isinstance(rows, pa.Table):
+        ids, lists = ids.combine_chunks(), lists.combine_chunks()
+    flat = np.asarray(lists.flatten(), dtype="float64")
+    return ids.to_numpy(zero_copy_only=False), flat.reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
+
+
+def _present(column: str) -> Column:
+    return only(F.col(column), lambda e: e.isNotNull())
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
@@ -194,34 +204,32 @@ def knn(
 
     A query set of proven small size goes to every executor as one matrix; each batch of
     vectors is one matrix product of which only the best k per query leave the task.
-    A larger set is searched block by block, see ``knn_blocks``.
+    A larger set is searched block by block, see ``knn_blocks``. Rows without a vector
+    cannot be ranked and take no part.
     """
-    q = queries.select(F.col(query[0]).alias("query_id"), F.col(query[1]).alias("embedding"))
-    v = vectors.select(F.col(vec[0]).alias("id"), F.col(vec[1]).alias("embedding"))
+    q = queries.select(F.col(query[0]).alias("query_id"), _present(query[1]).alias("embedding"))
+    v = vectors.select(F.col(vec[0]).alias("id"), _present(vec[1]).alias("embedding"))
     # all vectors have one length; counting alone does not compute them
     n_queries = q.count()
     one = q.select(F.size("embedding").alias("dim")).first()
     if n_queries * (64 + 8 * (one["dim"] if one else 0)) > broadcast_bytes:
         return knn_blocks(v, q, k, n_queries, cell_rows)
 
-    held = q.toPandas()
-    shared = q.sparkSession.sparkContext.broadcast((held["query_id"].to_numpy(), _matrix(held["embedding"])))
+    shared = q.sparkSession.sparkContext.broadcast(_vectors(q.toArrow()))
     schema = _result_schema(q, v)
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, matrix = shared.value
         best: pd.DataFrame | None = None
         for batch in batches:
-            if not len(batch) or not len(ids):
+            if not len(batch) or not len(asked):
                 continue
-            found = _candidates(ids, matrix, batch["id"].to_numpy(), _matrix(batch["embedding"]), k)
-            if best is not None:
-                found = _best(pd.concat([best, found]), k)
-            best = found
+            found = _candidates(asked, matrix, *_vectors(batch), k)
+            best = found if best is None else _best(pd.concat([best, found]), k)
         if best is not None:
-            yield best
+            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    return _ranked(v.mapInPandas(search, schema), k)
+    return _ranked(v.mapInArrow(search, schema), k)
 
 
 def _result_schema(q: DataFrame, v: DataFrame) -> str:
@@ -250,12 +258,13 @@ def knn_blocks(v: DataFrame, q: DataFrame, k: int, n_queries: int, cell_rows: in
     left = q.withColumn("qb", block("query_id", q_blocks)).withColumn("vb", every(v_blocks))
     right = v.withColumn("vb", block("id", v_blocks)).withColumn("qb", every(q_blocks))
 
-    def cell(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+    def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         if not len(mine) or not len(theirs):
-            return pd.DataFrame({"query_id": mine["query_id"][:0], "id": theirs["id"][:0], "score": np.zeros(0)})
-        return _candidates(
-            mine["query_id"].to_numpy(), _matrix(mine["embedding"]), theirs["id"].to_numpy(), _matrix(theirs["embedding"]), k
-        )
+            return pa.table({"query_id": mine.column(0)[:0], "id": theirs.column(0)[:0], "score": pa.array([], pa.float64())})
+        return pa.Table.from_pandas(_candidates(*_vectors(mine), *_vectors(theirs), k), preserve_index=False)
+
+    def sides(rows: DataFrame) -> GroupedData:
+        return rows.select(rows.columns[0], "embedding", "qb", "vb").groupBy("qb", "vb")
 
-    cells = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInPandas(cell, schema)
+    cells = sides(left).cogroup(sides(right)).applyInArrow(cell, schema)
     return _ranked(cells, k)

@@ -289,7 +289,7 @@ SCORES = _scores()
 ORACLES: dict[str, str] = {
     "file_names": "SELECT page_id, regexp_extract(url, '[^/]+$') AS file_name FROM pages",
     "crypto_roundtrip": f"SELECT doc_id, strlen(text) AS plain_bytes, strlen(text) + {OVERHEAD} AS encrypted_bytes, true AS same FROM documents",
-    "input_size_summary": f"SELECT count(*) AS n_files, sum(strlen(text)) AS plain_bytes, sum(strlen(text) + {OVERHEAD}) AS encrypted_bytes FROM documents",
+    "input_size_summary": f"SELECT count(*) AS n_files, sum(strlen(text))::BIGINT AS plain_bytes, sum(strlen(text) + {OVERHEAD})::BIGINT AS encrypted_bytes FROM documents",
     "tampered_quarantine": f"WITH {FILES} SELECT file_path, file_name, CASE lang WHEN 'es' THEN 'authentication failed' ELSE 'shorter than nonce and tag' END AS reason FROM files WHERE lang IN ('es', 'fr')",
     "encrypted_files_roundtrip": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, len(string_split(text, chr(10))) AS n_elements FROM files",
     "json_props": "SELECT event_id, regexp_extract(props, '\"k\": *([0-9]+)', 1)::INT AS k FROM events",

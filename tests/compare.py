@@ -28,7 +28,7 @@ def _cell(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6)
+        return "nan" if math.isnan(value) else value
     if isinstance(value, (list, tuple)):
         return tuple(_cell(v) for v in value)
     if isinstance(value, int):
