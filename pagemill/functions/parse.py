@@ -65,7 +65,9 @@ PAGE_HEIGHT = 792.0
 
 def pdf_shows(content: Column) -> Column:
     """All shown strings of a PDF: array of (page, font, size, x, y, text), in stream order."""
-    streams = F.regexp_extract_all(F.decode(content, "ISO-8859-1"), F.lit(_STREAM), F.lit(1))
+    # the end is closed, so that streams left open are one match and not a search each
+    closed = F.concat(F.decode(content, "ISO-8859-1"), F.lit("\nendstream"))
+    streams = F.regexp_extract_all(closed, F.lit(_STREAM), F.lit(1))
 
     def show(op: Column, page: Column) -> Column:
         part = lambda n: F.regexp_extract(op, f"(?s){SHOW}", n)
@@ -208,8 +210,15 @@ def pdf_words(content: Column, bold_fonts: tuple[str, ...] = ("F2",)) -> Column:
 
 # --- HTML --------------------------------------------------------------------------
 
-_CUT, _TAG = "\u0001", "\u0002"
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<meta\b[^>]*>"
+_CUT, _TAG, _END = "\u0001", "\u0002", "\u0003"
+# What is not text. A page that leaves one of the first three open is closed at its end, so
+# that they always match; a navigation block ends at the next one at the latest. Either way
+# no opening tag makes the pattern run to the end of the page in vain.
+_HIDDEN = (
+    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"|<nav\b[^<]*+(?:<(?!/?nav\b)[^<]*+)*+</nav\s*>|<meta\b[^<>]*>"
+)
+_CLOSERS = "--></script></style>"
 _BLOCKS = "title|h1|h2|h3|h4|h5|h6|p|li|table|figure|header|footer|div|article|section|body|head|html|ul|ol|br"
 # Character references decoded in text.
 _REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -221,18 +230,19 @@ def html_text(html: Column, image_prefix: Column | None = None) -> Column:
     A table stays one element with cells split by `` | `` and rows by new lines; a figure
     takes its picture's ``alt`` text as description.
     """
-    text = F.regexp_replace(F.translate(F.coalesce(html, F.lit("")), _CUT + _TAG, "  "), _HIDDEN, "")
-    text = F.regexp_replace(text, r"(?is)</t[dh]\s*>\s*<t[dh]\b[^>]*>", " | ")
-    text = F.regexp_replace(text, r"(?is)</tr\s*>\s*<tr\b[^>]*>", "\n")
-    text = F.regexp_replace(text, rf"(?is)<({_BLOCKS})\b([^>]*)>", f"{_CUT}$1{_TAG}")
+    source = F.concat(F.translate(F.coalesce(html, F.lit("")), _CUT + _TAG + _END, "   "), F.lit(_END + _CLOSERS))
+    text = F.substring_index(F.regexp_replace(source, _HIDDEN, ""), _END, 1)
+    text = F.regexp_replace(text, r"(?is)</t[dh]\s*>\s*<t[dh]\b[^<>]*>", " | ")
+    text = F.regexp_replace(text, r"(?is)</tr\s*>\s*<tr\b[^<>]*>", "\n")
+    text = F.regexp_replace(text, rf"(?is)<({_BLOCKS})\b([^<>]*)>", f"{_CUT}$1{_TAG}")
     text = F.regexp_replace(text, rf"(?is)</({_BLOCKS})\s*>", f"{_CUT}{_TAG}")
-    text = F.regexp_replace(text, r'(?is)<img\b[^>]*\balt="([^"]*)"[^>]*>', f"{_TAG}$1{_TAG}")
+    text = F.regexp_replace(text, r'(?is)<img\b[^<>]*\balt="([^"<>]*)"[^<>]*>', f"{_TAG}$1{_TAG}")
     text = F.regexp_replace(text, r"(?s)<[^<>]*>", "")
 
     def decoded(value: Column) -> Column:
         for reference, char in _REFERENCES:
             value = F.replace(value, F.lit(reference), F.lit(char))
-        return F.regexp_replace(F.regexp_replace(value, r"[ \t\r\n]+$", ""), r"^[ \t\r\n]+", "")
+        return F.btrim(value, F.lit(" \t\r\n"))
 
     def block(piece: Column) -> Column:
         # tag, text, or for a figure: tag, text before the picture, alt text, text after it

@@ -67,6 +67,11 @@ def detection_input(pages: DataFrame, keys: Sequence[str], text: str = "page_con
     return filled.withColumn("prompt", prompt(F.col(text)))
 
 
+def pages_with_entities(pages: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The pages some entity row belongs to."""
+    return pages.join(rows.select(*keys), list(keys), "left_semi")
+
+
 def attach_entities(pages: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Entity rows back onto their pages; pages without any get an empty array.
 

@@ -32,7 +32,7 @@ def matches(page_words: Column, entities: Column, repeat: bool = False, loose: b
 
     def compared(token: Column) -> Column:
         bare = token_key(token)
-        return F.regexp_replace(bare, r"^[.\-]+|[.\-]+$", "") if loose else bare
+        return F.btrim(bare, F.lit(".-")) if loose else bare
 
     def held(tokens: Column) -> Column:
         return F.array_join(F.transform(tokens, lambda t: F.concat(F.lit("<"), compared(t), F.lit(">"))), "")
@@ -69,7 +69,18 @@ def matches(page_words: Column, entities: Column, repeat: bool = False, loose: b
             F.struct(F.get(mark, F.lit(0)).cast("int").alias("ent"), F.get(mark, F.lit(1)).cast("int").alias("offset")),
         )
 
-    hay = F.aggregate(F.transform(entities, job), held(page_words), take)
+    jobs = F.transform(entities, job)
+    if repeat:
+        # the first of equal entities takes all their runs, the others need not look
+        by_probe = F.array_sort(F.transform(jobs, lambda j, i: F.struct(j["probe"].alias("probe"), i.alias("i"))))
+        first = let(
+            by_probe,
+            lambda ordered: F.filter(
+                ordered, lambda j, n: F.when(n > 0, F.get(ordered, n - 1)["probe"] != j["probe"]).otherwise(F.lit(True))
+            ),
+        )
+        jobs = let(jobs, lambda all_: F.transform(F.array_sort(first["i"]), lambda i: F.get(all_, i)))
+    hay = F.aggregate(jobs, held(page_words), take)
     inner = let(hay, lambda h: F.substr(h, F.lit(2), F.length(h) - 2))
     return F.when(
         (F.size(entities) > 0) & (F.size(page_words) > 0),
@@ -93,6 +104,11 @@ def split_mask(masked: Column, run: Column) -> Column:
     return F.transform(run, lambda word, offset: mask_piece(masked, run, offset))
 
 
+def with_words(pages: DataFrame, text: str = "page_content") -> DataFrame:
+    """Pages with ``words`` where there is an entity to look for; the others need none."""
+    return pages.withColumn("words", F.when(F.size("entities") > 0, words(F.col(text))))
+
+
 def with_redactions(
     pages: DataFrame,
     page_words: str = "words",
@@ -109,9 +125,12 @@ def with_redactions(
     matched = pages.withColumn("matched", matches(F.col(page_words), F.col("entities"), repeat, loose))
 
     def kept(word: Column, mask: Column) -> Column:
-        lead = F.regexp_extract(word, r"^[^\p{L}\p{N}_@.\-]*", 0)
-        tail = F.regexp_extract(word, r"[^\p{L}\p{N}_@.\-]*$", 0)
-        core = F.regexp_replace(F.regexp_replace(mask, r"^[^\p{L}\p{N}_@.*\-]+", ""), r"[^\p{L}\p{N}_@.*\-]+$", "")
+        # the end of a word is read as the start of its reverse: a pattern tied to the end
+        # would be tried from every place of a long run
+        edge, star_edge = r"^[^\p{L}\p{N}_@.\-]*", r"^[^\p{L}\p{N}_@.*\-]+"
+        lead = F.regexp_extract(word, edge, 0)
+        tail = F.reverse(F.regexp_extract(F.reverse(word), edge, 0))
+        core = F.reverse(F.regexp_replace(F.reverse(F.regexp_replace(mask, star_edge, "")), star_edge, ""))
         return F.when(lead == word, word).otherwise(F.concat(lead, core, tail))
 
     def redaction(match: Column, pos: Column) -> Column:
@@ -168,7 +187,7 @@ def redact(
     keep_punctuation: bool = True,
 ) -> DataFrame:
     """Text in, redacted text out, for pages that carry ``entities``; the safe choices by default."""
-    cut = pages.withColumn("words", words(F.col(text)))
+    cut = with_words(pages, text)
     return redacted_text(with_redactions(cut, "words", repeat, loose, keep_punctuation), text)
 
 
@@ -182,11 +201,12 @@ def leaked(output: Column, entities: Column) -> Column:
         F.size(entities) > 0,
         let(
             _folded(output),
-            lambda text: F.filter(
-                entities,
-                lambda e: let(
-                    _folded(e["original"]), lambda o: (F.length(o) > 2) & text.contains(o)
+            lambda text: let(
+                F.filter(
+                    F.array_distinct(entities["original"]),
+                    lambda original: let(_folded(original), lambda o: (F.length(o) > 2) & text.contains(o)),
                 ),
+                lambda shown: F.filter(entities, lambda e: F.array_contains(shown, e["original"])),
             ),
         ),
     ).otherwise(F.filter(entities, lambda e: F.lit(False)))

@@ -176,7 +176,8 @@ LANGUAGE = f"scores AS (SELECT doc_id, lang, {_LANG_COUNTS} FROM documents), tol
 def _html() -> str:
     cut, tag = "chr(1)", "chr(2)"
     s = f"translate(html, chr(1) || chr(2), '  ')"
-    s = f"regexp_replace({s}, {q(parse._HIDDEN)}, '', 'g')"
+    hidden = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>|<meta\b[^>]*>"
+    s = f"regexp_replace({s}, {q(hidden)}, '', 'g')"
     s = f"regexp_replace({s}, '(?is)</t[dh]\\s*>\\s*<t[dh]\\b[^>]*>', ' | ', 'g')"
     s = f"regexp_replace({s}, '(?is)</tr\\s*>\\s*<tr\\b[^>]*>', chr(10), 'g')"
     s = f"regexp_replace({s}, '(?is)<({parse._BLOCKS})\\b([^>]*)>', {cut} || '\\1' || {tag}, 'g')"
@@ -329,6 +330,7 @@ ORACLES: dict[str, str] = {
     "pii_entities": f"WITH {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
     "pii_counts": f"WITH {ENTITIES} SELECT doc_id, count(*) AS n_entities FROM entities GROUP BY doc_id",
     "pii_by_category": f"WITH {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
+    "documents_with_pii": f"WITH {ENTITIES} SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM entities)",
     "mask_replace": masked_documents(pii.PUBLISHED, REPLACED),
     "mask_emails": masked_documents(("EMAIL",), REPLACED),
     "mask_cards": masked_documents(("CREDIT_CARD",), REPLACED),

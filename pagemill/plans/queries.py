@@ -345,6 +345,11 @@ def pii_by_category(spark, sf):
     return rows.groupBy("category").agg(F.count("*").alias("n_entities"))
 
 
+def documents_with_pii(spark, sf):
+    rows = detect.entity_rows(detected(spark, sf), ["doc_id"])
+    return detect.pages_with_entities(table(spark, sf, "documents").select("doc_id", "source"), rows, ["doc_id"])
+
+
 def mask_replace(spark, sf):
     return documents(spark, sf, "doc_id", "text").select("doc_id", pii.mask_in_text(F.col("text")).alias("masked"))
 
@@ -382,8 +387,7 @@ def parse_response(spark, sf):
 
 
 def _mapped(spark: SparkSession, sf: str, **options) -> DataFrame:
-    pages = detected(spark, sf).withColumn("words", text.words(F.col("text")))
-    return redact.with_redactions(pages, **options)
+    return redact.with_redactions(redact.with_words(detected(spark, sf), "text"), **options)
 
 
 def map_words(spark, sf):
@@ -392,7 +396,7 @@ def map_words(spark, sf):
 
 def split_mask(spark, sf):
     """Masks without blanks have too few tokens, so they are cut by the lengths of the words."""
-    pages = detected(spark, sf).withColumn("words", text.words(F.col("text")))
+    pages = redact.with_words(detected(spark, sf), "text")
     tight = F.transform(
         "entities",
         lambda e: F.struct(e["original"], F.replace(e["masked"], F.lit(" "), F.lit("")).alias("masked"), e["category"]),
@@ -598,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pii_entities": pii_entities,
     "pii_counts": pii_counts,
     "pii_by_category": pii_by_category,
+    "documents_with_pii": documents_with_pii,
     "mask_replace": mask_replace,
     "mask_emails": _mask_one("EMAIL"),
     "mask_cards": _mask_one("CREDIT_CARD"),

@@ -200,3 +200,10 @@ def test_words_as_python_splits_them(spark):
     texts = ["a b", " a\tb\n", "a b c", "\x1ca\x1fb", "", "\n \n", "x\u0085y　z", "zero​width"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [list(r[0]) for r in frame.select(text.words(F.col("t"))).collect()] == [t.split() for t in texts]
+
+
+def test_html_left_open_swallows_what_a_browser_would_not_show(spark):
+    pages = ["<p>a</p><script>var x = '<p>b</p>'", "<p>a</p><!-- b <p>c", "<p>a<nav><p>b", "<p>a --> b</p>", "<p>a</p><style>p{}"]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    found = {r.i: list(r.c) for r in frame.select("i", parse.html_text(F.col("html"))["document"]["elements"]["content"].alias("c")).collect()}
+    assert found == {0: ["a"], 1: ["a"], 2: ["a", "b"], 3: ["a --> b"], 4: ["a"]}
