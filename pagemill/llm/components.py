@@ -17,7 +17,7 @@ def roots(links: DataFrame) -> DataFrame:
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = _mark(edges)
     while True:
-        edges = stored(_small_star(_large_star(edges, mark[0])))
+        edges = stored(_small_star(stored(_large_star(edges, mark[0])), 2 * mark[0]))
         before, mark = mark, _mark(edges)
         if before == mark:
             break
@@ -45,9 +45,8 @@ def _large_star(edges: DataFrame, count: int) -> DataFrame:
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Links here point from the larger to the smaller node, so no node but a root has many in ``u``."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = edges.join(least, "u")
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    linked = attach(edges, least, "u", "degree", total)
     moved = linked.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.tables import text_table
-from . import exact_dedup, simhash
+from ..sources.tables import table, text_table
+from . import decontaminate, exact_dedup, packing, quality, simhash
+
+# Part of the ids that no label is learnt from.
+HELD_OUT = "pmod(crc32(cast(cast({0} AS string) AS binary)), 4) = 2"
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of an installed public tokenizer, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -13,6 +23,26 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contained_items(text_table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf: str) -> quality.Model:
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    return quality.train(docs, labels, learn_from=~F.expr(HELD_OUT.format("_id")))
+
+
+def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = text_table(spark, sf, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.expr(HELD_OUT.format("doc_id")), F.lit(False))
+    return quality.scores(docs, quality_model(spark, docs, sf)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack(text_table(spark, sf, "documents", "doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(text_table(spark, sf, "documents", "doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -20,6 +50,9 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
@@ -36,4 +69,20 @@ ORACLES = {
                text_sha256
         FROM t
     """,
+    "op3_benchmark_decontamination": r"""
+        WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+        b AS (SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+        ds AS (
+            SELECT DISTINCT id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+            FROM d WHERE len(w) > 0
+        ),
+        bs AS (
+            SELECT DISTINCT id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+            FROM b WHERE len(w) > 0
+        ),
+        sizes AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
+        SELECT ds.id AS doc_id, bs.id AS item_id, n AS item_shingles, count(*) AS shared, count(*)::DOUBLE / n AS containment
+        FROM ds JOIN bs USING (s) JOIN sizes ON sizes.id = bs.id
+        GROUP BY ALL HAVING 5 * count(*) >= 4 * n
+    """,
 }
