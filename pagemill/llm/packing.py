@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import small, stored, whole_text
 from .hilbert import hilbert_keys
+from .prefix import running_sums
 
 LENGTH = 2048
 END_ID = 1
@@ -144,40 +145,6 @@ def _kind(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-def running_starts(rows: DataFrame, order: list[str], size: str, carry: list[str]) -> DataFrame:
-    """The ``carry`` columns with ``start``: the sum of ``size`` over all rows before, in the given order.
-
-    Rows are range-partitioned and summed within their partition; the sums of whole partitions, one
-    number each, shift them. ``order`` should be unique, or equal rows stand in any order.
-    """
-    spark = rows.sparkSession
-    kinds = dict(rows.dtypes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            sizes = batch.column(batch.schema.get_field_index(size)).to_numpy()
-            sums = before + np.cumsum(sizes)
-            before = int(sums[-1]) if len(sums) else before
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in carry]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sums - sizes), pa.array(sums), pa.array(np.full(len(sums), part, np.int32))], names=[*carry, "_before", "_after", "_part"]
-            )
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), "_before long, _after long, _part int"])
-    local = stored(sorted_.mapInArrow(run, schema))
-    # one row per range partition
-    ends = sorted((r["_part"], r["end"]) for r in local.groupBy("_part").agg(F.max("_after").alias("end")).collect())
-    shifts, total = [], 0
-    for part, end in ends:
-        shifts.append((part, total))
-        total += end
-    shift = spark.createDataFrame(shifts, "_part int, _shift long")
-    return local.join(F.broadcast(shift), "_part").select(*[F.col(f"`{c}`") for c in carry], (F.col("_before") + F.col("_shift")).alias("start"))
-
-
 def _tail(total: int, length: int) -> list[int]:
     """Ends of the sequences behind the last full one: powers of two, largest first."""
     end, rest = total // length * length, total % length
@@ -197,7 +164,7 @@ def pack(
     ``tokenizer`` is the path of a tokenizer file that every executor can read.
     """
     tokens = stored(tokenised(docs, tokenizer, id_col, text_col, end_id))
-    places = stored(running_starts(tokens.select("key", "id", "row", "n"), ["key", "id", "row"], "n", ["row"]).withColumnRenamed("row", "_row"))
+    places = stored(running_sums(tokens.select("key", "id", "row", "n"), ["key", "id", "row"], {"start": "n"}, ["row"]).withColumnRenamed("row", "_row"))
     facts = tokens.agg(F.sum("n"), F.count(F.lit(1)), F.max(F.length("ids") / F.col("n"))).first()
     total, count, width = facts[0] or 0, facts[1], int(facts[2] or 2)
     ends, full, kind = np.array(_tail(total, length), np.int64), total // length, f"<u{width}"

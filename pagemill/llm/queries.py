@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table, text_table
-from . import decontaminate, exact_dedup, packing, quality, simhash
+from . import decontaminate, exact_dedup, packing, quality, sharding, simhash, substring
+
+SHARDS = 24
 
 # Part of the ids that no label is learnt from.
 HELD_OUT = "pmod(crc32(cast(cast({0} AS string) AS binary)), 4) = 2"
@@ -48,12 +50,25 @@ def op8_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.repeats(text_table(spark, sf, "documents", "doc_id", "text"))
+
+
+def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    dealt = sharding.shards_of(text_table(spark, sf, "documents", "doc_id", "text"), SHARDS)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES = {
