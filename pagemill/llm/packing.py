@@ -17,6 +17,7 @@ an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ BITS = 10
 BUCKETS = 4096
 SEED = 7
 # Words whose ids a worker remembers, and words of a text looked up at once.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 1_000_000
 SLICE_WORDS = 100_000
 
 
@@ -90,6 +91,12 @@ class WordIds:
         return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One memory of words per worker, which serves all its tasks."""
+    return WordIds(path)
+
+
 def _room(values: np.ndarray, size: int) -> np.ndarray:
     """The array, or one at least twice as long with the same beginning."""
     if size <= len(values):
@@ -120,7 +127,7 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_i
     rows = docs.select(F.col(id_col).alias("id"), whole_text(F.col(text_col)).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, projection, row = WordIds(tokenizer), _projection(), TaskContext.get().partitionId() << 33
+        words, projection, row = word_ids(tokenizer), _projection(), TaskContext.get().partitionId() << 33
         kind = _kind(max(words.size - 1, end_id))
         for batch in batches:
             for at in range(0, len(batch), 256):
