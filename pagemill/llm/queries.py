@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table, text_table
-from . import decontaminate, exact_dedup, packing, quality, sharding, simhash, substring
+from . import decontaminate, exact_dedup, extraction, licences, packing, preference, quality, sharding, simhash, substring
 
 SHARDS = 24
 
@@ -25,6 +25,11 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    found = extraction.extract(text_table(spark, sf, "pages", "page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contained_items(text_table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark"))
 
@@ -40,6 +45,30 @@ def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scores(docs, quality_model(spark, docs, sf)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def _joined(segments: str) -> Column:
+    return F.array_join(F.col(f"{segments}.text"), "")
+
+
+def _learnt_chars(segments: str) -> Column:
+    return F.aggregate(segments, F.lit(0).cast("long"), lambda n, s: n + F.when(s["learnt"], F.length(s["text"])).otherwise(0))
+
+
+def op5_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    turns = text_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    rejected = preference.swapped_replies(turns)
+    made = preference.format_pairs(turns, rejected, pair="conv_id")
+    return made.select(
+        "pair_id", "prompt_turns", F.md5("prompt").alias("prompt_md5"), F.length("prompt").cast("long").alias("prompt_chars"),
+        F.md5(_joined("chosen")).alias("chosen_md5"), _learnt_chars("chosen").alias("chosen_learnt"),
+        F.md5(_joined("rejected")).alias("rejected_md5"), _learnt_chars("rejected").alias("rejected_learnt"), "usable",
+    )
+
+
+def op6_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = licences.scan(text_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), F.array_join("unmatched", ",").alias("unmatched"))
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack(text_table(spark, sf, "documents", "doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -63,14 +92,52 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_preference_formatting": op5_preference_formatting,
+    "op6_licence_scan": op6_licence_scan,
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
+def _licence_sql() -> str:
+    """The scan in SQL: known sentences and rules as tables, the rules tried one after the other by recursion."""
+    names, rules = licences.knowledge()
+    keys, values = (", ".join(f"'{x}'" for x in part) for part in (names.keys(), names.values()))
+    listed = ", ".join(f"({n}, '{name}', '{ids}')" for n, (name, ids) in enumerate(rules, 1))
+    plain = "trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))"
+    told = f"array_to_string([coalesce(m[{plain}], '') FOR s IN {{0}}], '')"
+    stops = "regexp_split_to_array(regexp_replace(t, '[.;:!?]+(\\s|$)', chr(1) || '\\1', 'g'), chr(1) || '|\\n[^\\S\\n]*\\n')"
+    return f"""
+        WITH RECURSIVE k AS (SELECT map([{keys}], [{values}]) AS m),
+        rules(n, licence, ids) AS (VALUES {listed}),
+        d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        read AS (
+            SELECT doc_id, 1 AS way, {told.format(stops)} AS seq FROM d, k
+            UNION ALL
+            SELECT doc_id, 2 AS way, {told.format("string_split(t, chr(10))")} AS seq FROM d, k
+        ),
+        steps AS (
+            SELECT doc_id, way, 0 AS n, seq, []::VARCHAR[] AS found FROM read WHERE seq <> ''
+            UNION ALL
+            SELECT doc_id, way, rules.n, CASE WHEN contains(seq, ids) THEN replace(seq, ids, '|') ELSE seq END,
+                   CASE WHEN contains(seq, ids) THEN list_append(found, licence) ELSE found END
+            FROM steps JOIN rules ON rules.n = steps.n + 1
+        ),
+        ended AS (
+            SELECT doc_id, list_sort(list_distinct(flatten(list(found)))) AS f,
+                   list_sort(list_distinct(regexp_extract_all(string_agg(replace(seq, '|', ''), ''), '<([^>]*)>', 1))) AS u
+            FROM steps WHERE n = {len(rules)} GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(array_to_string(f, ','), '') AS licences,
+               coalesce(array_to_string([x FOR x IN u IF NOT list_contains(f, split_part(x, '#', 1))], ','), '') AS unmatched
+        FROM d LEFT JOIN ended USING (doc_id)
+    """
+
+
 ORACLES = {
     "op1_exact_dedup": """
         WITH t AS (
@@ -98,6 +165,30 @@ ORACLES = {
         sizes AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
         SELECT ds.id AS doc_id, bs.id AS item_id, n AS item_shingles, count(*) AS shared, count(*)::DOUBLE / n AS containment
         FROM ds JOIN bs USING (s) JOIN sizes ON sizes.id = bs.id
-        GROUP BY ALL HAVING 5 * count(*) >= 4 * n
+        GROUP BY ds.id, bs.id, n HAVING 5 * count(*) >= 4 * n
+    """,
+    "op5_preference_formatting": """
+        WITH replies AS (
+            SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+        ),
+        sides AS (
+            SELECT c.conv_id, c.turn, c.role, c.text AS a,
+                   CASE WHEN c.turn = r.last AND c.role = 'assistant' THEN o.reply ELSE c.text END AS b
+            FROM conversations c JOIN replies r USING (conv_id) JOIN replies o ON o.conv_id = xor(r.conv_id, 1)
+        ),
+        cut AS (SELECT conv_id, coalesce(min(turn) FILTER (WHERE a <> b), max(turn) + 1) AS m FROM sides GROUP BY conv_id),
+        made AS (
+            SELECT conv_id AS pair_id, count(*) FILTER (WHERE turn < m)::INTEGER AS prompt_turns,
+                   coalesce(string_agg('<|' || role || '|>' || chr(10) || a || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn < m), '') AS p,
+                   coalesce(string_agg('<|' || role || '|>' || chr(10) || a || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn >= m), '') AS c,
+                   coalesce(string_agg('<|' || role || '|>' || chr(10) || b || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn >= m), '') AS r,
+                   coalesce(sum(length(a) + 8) FILTER (WHERE turn >= m AND role = 'assistant'), 0)::BIGINT AS chosen_learnt,
+                   coalesce(sum(length(b) + 8) FILTER (WHERE turn >= m AND role = 'assistant'), 0)::BIGINT AS rejected_learnt
+            FROM sides JOIN cut USING (conv_id) GROUP BY conv_id
+        )
+        SELECT pair_id, prompt_turns, md5(p) AS prompt_md5, length(p) AS prompt_chars, md5(c) AS chosen_md5, chosen_learnt,
+               md5(r) AS rejected_md5, rejected_learnt, chosen_learnt > 0 AND rejected_learnt > 0 AS usable
+        FROM made
     """,
+    "op6_licence_scan": _licence_sql(),
 }

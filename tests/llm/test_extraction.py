@@ -1,0 +1,96 @@
+import random
+import re
+import time
+from html import escape, unescape
+
+from pagemill.llm import extraction
+from pagemill.llm.markup import read
+
+from .helpers import clashing, rows
+
+SF = "/root/testdata/sf0.01"
+
+
+def article_by_hand(html):
+    """The given pages have one article element and paragraphs in it."""
+    body = re.search(r"<article>(.*?)(?:</article>|\Z)", html or "", re.S)
+    blocks = re.split(r"</?(?:h1|h2|p|ul|li|div)\b[^>]*>", body[1] if body else "")
+    clean = [re.sub(r"\s+", " ", unescape(re.sub(r"<[^>]*>", " ", b))).strip() for b in blocks]
+    return "\n\n".join(c for c in clean if c)
+
+
+def test_given_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r.text for r in extraction.extract(clashing(pages)).collect()}
+    want = {r.page_id: article_by_hand(r.html) for r in pages.collect()}
+    assert {i for i in want if re.sub(r"\s+", "", want[i]) != re.sub(r"\s+", "", got[i])} == set()
+
+
+def sentences(rng, n):
+    return " ".join(" ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(rng.randint(6, 14))) + "." for _ in range(n))
+
+
+def page(rng, style):
+    blocks = [sentences(rng, rng.randint(1, 5)) for _ in range(rng.randint(1, 6))]
+    head, other = sentences(rng, 1), sentences(rng, 2)
+    body = "".join(f"<p>{escape(b)}</p>" for b in blocks)
+    wanted = "\n\n".join(re.sub(r"\s+", " ", b) for b in [head, *blocks])
+    top = f"<html><head><title>{head}</title><style>p>a{{}}</style></head><body class='has-sidebar'><header><a href=/>Site</a> {other}</header><nav><ul><li>{other}<li>Home</ul></nav>"
+    if style == "article":
+        html = f"{top}<main><article><h1>{head}</h1>{body}<aside>{other}</aside><form>{other}<input></form></article></main><section id=comments><p>{sentences(rng, 9)}</p></section><footer>{other}</footer>"
+    elif style == "divs":  # nothing named: only the template tells where the article is
+        html = f"{top}<div class=c1><div class=c2><div>Latest news and more</div><h1>{head}</h1>{body}</div><div class=c3>Subscribe today</div></div><div class='cookie-notice'>{other}</div><script>if(a<b)document.write('<p>no</p>')</script>"
+    else:
+        html = f"{top}<div id=content class='post-body'><div class='ad-slot'>{other}</div><h1>{head}</h1>{body}<div class='share buttons'>Share this</div><div class='comments'>{sentences(rng, 20)}</div></div><div class=sidebar>{sentences(rng, 20)}</div>"
+    return html, wanted
+
+
+def test_templates_of_several_kinds(spark):
+    rng = random.Random(3)
+    table, want = [], {}
+    for style in ("article", "divs", "named"):
+        for _ in range(12):
+            html, wanted = page(rng, style)
+            want[len(table)] = wanted
+            table.append((len(table), f"https://{style}.example.com/p/{len(table)}", html))
+    df = spark.createDataFrame(table, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extraction.extract(df).collect()}
+    assert got == want
+
+
+def test_a_host_of_copies_keeps_its_text(spark):
+    rng = random.Random(4)
+    html, wanted = page(rng, "divs")
+    table = [(i, "http://copies.example.com/a", html) for i in range(40)]
+    near = [(100 + i, "http://near.example.com/a", html.replace("Home", f"Home {i}")) for i in range(40)]
+    df = spark.createDataFrame(table + near, "page_id long, url string, html string")
+    for r in extraction.extract(df).collect():
+        assert wanted in r.text
+
+
+def test_classes_have_one_occurrence_vector():
+    holder, fixed = extraction.template_of(
+        4,
+        [("html", "open", 1, "4 4 7", 4, 0), ("html/body", "open", 2, "4 4 7", 4, 0), ("html/body/div", "open", 3, "4 4 7", 4, 0), ("html/body/div/p", "open", 4, "4 9 8", 9, 900),
+         ("html/body/x/y", "open", 5, "3 3 2", 3, 5), ("html/body/div", "text 6", 6, "4 4 7", 4, 0)],
+    )
+    assert holder == "html/body/div" and fixed == [6]
+
+
+def test_defined_results(spark):
+    cases = [
+        (1, "http://a.example.com", None, ""), (2, None, "", ""), (3, "no url", "plain &amp; simple\n text", "plain & simple text"), (None, "http://b.example.com/", "<p>a&nbsp;b<p>c<br>d", "a b\n\nc d"),
+        (5, "http://c.example.com/", "<p>1 < 2 &lt; 3 &#233;</p></div></p>x", "1 < 2 < 3 é\n\nx"), (6, "http://d.example.com/", "<script>never", ""), (7, "http://e.example.com/", "<!-- <p>no</p> --><p>yes", "yes"),
+        (8, "http://e.example.com/", "<p title='a>b'>q</p>", "q"), (8, "http://e.example.com/", "<p title='a>b'>q</p>", "q"),
+    ]
+    df = spark.createDataFrame([c[:3] for c in cases], "page_id long, url string, html string")
+    assert sorted(rows(extraction.extract(clashing(df))), key=str) == sorted(((i, u, t) for i, u, _, t in cases), key=str)
+    assert extraction.extract(df.limit(0)).count() == 0
+
+
+def test_hostile_pages_stay_linear():
+    for hostile in ("<a '" * 4000, "<" * 200_000, "<div>" * 4000, "<p>x" * 40_000, "<b x=\"" * 20_000, "&amp" * 50_000, "<!--" * 50_000):
+        at = time.time()
+        sum(1 for _ in read(hostile))
+        extraction.main_text(hostile)
+        assert time.time() - at < 20
