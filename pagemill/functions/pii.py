@@ -19,11 +19,16 @@ from .binding import let
 from .text import stars
 
 _NAME = r"\p{Lu}[\p{L}'\-]+(?: \p{Lu}\.)?[ \n]\p{Lu}[\p{L}'\-]+(?: \p{Lu}[\p{L}'\-]+)?"
-_CODE = r"[A-Za-z0-9\-]{0,20}[0-9][A-Za-z0-9\-]{0,20}"
-_DATE = r"[0-9]{1,4}[/.\-][0-9]{1,2}[/.\-][0-9]{1,4}"
-_FIRM = r"\p{Lu}[\p{L}&\-]+(?: \p{Lu}[\p{L}&\-]+){0,4}"
+# Repetitions of one class of characters have no upper count: a value is taken whole. They stay
+# linear, as each begins at a place where nothing of its own class stands before.
+_CODE = r"[A-Za-z\-]*[0-9][A-Za-z0-9\-]*"
+_MONTH = r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_DATE = rf"[0-9]+[/.\-][0-9]+[/.\-][0-9]+|{_MONTH}\.?[ \n][0-9]+,?[ \n][0-9]+|[0-9]+\.?[ \n]{_MONTH}\.?,?[ \n][0-9]+"
+_FIRM = r"\p{Lu}[\p{L}&\-]+(?: \p{Lu}[\p{L}&\-]+)*"
 _NO = r"(?: number| no\.?)?"
-_SEP = "[:#]? {0,3}"
+# White space of any length may stand between a cue and its value, a line break too.
+_GAP = r"[ \t\r\n\f]*"
+_SEP = f"[:#]?{_GAP}"
 
 # The fifteen classes. Order is priority where two classes start together.
 ORDER = (
@@ -34,7 +39,7 @@ ORDER = (
 
 # Classes known by their own shape.
 SHAPES: dict[str, str] = {
-    "EMAIL": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]{1,190}\.[A-Za-z]{2,24}",
+    "EMAIL": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}",
     "IP_ADDRESS": r"<(?:[0-9]{1,3}\.){3}[0-9]{1,3}>",
     "CREDIT_CARD": r"<(?:[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}|[0-9]{4}[ \-]?[0-9]{6}[ \-]?[0-9]{5})>",
     "SSN": r"<[0-9]{3}-[0-9]{2}-[0-9]{4}>",
@@ -45,7 +50,7 @@ SHAPES: dict[str, str] = {
     "ADDRESS": (
         r"<[0-9]{1,6}[ \n](?:\p{Lu}[\p{L}'\-]*\.?[ \n]){1,4}"
         r"(?:Street|Road|Avenue|Boulevard|Lane|Drive|Court|Way|Place|Parkway|St|Rd|Ave|Blvd|Ln|Dr|Ct|Pl|Pkwy)>\.?"
-        r"(?:,?[ \n](?:Apt|Suite|Unit|No)\.?[ \n][0-9A-Za-z]{1,8})?"
+        r"(?:,?[ \n](?:Apt|Suite|Unit|No)\.?[ \n][0-9A-Za-z]+)?"
         r"(?:,[ \n]\p{Lu}[\p{L}'\-]*(?: \p{Lu}[\p{L}'\-]*){0,3},[ \n][A-Z]{2}[ \n][0-9]{5}(?:-[0-9]{4})?)?"
     ),
 }
@@ -56,18 +61,18 @@ CUES: dict[str, tuple[tuple[str, ...], str, str]] = {
     "DRIVER_LICENSE": ((r"driver'?s? licen[cs]e" + _NO,), _SEP, _CODE),
     "PASSPORT_NUMBER": (("passport" + _NO,), _SEP, _CODE),
     "BANK_ACCOUNT": (
-        ("bank account" + _NO, "bank routing" + _NO, "account" + _NO, "routing" + _NO), _SEP, r"[0-9]{6,17}"
+        ("bank account" + _NO, "bank routing" + _NO, "account" + _NO, "routing" + _NO), _SEP, r"[0-9]{6,}"
     ),
     "MEDICAL_RECORD_NUMBER": (("mrn", "medical record" + _NO), _SEP, _CODE),
     "NATIONAL_ID": (("national id" + _NO, "national identity" + _NO), _SEP, _CODE),
     "AGE": (("aged", "age"), _SEP, r"[0-9]{1,3}>"),
-    "ORGANIZATION": (("employer", "company", "organi[sz]ation"), "[:#] {0,3}", _FIRM),
+    "ORGANIZATION": (("employer", "company", "organi[sz]ation"), f"[:#]{_GAP}", _FIRM),
     "PERSON_NAME": (
         (
-            "candidate", "employee", "applicant", "patient", "customer", "cardmember", "cardholder",
-            "contact", "manager", "partner", "examiner", "prepared by", "reviewed by", "full name", "name",
+            "candidate", "employee", "applicant", "patient", "customer", "card ?member", "card ?holder", "analyst", "author",
+            "contact", "manager", "partner", "examiner", "(?:prepared|reviewed|submitted|approved) by", "full name", "name",
         ),
-        ": {0,3}",
+        f":{_GAP}",
         _NAME,
     ),
 }
@@ -81,8 +86,11 @@ _HINT = "[0-9@:#]|M[rs]|Dr"
 PUBLISHED = ("EMAIL", "PERSON_NAME", "CREDIT_CARD", "SSN", "PHONE_NUMBER", "ADDRESS")
 # Classes that keep their last four digits at the same length.
 KEEP_LAST_FOUR = ("PHONE_NUMBER", "CREDIT_CARD", "DRIVER_LICENSE", "PASSPORT_NUMBER", "SSN")
-_STARTS = "(?<![0-9A-Za-z_])"
-_ENDS = "(?![0-9A-Za-z_])"
+_WORD_STARTS = r"(?<![\p{L}\p{N}_])"
+_WORD_ENDS = r"(?![\p{L}\p{N}_])"
+
+# A letter behind the first of the last four digits is hidden like any other.
+LETTERS = r"\p{L}"
 
 LAST_FOUR = r"[0-9][^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9][^0-9]*$"
 
@@ -117,6 +125,11 @@ def alternation(classes: Sequence[str] = ORDER) -> str:
 _JAVA_EDGES = ("(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])")
 
 
+def _first_letters(cue: str) -> set[str]:
+    """What a cue can begin with: its first letter, or those of the words in a group at its head."""
+    return {word[0] for word in cue[3 : cue.index(")")].split("|")} if cue.startswith("(?:") else {cue[0]}
+
+
 def fast_alternation(classes: Sequence[str] = ORDER) -> str:
     """Same matches as ``alternation``, for Java only.
 
@@ -136,8 +149,8 @@ def fast_alternation(classes: Sequence[str] = ORDER) -> str:
     for name in wanted:
         if name in CUES:
             cues, sep, value = CUES[name]
-            for letter in sorted({c[0] for c in cues}):
-                own = "|".join(c for c in cues if c[0] == letter)
+            for letter in sorted({letter for c in cues for letter in _first_letters(c)}):
+                own = "|".join(c for c in cues if letter in _first_letters(c))
                 by_letter.setdefault(letter, []).append(_edges(f"(?:(?i:{own}){sep}(?:{value}))", _JAVA_EDGES))
     if "PERSON_NAME" in wanted:
         for letter in "dm":
@@ -199,7 +212,7 @@ def mask_same_length(original: Column, category: Column) -> Column:
     at = F.instr(original, "@")
     number = F.regexp_extract(original, r"^[0-9]+", 0)
     return (
-        F.when(category.isin(*KEEP_LAST_FOUR), F.concat(stars(head), tail))
+        F.when(category.isin(*KEEP_LAST_FOUR), F.concat(stars(head), F.regexp_replace(tail, LETTERS, "*")))
         .when(category == "EMAIL", F.concat(stars(F.left(original, at)), F.substr(original, at + 1)))
         .when(category == "ADDRESS", F.concat(stars(number), F.substr(original, F.length(number) + 1)))
         .otherwise(stars(original))
@@ -274,6 +287,24 @@ def masked_text(
     )
 
 
+def known_masked(text: Column, known: Column) -> Column:
+    """Every occurrence of the known values as whole words masked: one pass for each distinct mask.
+
+    The values of one mask are one pattern, longest first, with the edge of a word on either side.
+    """
+    longest_first = F.array_sort(known, lambda a, b: F.length(b["original"]) - F.length(a["original"]))
+
+    def swap(acc: Column, mask: Column, values: Column) -> Column:
+        own = F.transform(F.filter(values, lambda e: e["masked"] == mask), lambda e: F.concat(F.lit("\\Q"), e["original"], F.lit("\\E")))
+        pattern = F.concat(F.lit(f"{_WORD_STARTS}(?:"), F.array_join(own, "|"), F.lit(f"){_WORD_ENDS}"))
+        return F.regexp_replace(acc, pattern, F.regexp_replace(mask, r"([\\$])", r"\\$1"))
+
+    return let(
+        longest_first,
+        lambda values: F.aggregate(F.array_distinct(F.transform(values, lambda e: e["masked"])), text, lambda acc, mask: swap(acc, mask, values)),
+    )
+
+
 def mask_in_text(
     text: Column,
     classes: Sequence[str] = PUBLISHED,
@@ -290,6 +321,6 @@ def mask_in_text(
         known = F.array_distinct(
             F.filter(entities_in(parts, classes, mask), lambda e: e["category"].isin(*spread_over))
         )
-        return F.aggregate(known, masked, lambda acc, e: F.replace(acc, e["original"], e["masked"]))
+        return known_masked(masked, known)
 
     return let(cut(text, classes), lambda parts: F.when(F.size(parts) > 1, whole(parts)).otherwise(text))

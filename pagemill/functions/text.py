@@ -17,6 +17,11 @@ TOKEN_NOISE = r"[^\p{L}\p{N}_@.\-]"
 LETTERS_DIGITS = r"[\p{L}\p{N}]"
 
 
+def decoded(path: Column) -> Column:
+    """A path as the file source gives it, without URL encoding; a plus sign is no blank there."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/]+$", 0)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import classify, crypto, text
 from ..functions.binding import only
 from ..schemas import CATEGORIES, PARSED
+from ..sources.files import MAX_FILE_BYTES
 
 Parser = Callable[[Column], Column]
 
@@ -29,10 +30,11 @@ def opened(files: DataFrame, key: bytes, on_error: str = "fail") -> DataFrame:
     return files.select(*[c for c in files.columns if c != "content"], plain.alias("content"))
 
 
-def quarantined(files: DataFrame, key: bytes) -> DataFrame:
+def quarantined(files: DataFrame, key: bytes, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """The files ``opened`` leaves out, with the reason."""
     reason = (
-        F.when(F.col("content").isNull(), F.lit("no content"))
+        F.when(F.col("content").isNull() & (F.col("length") > max_bytes), F.lit("not read: too large"))
+        .when(F.col("content").isNull(), F.lit("no content"))
         .when(F.octet_length("content") < crypto.OVERHEAD, F.lit("shorter than nonce and tag"))
         .otherwise(F.lit("authentication failed"))
     )

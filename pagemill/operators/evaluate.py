@@ -49,11 +49,25 @@ def conversation_pairs(turns: DataFrame) -> DataFrame:
 def with_answers(qa: DataFrame, answers: DataFrame, context: DataFrame | None = None) -> DataFrame:
     """Expected answers joined with given ones (``question, outputs``) and with retrieved context.
 
-    One answer and one context per question, so that a question asked often on both sides
-    does not multiply.
+    Every different answer to a question is a row of its own, told apart by ``answer_id``; the
+    same answer given again is not. All contexts of a question are one text, in the order of
+    their ``rank`` if there is one, so that they do not multiply the rows.
     """
-    joined = qa.join(answers.dropDuplicates(["question"]), "question", "left")
-    return joined if context is None else joined.join(context.dropDuplicates(["question"]), "question", "left")
+    told = answers.withColumn("_told", F.to_json(F.struct("outputs")))
+    if "answer_id" not in answers.columns:
+        told = told.withColumn("answer_id", F.xxhash64("_told"))
+    joined = qa.join(told.dropDuplicates(["question", "answer_id", "_told"]).drop("_told"), "question", "left")
+    return joined if context is None else joined.join(joined_context(context), "question", "left")
+
+
+def joined_context(context: DataFrame) -> DataFrame:
+    """(question, context): all retrieved texts of a question, the best first.
+
+    Retrieval gives k texts per question, so a group is bounded by k.
+    """
+    rank = F.col("rank").cast("long") if "rank" in context.columns else F.lit(0).cast("long")
+    listed = context.filter("context IS NOT NULL").groupBy("question").agg(F.sort_array(F.collect_set(F.struct(rank.alias("rank"), "context"))).alias("c"))
+    return listed.select("question", F.array_join("c.context", "\n").alias("context"))
 
 
 def same_document(left: Column, right: Column) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import pii
-from ..schemas import CATEGORIES, GOLD
+from ..functions.binding import only
+from ..schemas import CATEGORIES, GOLD, GOLD_ROWS
 from ..sources import versions
 
 
@@ -20,14 +21,24 @@ def masked_pages(
     pages: DataFrame,
     categories: Sequence[str] = tuple(CATEGORIES),
     mask: Callable[[Column], Column] = pii.mask_in_text,
+    masked: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Published columns of the pages that belong to a category; the raw text stays behind."""
-    return (
-        pages.filter(F.col("document_type").isin(*categories))
-        .withColumn("chunk_id", chunk_id(F.col("file_path"), F.col("page_id")))
-        .withColumn("page_content_masked", mask(F.col("page_content")))
-        .select(*GOLD)
-    )
+    """Published columns of the pages that belong to a category; the raw text stays behind.
+
+    ``masked`` is a whole step in place of ``mask``, such as a model's: a page for which it gives
+    no text although there is one is an error and not published, see ``unmasked``.
+    """
+    routed = pages.filter(F.col("document_type").isin(*categories)).withColumn("chunk_id", chunk_id(F.col("file_path"), F.col("page_id")))
+    if masked is None:
+        return routed.withColumn("page_content_masked", mask(F.col("page_content"))).select(*GOLD)
+    told = masked(routed).select(*GOLD, "error")
+    return told.select(only(F.struct(*told.columns), lambda r: r["error"].isNull()).alias("r")).select(*[f"r.{c}" for c in GOLD])
+
+
+def unmasked(pages: DataFrame, masked: Callable[[DataFrame], DataFrame], categories: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
+    """(file_path, page_id, error) of the pages that a masking step could not do."""
+    told = masked(pages.filter(F.col("document_type").isin(*categories))).select("file_path", "page_id", "error")
+    return told.select("file_path", "page_id", only(F.col("error"), lambda e: e.isNotNull()).alias("error"))
 
 
 def unrouted(pages: DataFrame, categories: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
@@ -51,7 +62,7 @@ def publish(gold: DataFrame, path: str, compact: bool = False) -> int:
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """All categories of the newest version, columns in their order."""
-    newest = versions.read_latest(spark, path)
+    newest = versions.read_latest(spark, path, GOLD_ROWS)
     if newest is None:
         raise ValueError(f"nothing has been published at {path}")
     return newest.select(*GOLD)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from ..functions.text import not_blank
 from . import detect
@@ -34,32 +37,36 @@ def map_batches(
     number of calls at one time is the number of running tasks.
     """
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + f", `{result}` {result_type}, `{error}` string"
+    place, kind = rows.columns.index(column), to_arrow_type(DataType.fromDDL(result_type))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), batch_rows):
-                part = batch.iloc[at : at + batch_rows].copy()
-                asked = part[column].notna()
-                given, problem = [None] * len(part), None
+                part = batch.slice(at, batch_rows)
+                # only the asked column is turned into Python values, all others stay as they are
+                values = part.column(place).to_pylist()
+                asked = [n for n, value in enumerate(values) if value is not None]
+                given, problem = [None] * len(values), None
                 try:
-                    answers = list(call(part.loc[asked, column])) if asked.any() else []
-                    if len(answers) != asked.sum():
-                        raise ValueError(f"{len(answers)} answers for {asked.sum()} rows")
-                    for place, answer in zip(asked.to_numpy().nonzero()[0], answers, strict=True):
-                        given[place] = answer
+                    answers = list(call(pd.Series([values[n] for n in asked]))) if asked else []
+                    if len(answers) != len(asked):
+                        raise ValueError(f"{len(answers)} answers for {len(asked)} rows")
+                    for n, answer in zip(asked, answers, strict=True):
+                        given[n] = answer
+                    told = pa.array(given, kind)
                 except Exception as failure:
                     problem = f"{type(failure).__name__}: {failure}"
-                part[result] = pd.Series(given, index=part.index, dtype=object)
-                part[error] = [problem if a else None for a in asked]
-                yield part
+                    told = pa.nulls(len(values), kind)
+                said = pa.array([problem if value is not None else None for value in values], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, told, said], names=[*part.schema.names, result, error])
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def masked(pages: DataFrame, call, text: str = "page_content", result: str = "page_content_masked") -> DataFrame:
+def masked(pages: DataFrame, call, text: str = "page_content", result: str = "page_content_masked", batch_rows: int = 64) -> DataFrame:
     """Pages masked for publishing by a model; a page that failed has no masked text and an ``error``."""
     request = F.when(not_blank(F.col(text)), F.concat(F.lit(MASKING_RULES), F.col(text)))
-    return map_batches(pages.withColumn("_request", request), call, "_request", result).drop("_request")
+    return map_batches(pages.withColumn("_request", request), call, "_request", result, batch_rows=batch_rows).drop("_request")
 
 
 def entities(pages: DataFrame, call, text: str = "page_content") -> DataFrame:

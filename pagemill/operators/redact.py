@@ -166,6 +166,21 @@ def redaction_boxes(pages: DataFrame, keys: Sequence[str], boxes: str = "boxes",
     ).filter((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0")))
 
 
+def boxes_of(pages: DataFrame, boxes: str = "boxes") -> Column:
+    """``redactions`` with the box of their word, as an array without the words themselves."""
+    placed = F.transform(
+        F.coalesce(F.col("redactions"), F.array().cast(pages.schema["redactions"].dataType)),
+        lambda r, i: F.when(
+            r.isNotNull(),
+            F.struct(
+                r["ent"].alias("ent"), i.alias("pos"), *[F.get(F.col(boxes), i)[f].alias(f) for f in ("x0", "y0", "x1", "y1", "fontname", "fontsize")],
+                r["category"].alias("category"), r["masked"].alias("masked"),
+            ),
+        ),
+    )
+    return F.array_compact(placed)
+
+
 def redaction_count(pages: DataFrame) -> DataFrame:
     """Masked words over all pages: one row."""
     per_page = F.size(F.filter(F.coalesce("redactions", F.array()), lambda r: r.isNotNull()))

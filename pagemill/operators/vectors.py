@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
-from ..functions.binding import only
+from ..session import stored
 from ..sources import versions
 
 # Most bytes of query vectors that are handed to every executor as one broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows of one side in a cell of the block search.
-CELL_ROWS = 20_000
 # Most scores a task holds at a time.
 SCORES_AT_ONCE = 8_000_000
 
@@ -82,12 +82,13 @@ def index_diff(source: DataFrame, index: DataFrame) -> DataFrame:
 
     Only keys and hashes are shuffled; texts and vectors stay where they are.
     """
-    new = source.select("chunk_id", content_hash(F.col("page_content_masked")).alias("new_hash"))
-    old = index.select("chunk_id", F.col("content_hash").alias("old_hash"))
+    new = source.select("chunk_id", content_hash(F.col("page_content_masked")).alias("new_hash"), F.lit(True).alias("in_source"))
+    old = index.select("chunk_id", F.col("content_hash").alias("old_hash"), F.lit(True).alias("in_index"))
+    # a page without text has no hash, so the hashes do not tell which side has the key
     action = (
-        F.when(F.col("old_hash").isNull(), F.lit("insert"))
-        .when(F.col("new_hash").isNull(), F.lit("delete"))
-        .when(F.col("old_hash") != F.col("new_hash"), F.lit("update"))
+        F.when(F.col("in_index").isNull(), F.lit("insert"))
+        .when(F.col("in_source").isNull(), F.lit("delete"))
+        .when(~F.col("old_hash").eqNullSafe(F.col("new_hash")), F.lit("update"))
     )
     return (
         new.join(old, "chunk_id", "full_outer")
@@ -114,7 +115,7 @@ def synced(
     and neither texts nor vectors are shuffled.
     """
     fresh = source.join(changes.filter("action <> 'delete'").select("chunk_id"), "chunk_id", "left_semi")
-    same = index.join(changes.filter("action <> 'insert'").select("chunk_id"), "chunk_id", "left_anti")
+    same = index.join(changes.select("chunk_id"), "chunk_id", "left_anti")
     return same.select("chunk_id", "content_hash", "embedding").unionByName(index_rows(fresh, embed))
 
 
@@ -134,6 +135,9 @@ def sync_index(
     """
     spark = source_ready(source, name).sparkSession
     index = read_index(spark, path)
+    doubled = source.groupBy("chunk_id").count().filter("count > 1 OR chunk_id IS NULL").first()
+    if doubled:
+        raise ValueError(f"{name} has {doubled['count']} rows of key {doubled['chunk_id']}; keys must be unique and not NULL")
     if index is None:
         return versions.write_next(index_rows(source, embed), path)
     feed = f"{path}/changes"
@@ -178,14 +182,13 @@ def _vectors(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ids, lists = rows.column(0), rows.column(1)
     if isinstance(rows, pa.Table):
         ids, lists = ids.combine_chunks(), lists.combine_chunks()
+    sizes = np.asarray(lists.value_lengths())
+    if len(sizes) and (sizes != sizes[0]).any():
+        raise ValueError(f"vectors of {sizes.min()} and of {sizes.max()} numbers cannot be compared")
     flat = np.asarray(lists.flatten(), dtype="float64")
     return ids.to_numpy(zero_copy_only=False), flat.reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
 
 
-def _present(column: str) -> Column:
-    return only(F.col(column), lambda e: e.isNotNull())
-
-
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -198,25 +201,35 @@ def knn(
     vec: tuple[str, str] = ("vec_id", "embedding"),
     query: tuple[str, str] = ("query_id", "embedding"),
     broadcast_bytes: int = BROADCAST_BYTES,
-    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Exact k best vectors per query by dot product: (query_id, id, score, rank).
 
-    A query set of proven small size goes to every executor as one matrix; each batch of
-    vectors is one matrix product of which only the best k per query leave the task.
-    A larger set is searched block by block, see ``knn_blocks``. Rows without a vector
-    cannot be ranked and take no part.
+    The queries are cut into pieces of proven size. A piece goes to every executor as one matrix,
+    and each batch of vectors is one matrix product of which only the best k per query leave the
+    task: vectors are never shuffled. Each piece is one scan of the vectors. Queries are computed
+    once and stored if there is more than one piece. Rows without a vector take no part.
     """
-    q = queries.select(F.col(query[0]).alias("query_id"), _present(query[1]).alias("embedding"))
-    v = vectors.select(F.col(vec[0]).alias("id"), _present(vec[1]).alias("embedding"))
-    # all vectors have one length; counting alone does not compute them
-    n_queries = q.count()
-    one = q.select(F.size("embedding").alias("dim")).first()
-    if n_queries * (64 + 8 * (one["dim"] if one else 0)) > broadcast_bytes:
-        return knn_blocks(v, q, k, n_queries, cell_rows)
+    q = queries.select(F.col(query[0]).alias("query_id"), F.col(query[1]).alias("embedding")).filter(F.col("embedding").isNotNull())
+    v = vectors.select(F.col(vec[0]).alias("id"), F.col(vec[1]).alias("embedding")).filter(F.col("embedding").isNotNull())
+    size = F.lit(64) + 8 * F.size("embedding") + (F.octet_length("query_id") if dict(q.dtypes)["query_id"] in ("string", "binary") else F.lit(16))
+    given = stored(q.withColumn("_bytes", size.cast("long")), "queries")
+    whole = given.agg(F.sum("_bytes")).first()[0] or 0
+    pieces = max(1, math.ceil(whole / max(1, broadcast_bytes // 2)))
+    found = [_searched(v, part, k) for part in _pieces(given, pieces)]
+    return _ranked(reduce(DataFrame.unionByName, found), k)
+
+
+def _pieces(given: DataFrame, pieces: int) -> Iterator[pa.Table]:
+    """The queries by a hash of their id, which deals unique ids evenly: about half the limit each."""
+    piece = F.pmod(F.xxhash64("query_id"), F.lit(pieces))
+    for n in range(pieces):
+        yield given.filter(piece == n).select("query_id", "embedding").toArrow()
+
 
-    shared = q.sparkSession.sparkContext.broadcast(_vectors(q.toArrow()))
-    schema = _result_schema(q, v)
+def _searched(v: DataFrame, piece: pa.Table, k: int) -> DataFrame:
+    spark = v.sparkSession
+    shared = spark.sparkContext.broadcast(_vectors(piece))
+    kind = from_arrow_type(piece.schema.field("query_id").type).simpleString()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, matrix = shared.value
@@ -224,47 +237,12 @@ def knn(
         for batch in batches:
             if not len(batch) or not len(asked):
                 continue
-            found = _candidates(asked, matrix, *_vectors(batch), k)
+            ids, theirs = _vectors(batch)
+            if theirs.shape[1] != matrix.shape[1]:
+                raise ValueError(f"vectors of {theirs.shape[1]} numbers cannot be compared with queries of {matrix.shape[1]}")
+            found = _candidates(asked, matrix, ids, theirs, k)
             best = found if best is None else _best(pd.concat([best, found]), k)
         if best is not None:
             yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    return _ranked(v.mapInArrow(search, schema), k)
-
-
-def _result_schema(q: DataFrame, v: DataFrame) -> str:
-    kinds = dict(q.dtypes)["query_id"], dict(v.dtypes)["id"]
-    return f"query_id {kinds[0]}, id {kinds[1]}, score double"
-
-
-def knn_blocks(v: DataFrame, q: DataFrame, k: int, n_queries: int, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """The same answer for a query set of any size.
-
-    Both sides are cut into blocks by a hash of their key; a cell of the grid is one task
-    with a bounded number of rows of each side, and gives off its best k per query. Ids
-    are unique, so no block can be hot whatever the vectors hold.
-    """
-    n_vectors = v.count()
-    q_blocks = max(1, math.ceil(n_queries / cell_rows))
-    v_blocks = max(1, math.ceil(n_vectors / cell_rows))
-    schema = _result_schema(q, v)
-
-    def block(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = q.withColumn("qb", block("query_id", q_blocks)).withColumn("vb", every(v_blocks))
-    right = v.withColumn("vb", block("id", v_blocks)).withColumn("qb", every(q_blocks))
-
-    def cell(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        if not len(mine) or not len(theirs):
-            return pa.table({"query_id": mine.column(0)[:0], "id": theirs.column(0)[:0], "score": pa.array([], pa.float64())})
-        return pa.Table.from_pandas(_candidates(*_vectors(mine), *_vectors(theirs), k), preserve_index=False)
-
-    def sides(rows: DataFrame) -> GroupedData:
-        return rows.select(rows.columns[0], "embedding", "qb", "vb").groupBy("qb", "vb")
-
-    cells = sides(left).cogroup(sides(right)).applyInArrow(cell, schema)
-    return _ranked(cells, k)
+    return v.mapInArrow(search, f"query_id {kind}, id {dict(v.dtypes)['id']}, score double")

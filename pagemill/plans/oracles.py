@@ -73,7 +73,7 @@ def starred(x: str) -> str:
 
 
 SAME_LENGTH = (
-    f"CASE WHEN category IN {any_of(pii.KEEP_LAST_FOUR)} THEN {starred(HEAD)} || {TAIL} "
+    f"CASE WHEN category IN {any_of(pii.KEEP_LAST_FOUR)} THEN {starred(HEAD)} || regexp_replace({TAIL}, {q(pii.LETTERS)}, '*', 'g') "
     f"WHEN category = 'EMAIL' THEN {starred('string_split(original, chr(64))[1]')} || '@' || string_split(original, chr(64))[2] "
     f"WHEN category = 'ADDRESS' THEN {starred('regexp_extract(original, ' + q('^[0-9]+') + ')')} || regexp_replace(original, '^[0-9]+', '') "
     f"ELSE {starred('original')} END"
@@ -300,7 +300,7 @@ ORACLES: dict[str, str] = {
         file_path || '#page=' || page_id AS image_uri,
         '[{{"coord":[0,' || (i % {LINES_PER_PAGE}) || ',' || length(line) || ',' || (i % {LINES_PER_PAGE} + 1) || '],"page_id":' || page_id || '}}]' AS bbox_json FROM lines""",
     "elements_html": f"WITH {HTML} SELECT page_id::VARCHAR AS file_path, element_id, element_type, content, 0 AS page_id FROM html_elements",
-    "page_image_lookup": f"WITH {LINES} SELECT file_path, i AS element_id, page_id, CASE WHEN page_id < 2 THEN file_path || '#page=' || page_id END AS image_uri FROM lines",
+    "page_image_lookup": f"WITH {LINES} SELECT file_path, i AS element_id, page_id, file_path || '#page=' || page_id AS image_uri FROM lines",
     "empty_documents": """SELECT conv_id || '/' || turn AS file_path, CASE WHEN role = 'assistant' THEN turn END AS element_id,
         CASE WHEN role = 'assistant' THEN 'text' END AS element_type, CASE WHEN role = 'assistant' THEN text END AS content,
         CASE WHEN role = 'assistant' THEN 0 END AS page_id FROM conversations""",

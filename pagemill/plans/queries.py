@@ -181,13 +181,8 @@ def elements_html(spark, sf):
 
 
 def page_image_lookup(spark, sf):
-    """Only the first two pages of a document have an image; elements further on have none."""
     docs, _ = parsed_documents(spark, sf)
-    doc = F.col("parsed_doc.document")
-    short = F.struct(F.struct(F.slice(doc["pages"], 1, 2).alias("pages"), doc["elements"].alias("elements")).alias("document"))
-    return bronze.explode_elements(docs.withColumn("parsed_doc", short)).select(
-        "file_path", "element_id", "page_id", "image_uri"
-    )
+    return bronze.explode_elements(docs).select("file_path", "element_id", "page_id", "image_uri")
 
 
 def empty_documents(spark, sf):
@@ -346,8 +341,8 @@ def pii_by_category(spark, sf):
 
 
 def documents_with_pii(spark, sf):
-    rows = detect.entity_rows(detected(spark, sf), ["doc_id"])
-    return detect.pages_with_entities(table(spark, sf, "documents").select("doc_id", "source"), rows, ["doc_id"])
+    found = detect.with_entities(documents(spark, sf, "doc_id", "source", "text"), "text")
+    return detect.entity_counts(found, ["doc_id", "source"]).drop("n_entities")
 
 
 def mask_replace(spark, sf):
@@ -516,7 +511,7 @@ def knn_topk_blocks(spark, sf):
     """The same, as if the queries were too many to be handed to every executor."""
     found = vectors.knn(
         spread(table(spark, sf, "embeddings")), _centroids(spark, sf), TOP_K, query=("label", "embedding"),
-        broadcast_bytes=0, cell_rows=300,
+        broadcast_bytes=2048,
     )
     return _shown(found)
 

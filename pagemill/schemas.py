@@ -26,7 +26,17 @@ GOLD = [
     "page_content_masked", "element_count", "element_types", "image_uri",
 ]
 
+GOLD_ROWS = (
+    "chunk_id STRING, file_name STRING, file_path STRING, page_id INT, page_content_masked STRING, element_count BIGINT, "
+    "element_types STRING, image_uri STRING, document_type STRING"
+)
+PAGE_ROWS = (
+    "file_name STRING, file_path STRING, document_type STRING, page_id INT, encrypted_page_content STRING, element_count BIGINT, "
+    "element_types STRING, image_uri STRING, extracted_at TIMESTAMP, aggregated_at TIMESTAMP"
+)
+
 WORD = "STRUCT<text: STRING, x0: DOUBLE, y0: DOUBLE, x1: DOUBLE, y1: DOUBLE, fontname: STRING, fontsize: DOUBLE>"
 ENTITY = "STRUCT<original: STRING, masked: STRING, category: STRING>"
 
+# The categories that are published, and above the columns of published pages and of a page's key.
 CATEGORIES = ["hr", "finance", "research", "engineering", "support"]

@@ -6,6 +6,7 @@ import base64
 import os
 import secrets
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,8 @@ KEY_ENV = "PAGEMILL_KEY"
 
 # Hides 256-bit key literals in plans and in the UI.
 _REDACT = r"0x[0-9A-Fa-f]{64}"
+# Hides settings by name: Spark's own words and the setting that holds the key.
+_REDACT_NAMES = r"(?i)secret|password|token|access[.]?key|pagemill[.]key|PAGEMILL_KEY"
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +29,7 @@ DEFAULTS = {
     # call sites per Column cost more than building the plan itself
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.redaction.string.regex": _REDACT,
+    "spark.redaction.regex": _REDACT_NAMES,
 }
 
 
@@ -75,6 +79,13 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="pagemill-")
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read back, for a step that several later ones read."""
+    path = f"{shared_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores one round-robin shuffle.
 

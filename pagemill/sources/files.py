@@ -8,17 +8,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.crypto import encrypt_bytes
-from ..functions.text import base_name
+from ..functions.text import base_name, decoded
 from ..schemas import FILES
 
-# Larger files are reported by ``oversized`` and not read: one file is one row.
+# One file is one row. A larger file is a row without content, and the stages after tell so.
 MAX_FILE_BYTES = 512 * 1024 * 1024
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """(path, length, content) of the files; the size limit is applied before content is read."""
+    """(path, length, content) of the files. A file over the limit is there with NULL content, which is never read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
+    return _limited(files, max_bytes)
+
+
+def _limited(files: DataFrame, max_bytes: int) -> DataFrame:
+    """Two scans with complementary filters on the length, both pushed down; that of the large files reads no content."""
+    whole = files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
+    large = files.filter(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return whole.unionByName(large)
 
 
 def oversized(spark: SparkSession, path: str, glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
@@ -33,7 +40,7 @@ def stream_files(
     max_files: int = 10_000,
     max_bytes: int = MAX_FILE_BYTES,
 ) -> DataFrame:
-    """The same as a stream: every file once. File identity is its path."""
+    """The same as a stream: every file once, large ones too. File identity is its path."""
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILES)
@@ -41,13 +48,13 @@ def stream_files(
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
-    return files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
+    return _limited(files, max_bytes)
 
 
 def encrypted(files: DataFrame, key: bytes) -> DataFrame:
-    """Files with content encrypted and the name they get on the other side."""
+    """Files with content encrypted and the name they get on the other side; this table is the result to keep."""
     return files.select(
-        F.concat(base_name(F.col("path")), F.lit(".enc")).alias("name"),
+        F.concat(base_name(decoded(F.col("path"))), F.lit(".enc")).alias("name"),
         F.col("path"),
         F.col("length").alias("plain_bytes"),
         encrypt_bytes(F.col("content"), key).alias("content"),
@@ -55,42 +62,61 @@ def encrypted(files: DataFrame, key: bytes) -> DataFrame:
 
 
 def write_files(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``name, content`` rows as one file each; returns what was written.
+    """Write ``name, content`` rows as one file each; returns (name, bytes, reason), with a reason for what was not written.
+
+    The folder is taken as Spark takes it: without a scheme it is on the default file system.
 
     Runs in the tasks, over any file system Arrow can open. A file appears under its name
     only when complete, and a task that is run again replaces it.
     Lazy: the files are written when the result is consumed, so consume it once.
     """
 
+    target = qualified(rows.sparkSession, folder)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         import uuid
 
         from pyarrow import fs
 
-        remote, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        remote, root = fs.LocalFileSystem(), target.removeprefix("file:")
+        if not target.startswith("file:"):
+            remote, root = fs.FileSystem.from_uri(target)
+        root = "/" + root.lstrip("/") if target.startswith("file:") else root
         remote.create_dir(root, recursive=True)
         for batch in batches:
             names = batch.column("name").to_pylist()
-            sizes = []
+            sizes, reasons = [], []
             for name, content in zip(names, batch.column("content"), strict=True):
+                if not content.is_valid:
+                    sizes.append(None)
+                    reasons.append("no content")
+                    continue
                 data = content.as_buffer()
+                reasons.append(None)
                 part = os.path.join(root, f"_{uuid.uuid4().hex}.part")
                 with remote.open_output_stream(part) as out:
                     out.write(data)
                 remote.move(part, os.path.join(root, name))
                 sizes.append(data.size)
-            yield pa.RecordBatch.from_pydict({"name": names, "bytes": pa.array(sizes, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"name": names, "bytes": pa.array(sizes, pa.int64()), "reason": pa.array(reasons, pa.string())})
+
+    return rows.select("name", "content").mapInArrow(write, "name string, bytes bigint, reason string")
+
 
-    return rows.select("name", "content").mapInArrow(write, "name string, bytes bigint")
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark would read it with."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return path.getFileSystem(conf).makeQualified(path).toString()
 
 
 def encrypt_folder(spark: SparkSession, source: str, target: str, key: bytes, glob: str = "*.pdf") -> DataFrame:
-    """Every file of a folder as ``<base name>.enc`` in another; returns (name, bytes).
+    """Every file of a folder as ``<base name>.enc`` in another; returns (name, bytes, reason).
 
     Two files that would get the same name are an error, not a silent loss.
     """
-    names = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(source).select(base_name(F.col("path")).alias("name"))
+    names = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(source).select(base_name(decoded(F.col("path"))).alias("name"))
     doubled = names.groupBy("name").count().filter("count > 1").select("name").first()
     if doubled:
         raise ValueError(f"several files would become {doubled['name']}.enc")

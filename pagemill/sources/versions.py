@@ -26,14 +26,20 @@ def _all(spark: SparkSession, path: str) -> dict[int, bool]:
     return {n: fs.exists(make(f"{path}/version={n}/_SUCCESS")) for n in numbers}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    _, fs, root = _folder(spark, path)
+    return fs.exists(root)
+
+
 def latest(spark: SparkSession, path: str) -> int | None:
     return max((n for n, done in _all(spark, path).items() if done), default=None)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version, or None before the first."""
+def read_latest(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The newest complete version, or None before the first. A version without rows needs the schema to be read."""
     version = latest(spark, path)
-    return None if version is None else spark.read.parquet(f"{path}/version={version}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return None if version is None else reader.parquet(f"{path}/version={version}")
 
 
 def write_next(rows: DataFrame, path: str, *partition_by: str) -> int:

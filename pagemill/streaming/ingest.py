@@ -16,7 +16,7 @@ from ..functions.binding import only
 from ..functions.crypto import encrypt_bytes
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
-from ..schemas import CATEGORIES, ELEMENTS, PARSED_DOCS
+from ..schemas import CATEGORIES, ELEMENTS, PAGE_ROWS, PARSED_DOCS
 from ..sources import files, versions
 
 DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
@@ -87,7 +87,13 @@ def refresh(
     if with_elements:
         ingest_elements(spark, target, key)
     ingest_pages(spark, target, key)
-    return spark.read.parquet(f"{target}/{PAGES}")
+    return stored_pages(spark, target)
+
+
+def stored_pages(spark: SparkSession, target: str) -> DataFrame:
+    """The pages so far; none if nothing has been ingested yet."""
+    path = f"{target}/{PAGES}"
+    return spark.read.schema(PAGE_ROWS).parquet(path) if versions.exists(spark, path) else spark.createDataFrame([], PAGE_ROWS)
 
 
 def each_batch(

@@ -88,7 +88,8 @@ def test_folder_is_encrypted_file_by_file(spark, key, tmp_path):
     for name, body in bodies.items():
         (source / name).write_bytes(body)
     done = files.encrypt_folder(spark, str(source), str(target), key).collect()
-    assert {(r.name, r.bytes) for r in done} == {("a_hr.enc", 8 + 28), ("b%20c.enc" if (target / "b%20c.enc").exists() else "b c.enc", 1000 + 28)}
+    assert {(r.name, r.bytes, r.reason) for r in done} == {("a_hr.enc", 8 + 28, None), ("b c.enc", 1000 + 28, None)}
+    assert sorted(f.name for f in target.iterdir()) == ["a_hr.enc", "b c.enc"]
     opened = bronze.opened(files.read_files(spark, str(target)), key).select("content").collect()
     assert sorted(bytes(r.content) for r in opened) == sorted([bodies["a_hr.pdf"], bodies["b c.pdf"]])
 
@@ -100,13 +101,20 @@ def test_two_files_of_one_name_are_an_error(spark, key, tmp_path):
         files.encrypt_folder(spark, str(tmp_path), str(tmp_path / "out"), key, "*.*")
 
 
-def test_large_files_are_reported_and_not_read(spark, tmp_path):
+def test_large_files_are_rows_without_content(spark, key, tmp_path):
     (tmp_path / "small.enc").write_bytes(b"x" * 10)
     (tmp_path / "large.enc").write_bytes(b"x" * 1000)
     read = files.read_files(spark, str(tmp_path), max_bytes=100)
-    assert [r.length for r in read.collect()] == [10]
-    assert [r.length for r in files.oversized(spark, str(tmp_path), max_bytes=100).collect()] == [1000]
+    assert sorted((r.length, r.content is None) for r in read.collect()) == [(10, False), (1000, True)]
     assert "length" in read._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    reasons = {r.file_name: r.reason for r in bronze.quarantined(read, key, max_bytes=100).collect()}
+    assert reasons == {"small.enc": "shorter than nonce and tag", "large.enc": "not read: too large"}
+    written = files.write_files(files.encrypted(read, key), f"file://{tmp_path}/out").collect()
+    assert {(r.name, r.bytes, r.reason) for r in written} == {("small.enc", 38, None), ("large.enc", None, "no content")}
+    streamed = files.stream_files(spark, str(tmp_path), max_bytes=100)
+    query = streamed.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").option("path", f"{tmp_path}/t").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.length for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [10, 1000]
 
 
 def test_eval_csv_keeps_quotes_commas_and_lines(spark, tmp_path):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pagemill import schemas
 from pagemill.functions import parse
-from pagemill.operators import bronze, gold, silver, vectors
+from pagemill.operators import bronze, gold, modelhook, silver, vectors
 from pagemill.plans import jobs
 from pagemill.sources import files, versions
 from pagemill.streaming import ingest
@@ -92,11 +92,52 @@ def test_redact_folder(spark, tmp_path):
     source = tmp_path / "pdf"
     source.mkdir()
     (source / "a.pdf").write_bytes(PDF)
+    (source / "scan.pdf").write_bytes(b"%PDF-1.4\nno text")
     pages, boxes, leaks = jobs.redact_folder(spark, str(source), str(tmp_path / "done"))
-    rows = {r.page_id: r.redacted for r in pages.collect()}
+    assert {(r.page_id, r.reason) for r in pages.filter("reason IS NOT NULL").collect()} == {(None, "no readable text layer")}
+    rows = {r.page_id: r.redacted for r in pages.filter("reason IS NULL").collect()}
     assert rows[1] == "second page" and rows[0] == "Offer (draft) 1. Terms Name: *** ****** back\\slash after a gap"
-    assert [(r.original_word, r.masked, r.fontsize) for r in boxes.orderBy("pos").collect()] == [("Ann", "***", 10.0), ("Miller", "******", 10.0)]
+    assert [(r.masked, r.fontsize, r.category) for r in boxes.orderBy("pos").collect()] == [("***", 10.0, "PERSON_NAME"), ("******", 10.0, "PERSON_NAME")]
     assert leaks.isEmpty()
+    stored = str(versions.read_latest(spark, str(tmp_path / "done")).collect())
+    assert "Ann" not in stored and "Miller" not in stored
+
+
+def test_a_page_that_leaks_is_withheld(spark, tmp_path):
+    source = tmp_path / "pdf"
+    source.mkdir()
+    (source / "a.pdf").write_bytes(PDF)
+    half = lambda pages: pages.withColumn(
+        "entities",
+        F.when(F.col("page_id") == 0, F.array(F.struct(F.lit("Miller").alias("original"), F.lit("Miller").alias("masked"), F.lit("PERSON_NAME").alias("category"))))
+        .otherwise(F.array().cast(f"array<{schemas.ENTITY}>")),
+    )
+    pages, _, leaks = jobs.redact_folder(spark, str(source), str(tmp_path / "done"), entities=half)
+    assert {(r.page_id, r.redacted) for r in pages.collect()} == {(0, None), (1, "second page")}
+    assert [r.category for r in leaks.collect()] == ["PERSON_NAME"]
+    shown, _, _ = jobs.redact_folder(spark, str(source), str(tmp_path / "open"), entities=half, gate=False)
+    assert shown.filter("redacted IS NULL").isEmpty()
+
+
+def test_gold_by_a_model_publishes_only_what_it_has_done(spark, key, tmp_path):
+    rows = [("a_hr.enc", "/a_hr.enc", "hr", i, t, 1, "text", None) for i, t in enumerate(["Hi Ann", "bad", "fine"])]
+    clear = spark.createDataFrame(rows, "file_name string, file_path string, document_type string, page_id int, page_content string, element_count bigint, element_types string, image_uri string")
+
+    def call(batch):
+        if batch.str.contains("bad").any():
+            raise RuntimeError("no answer")
+        return [p.split("Text:\n")[1].replace("Ann", "[[NAME]]") for p in batch]
+
+    step = lambda pages: modelhook.masked(pages.coalesce(1), call, batch_rows=1)
+    stamped = clear.withColumns({"extracted_at": F.current_timestamp(), "aggregated_at": F.current_timestamp()})
+    got = jobs.build_gold(spark, silver.sealed_pages(stamped, key), key, str(tmp_path / "gold"), step)
+    assert {r.page_id: r.page_content_masked for r in got.collect()} == {0: "Hi [[NAME]]", 2: "fine"}
+    assert [(r.page_id, r.error) for r in gold.unmasked(clear, step).collect()] == [(1, "RuntimeError: no answer")]
+
+
+def test_publishing_nothing_can_be_read(spark, key, tmp_path):
+    empty = ingest.stored_pages(spark, str(tmp_path / "none"))
+    assert jobs.build_gold(spark, empty, key, str(tmp_path / "gold")).count() == 0
 
 
 def test_evaluation_from_csv(spark, tmp_path):

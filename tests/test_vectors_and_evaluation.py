@@ -49,15 +49,15 @@ def test_only_changed_texts_are_embedded(spark):
     assert {r.chunk_id: len(r.embedding) for r in now} == {"a": 256, "b": 1}
 
 
-@pytest.mark.parametrize("limit, cell", [(10**9, 100), (0, 7), (0, 10_000)])
-def test_search_equals_brute_force(spark, limit, cell):
+@pytest.mark.parametrize("limit", [10**9, 2000, 0])
+def test_search_equals_brute_force(spark, limit):
     rng = np.random.default_rng(3)
     v = rng.integers(-3, 4, (60, 5)).astype(float)  # many equal scores
     q = rng.integers(-3, 4, (17, 5)).astype(float)
     vf = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id int, embedding array<double>").repartition(5)
     qf = spark.createDataFrame([(f"q{i}", x.tolist()) for i, x in enumerate(q)], "query_id string, embedding array<double>")
     got = {}
-    for r in vectors.knn(vf, qf, 4, broadcast_bytes=limit, cell_rows=cell).collect():
+    for r in vectors.knn(vf, qf, 4, broadcast_bytes=max(limit, 500)).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.id, r.score)
     for i, x in enumerate(q):
         order = sorted(range(len(v)), key=lambda j: (-(v[j] @ x), j))[:4]
@@ -74,6 +74,26 @@ def test_search_with_few_or_no_rows(spark):
     assert vectors.knn(vf.filter("false"), qf, 3, broadcast_bytes=0).count() == 0
 
 
+def test_vectors_of_two_lengths_are_an_error(spark):
+    vf = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "vec_id int, embedding array<double>").coalesce(1)
+    qf = spark.createDataFrame([(1, [1.0, 1.0, 1.0])], "query_id int, embedding array<double>")
+    with pytest.raises(Exception, match="cannot be compared"):
+        vectors.knn(vf, qf, 1).collect()
+    with pytest.raises(Exception, match="cannot be compared"):
+        vectors.knn(vf.filter("vec_id = 1"), qf, 1).collect()
+
+
+def test_pages_without_text_stay_single(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = source(spark, [("a", "one"), ("b", None), ("c", "x")])
+    assert [vectors.sync_index(rows, path) for _ in range(3)] == [0, 0, 0]
+    changed = source(spark, [("a", None), ("b", None), ("d", None)])
+    assert [vectors.sync_index(changed, path) for _ in range(3)] == [1, 1, 1]
+    assert sorted((r.chunk_id, r.content_hash) for r in vectors.read_index(spark, path).collect()) == [("a", None), ("b", None), ("d", None)]
+    with pytest.raises(ValueError, match="unique"):
+        vectors.sync_index(source(spark, [("a", "1"), ("a", "2")]), path)
+
+
 def test_word_limit(spark):
     texts = ["", None, " ".join(["w"] * 80), " ".join(["w"] * 81), "\n" + "\t".join(["w"] * 80) + " \n", "\nw" * 81]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -131,6 +151,12 @@ def test_failed_model_batches_become_error_rows(spark):
     assert short.filter("error LIKE '%1 answers for 2 rows%'").count() == 8
 
 
+def test_model_rows_keep_their_other_columns(spark):
+    frame = spark.createDataFrame([(9007199254740993, "a", None), (None, None, [1]), (5, "b", [None, 2])], "id long, t string, x array<int>").coalesce(1)
+    got = modelhook.map_batches(frame, lambda b: [len(t) for t in b], "t", "n", "bigint").collect()
+    assert [tuple(r) for r in got] == [(9007199254740993, "a", None, 1, None), (None, None, [1], None, None), (5, "b", [None, 2], 1, None)]
+
+
 def test_model_steps(spark):
     answers = lambda batch: ['[{"original": "Ann", "masked": "?"}]' if "Ann" in p else "no" for p in batch]
     pages = spark.createDataFrame([(0, "Hi Ann"), (1, "  "), (2, "x"), (3, None)], "doc_id int, page_content string").coalesce(1)
@@ -151,6 +177,15 @@ def test_a_question_asked_often_does_not_multiply(spark):
     assert evaluate.with_answers(qa, answers).count() == 5
 
 
+def test_every_answer_and_every_context_is_scored(spark):
+    qa = spark.createDataFrame([("f", "q", "x")], "filename string, question string, answer string")
+    answers = spark.createDataFrame([("q", "o"), ("q", "o"), ("q", "p")], "question string, outputs string")
+    context = spark.createDataFrame([("q", "second", 2), ("q", "first", 1), ("q", "third", 3)], "question string, context string, rank int")
+    got = evaluate.with_answers(qa, answers, context).collect()
+    assert sorted((r.outputs, r.context) for r in got) == [("o", "first\nsecond\nthird"), ("p", "first\nsecond\nthird")]
+    assert len({r.answer_id for r in got}) == 2
+
+
 def test_model_labels_outside_the_list_count_as_none(spark):
     frame = spark.createDataFrame([("a",), ("b",)], "file_name string").coalesce(1)
     rows = modelhook.classified(frame, lambda b: [" HR ", "other"], ["hr", "finance"]).collect()
