@@ -8,23 +8,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binding import items, let, only
 from ..functions.text import token_key, words
 
-# Stands for a taken word while matching; no cleaned token holds these characters.
-_TAKEN = "*"
+_OWNERS = "array<struct<ent: int, offset: int>>"
+
+
+def _owners(page: list[str], entities: list[list[str]], repeat: bool) -> list[dict | None]:
+    """Entity and offset of every taken word of a page, from the compared forms of words and entities.
+
+    The runs of each length that occurs are indexed once, so an entity costs its own hits and not
+    the page. With ``repeat`` an entity takes every free run, else the m-th listing of equal
+    entities the m-th one; entities are served in list order.
+    """
+    owner: list[dict | None] = [None] * len(page)
+    wanted: dict[int, set[tuple[str, ...]]] = {}
+    for tokens in entities:
+        wanted.setdefault(len(tokens), set()).add(tuple(tokens))
+    places: dict[tuple[str, ...], list[int]] = {}
+    for length, asked in wanted.items():
+        for at in range(len(page) - length + 1) if length else ():
+            run = tuple(page[at : at + length])
+            if run in asked:
+                places.setdefault(run, []).append(at)
+    served: dict[tuple[str, ...], int] = {}
+    for ent, tokens in enumerate(entities):
+        run = tuple(tokens)
+        hits = places.get(run, ())
+        at = served.get(run, 0)
+        while at < len(hits):
+            first = hits[at]
+            at += 1
+            if all(owner[p] is None for p in range(first, first + len(run))):
+                for offset in range(len(run)):
+                    owner[first + offset] = {"ent": ent, "offset": offset}
+                if not repeat:
+                    break
+        served[run] = at
+    return owner
+
+
+def _matcher(repeat: bool):
+    @F.arrow_udf(_OWNERS)
+    def matched(pages: pa.Array, entities: pa.Array) -> pa.Array:
+        found = [
+            _owners(page, listed, repeat) if page and listed else None for page, listed in zip(pages.to_pylist(), entities.to_pylist(), strict=True)
+        ]
+        return pa.array(found, pa.list_(pa.struct([("ent", pa.int32()), ("offset", pa.int32())])))
+
+    return matched
 
 
 def matches(page_words: Column, entities: Column, repeat: bool = False, loose: bool = False) -> Column:
     """What each word belongs to: array of (ent, offset) beside the words, NULL for a free word.
 
-    The page is held as one text ``<w1><w2>..`` of cleaned words, an entity likewise, so a
-    run of words is found by plain string search. A taken word is overwritten with its
-    entity and offset, hence the first hit is always the first free run, and entities are
-    served in list order. With ``repeat`` an entity takes every free run, else the first.
-    The cost is one pass over the page per entity; nothing is paired up.
+    NULL as a whole for a page without entities or words. Words and entities are made comparable
+    in the JVM; runs are then looked up page by page on Arrow batches, in time that grows with
+    words and hits and not with their product.
 
     Tokens are compared without most punctuation, but dots and hyphens count, so the last
     word of a sentence is not found. ``loose`` leaves them out at the ends of a token.
@@ -34,58 +77,10 @@ def matches(page_words: Column, entities: Column, repeat: bool = False, loose: b
         bare = token_key(token)
         return F.btrim(bare, F.lit(".-")) if loose else bare
 
-    def held(tokens: Column) -> Column:
-        return F.array_join(F.transform(tokens, lambda t: F.concat(F.lit("<"), compared(t), F.lit(">"))), "")
-
-    def take(hay: Column, job: Column) -> Column:
-        probe, taken = job["probe"], job["taken"]
-        if repeat:
-            return F.when(probe == "", hay).otherwise(F.replace(hay, probe, taken))
-        return let(
-            F.when(probe == "", F.lit(0)).otherwise(F.instr(hay, probe)),
-            lambda at: F.when(
-                at > 0, F.concat(F.left(hay, at - 1), taken, F.substr(hay, at + F.length(probe)))
-            ).otherwise(hay),
-        )
-
-    def job(entity: Column, ent: Column) -> Column:
-        return let(
-            words(entity["original"]),
-            lambda tokens: F.struct(
-                held(tokens).alias("probe"),
-                F.array_join(
-                    F.transform(
-                        tokens, lambda t, j: F.concat(F.lit("<" + _TAKEN), ent, F.lit(":"), j, F.lit(">"))
-                    ),
-                    "",
-                ).alias("taken"),
-            ),
-        )
-
-    def owner(token: Column) -> Column:
-        mark = F.split(F.substr(token, F.lit(2)), ":", -1)
-        return F.when(
-            token.startswith(_TAKEN),
-            F.struct(F.get(mark, F.lit(0)).cast("int").alias("ent"), F.get(mark, F.lit(1)).cast("int").alias("offset")),
-        )
-
-    jobs = F.transform(entities, job)
-    if repeat:
-        # the first of equal entities takes all their runs, the others need not look
-        by_probe = F.array_sort(F.transform(jobs, lambda j, i: F.struct(j["probe"].alias("probe"), i.alias("i"))))
-        first = let(
-            by_probe,
-            lambda ordered: F.filter(
-                ordered, lambda j, n: F.when(n > 0, F.get(ordered, n - 1)["probe"] != j["probe"]).otherwise(F.lit(True))
-            ),
-        )
-        jobs = let(jobs, lambda all_: F.transform(F.array_sort(first["i"]), lambda i: F.get(all_, i)))
-    hay = F.aggregate(jobs, held(page_words), take)
-    inner = let(hay, lambda h: F.substr(h, F.lit(2), F.length(h) - 2))
-    return F.when(
-        (F.size(entities) > 0) & (F.size(page_words) > 0),
-        F.transform(F.split(inner, "><", -1), owner),
-    )
+    some = (F.size(entities) > 0) & (F.size(page_words) > 0)
+    page = F.when(some, F.transform(page_words, compared))
+    listed = F.when(some, F.transform(entities, lambda e: F.transform(words(e["original"]), compared)))
+    return _matcher(repeat)(page, listed)
 
 
 def mask_piece(masked: Column, run: Column, offset: Column) -> Column:

@@ -271,8 +271,11 @@ def test_boxes_without_area_are_left_out(spark):
 def test_long_lines_and_many_entities_stay_linear(spark):
     import time
 
-    many = " ".join(f"word{i} user{i}@mail.example.org" for i in range(3000))
-    at = time.time()
-    done = redact.redact(detect.with_entities(pages(spark, many)))
-    assert redact.leaks(done, ["doc_id"]).count() == 0
-    assert time.time() - at < 60
+    took = {}
+    for n in (500, 8000, 32000):
+        many = " ".join(f"word{i} user{i}@mail.example.org" for i in range(n))
+        at = time.time()
+        done = redact.redact(detect.with_entities(pages(spark, many)))
+        assert redact.redaction_count(done).first()[0] == n
+        took[n] = time.time() - at
+    assert took[32000] < 5 * took[8000] + 2
