@@ -35,7 +35,7 @@ BITS = 10
 BUCKETS = 4096
 SEED = 7
 # Words whose ids a worker remembers, and words of a text looked up at once.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 SLICE_WORDS = 100_000
 
 
@@ -54,7 +54,18 @@ class WordIds:
 
     def _forget(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.start, self.count, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
+        self.start, self.count, self.seen = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(1024, np.int32)
+        self.pool, self.used = np.zeros(4096, np.int32), 0
+
+    def _forget_rare(self) -> None:
+        """Keep the words seen most often, at most half of what may be known; most of the others never come again."""
+        words, room = list(self.code), KNOWN_WORDS // 2
+        seen = self.seen[: len(words)]
+        floor = max(2, int(np.partition(seen, -room)[-room]) + 1) if 0 < room <= len(words) else np.iinfo(np.int32).max
+        kept = np.flatnonzero(seen >= floor)
+        parts = [self.pool[self.start[c] : self.start[c] + self.count[c]] for c in kept.tolist()]
+        self._forget()
+        self._add([words[c] for c in kept.tolist()], np.array([len(p) for p in parts], np.int64), np.concatenate(parts) if parts else np.zeros(0, np.int32))
 
     def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 2000):
@@ -64,28 +75,31 @@ class WordIds:
             encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ids = np.array(encoded.ids, np.int32)
             owner = np.searchsorted(starts, np.array([a for a, _ in encoded.offsets], np.int64), "right") - 1
-            counts = np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64)
-            first, n = len(self.code), len(part)
-            self.start, self.count = _room(self.start, first + n), _room(self.count, first + n)
-            self.pool = _room(self.pool, self.used + len(ids))
-            self.count[first : first + n] = counts
-            self.start[first : first + n] = self.used + np.cumsum(counts) - counts
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.code.update(zip(part, range(first, first + n), strict=True))
+            self._add(part, np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64), ids)
+
+    def _add(self, words: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
+        first, n = len(self.code), len(words)
+        self.start, self.count, self.seen = (_room(x, first + n) for x in (self.start, self.count, self.seen))
+        self.pool = _room(self.pool, self.used + len(ids))
+        self.count[first : first + n] = counts
+        self.start[first : first + n] = self.used + np.cumsum(counts) - counts
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.code.update(zip(words, range(first, first + n), strict=True))
 
     def ids(self, text: bytes) -> np.ndarray:
         words, out = text.split(), []
         for at in range(0, len(words), SLICE_WORDS):
             part = words[at : at + SLICE_WORDS]
             if len(self.code) > KNOWN_WORDS:
-                self._forget()
+                self._forget_rare()
             codes = list(map(self.code.get, part))
             if None in codes:
                 self._learn(list(dict.fromkeys(w for w, c in zip(part, codes, strict=True) if c is None)))
                 codes = list(map(self.code.get, part))
             code = np.array(codes, np.int64)
-            counts = self.count[code]
+            self.seen[code] += 1
+            counts = self.count[code].astype(np.int64)
             ends = np.cumsum(counts)
             out.append(self.pool[np.repeat(self.start[code] - ends + counts, counts) + np.arange(ends[-1])])
         return np.concatenate(out) if out else np.zeros(0, np.int32)

@@ -26,7 +26,7 @@ def expected_ids(text):
     return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 1]
 
 
-@pytest.mark.parametrize("known", [300_000, 0])
+@pytest.mark.parametrize("known", [300_000, 20, 0])
 def test_words_give_the_ids_of_the_whole_text(known, monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", known)
     words = packing.WordIds(PATH)
