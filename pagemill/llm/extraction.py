@@ -164,8 +164,13 @@ def _holder(slots: set[str], under: dict[str, int]) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, pages, holder, fixed) of every host with enough distinct pages, from (host, html)."""
-    distinct = pages.filter("host <> ''").groupBy("host", F.xxhash64("html").alias("h")).agg(F.first("html").alias("html"))
+    """(host, holder, fixed) of every host with enough distinct pages, from (page_id, host, html).
+
+    Of copies the page with the smallest id is read; only hashes are shuffled to find it.
+    """
+    hashed = pages.filter("host <> ''").withColumn("h", F.xxhash64("html"))
+    chosen = stored(hashed.groupBy("host", "h").agg(F.min("page_id").alias("chosen")))
+    distinct = hashed.join(small(chosen, chosen.count(), 96), ["host", "h"]).filter(F.col("page_id").eqNullSafe(F.col("chosen"))).select("host", "h", "html")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +187,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.first("path").alias("path"), F.first("kind").alias("kind"), F.count(F.lit(1)).alias("support"), F.sum("number").alias("total"),
         F.sum("chars").alias("chars"), F.bit_xor("mark").alias("vector"),
     )
-    sizes = stored(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES))
+    sizes = stored(chosen.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= MIN_PAGES))
     needed = F.when(F.col("kind").startswith("text"), FIXED_SUPPORT).otherwise(SUPPORT) * F.col("pages")
     frequent = vectors.filter("support > 1").join(small(sizes, sizes.count(), 80), "host").filter(F.col("support") >= needed)
     name = F.concat_ws(" ", "support", "total", "vector")
@@ -269,7 +274,7 @@ def _blocks(html: str, holder: str) -> list[tuple[str, set[int]]]:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), whole_text(F.col(html_col)).alias("html"))
-    known = stored(templates(rows.select("host", "html")))
+    known = stored(templates(rows.select("page_id", "host", "html")))
     size = known.agg(F.count(F.lit(1)), F.sum(F.length("host") + F.length("holder") + 8 * F.size("fixed") + 64)).first()
     if (size[1] or 0) <= 32 << 20:
         joined = rows.join(F.broadcast(known), "host", "left")
