@@ -287,6 +287,44 @@ def _scores() -> str:
 
 SCORES = _scores()
 
+
+def _mixed() -> str:
+    """The same measures over rows whose expected answers, contexts and answers differ from the question."""
+    counts, best = language("answer")
+    evades = " OR ".join(f"contains(flat, {q(p)})" for p in evaluate.EVASIVE)
+    columns = {
+        "correctness_proxy": _coverage("ve", "va"),
+        "retrieval_sufficiency_proxy": _coverage("ve", "vc"),
+        "retrieval_groundedness_proxy": _coverage("va", "vc"),
+        "relevance_to_query_proxy": _coverage("vq", "va"),
+        "global_style_english": f"CASE WHEN ({best}) = 'en' THEN 'yes' ELSE 'no' END",
+        "global_style_not_evasive": f"CASE WHEN {evades} THEN 'no' ELSE 'yes' END",
+        "concise_response": f"CASE WHEN len(regexp_extract_all(answer, {_WORD})) <= {evaluate.CONCISE_WORDS} THEN 'yes' ELSE 'no' END",
+    }
+    rows = " UNION ALL ".join(f"SELECT conv_id, turn, {q(n)} AS scorer, {c} AS value FROM ready" for n, c in columns.items())
+    return f"""{PAIRS}, mixed AS (
+    SELECT p.conv_id, p.turn, p.question,
+           CASE (p.conv_id + p.turn) % 3 WHEN 0 THEN p.question WHEN 1 THEN p.answer ELSE o.question END AS expected,
+           CASE WHEN p.conv_id % 2 = 0 THEN concat_ws(' ', p.question, p.answer, o.question) ELSE o.question END AS context,
+           CASE WHEN p.conv_id % 5 = 0 THEN 'I cannot help. ' || left(p.question, 40) ELSE p.answer END AS answer
+    FROM pairs p LEFT JOIN pairs o ON o.conv_id = p.conv_id - 1 AND o.turn = p.turn),
+  ready AS (SELECT *, {_vocabulary('question')} AS vq, {_vocabulary('answer')} AS va, {_vocabulary("coalesce(context, '')")} AS vc,
+           {_vocabulary("coalesce(expected, '')")} AS ve, {folded("replace(answer, '’', '''')")} AS flat, {counts} FROM mixed),
+  long AS ({rows})"""
+
+
+MIXED = _mixed()
+
+_FOUR = "lpad((doc_id % 10000)::VARCHAR, 4, '0')"
+# The documents with the record that the query appends to each.
+RECORDS = f"""documents AS (
+    SELECT doc_id, text || chr(10) || 'Contact: Ann Lee' || chr(10) || 'Mobile 415-555-' || {_FOUR} || ', SSN 219-09-' || {_FOUR} || ', mail u' || doc_id
+      || '@post.example.net, host 10.0.0.' || (doc_id % 250) || chr(10) || 'DOB:     1/2/1977, age ' || (doc_id % 70 + 20) || ', passport no. K'
+      || lpad(doc_id::VARCHAR, 7, '3') || 'XY, driver licence no. D-' || lpad(doc_id::VARCHAR, 6, '8') || chr(10) || 'Account number:' || chr(10)
+      || lpad(doc_id::VARCHAR, 20, '7') || ', MRN: Q' || doc_id || ', national id N' || doc_id || chr(10) || 'Company: Nordic Lamp' || chr(10)
+      || 'card 5105 1051 0510 ' || {_FOUR} || ', at 6 Mill Lane, Portland, OR 97205 with Ann Lee' AS text
+    FROM main.documents)"""
+
 ORACLES: dict[str, str] = {
     "file_names": "SELECT page_id, regexp_extract(url, '[^/]+$') AS file_name FROM pages",
     "crypto_roundtrip": f"SELECT doc_id, strlen(text) AS plain_bytes, strlen(text) + {OVERHEAD} AS encrypted_bytes, true AS same FROM documents",
@@ -328,6 +366,17 @@ ORACLES: dict[str, str] = {
     "silver_pages_fused": pages_of(_PAGE_COLUMNS + ", image_uri"),
     "stream_pages": pages_of(_PAGE_COLUMNS),
     "pii_entities": f"WITH {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
+    "pii_all_classes": f"WITH {RECORDS}, {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
+    "pii_all_by_category": f"WITH {RECORDS}, {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
+    "leak_check_records": f"WITH {RECORDS}, {REDACTED} {leaks('redacted', 'redacted')}",
+    "stream_files": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, len(string_split(text, chr(10))) AS n_elements FROM files",
+    "model_masked_gold": f"""WITH {PAGES} SELECT sha256(file_path || '#' || page_id) AS chunk_id, regexp_replace(page_content, '[0-9]', '#', 'g') AS page_content_masked
+        FROM pages_ WHERE document_type IS NOT NULL""",
+    "index_synced_nulls": f"""WITH {FILES} SELECT sha256(file_path || '#0') AS chunk_id,
+        CASE WHEN lang NOT IN ('en', 'de') THEN sha256(text) END AS content_hash, {DIM} AS dim FROM files""",
+    "eval_scores_mixed": f"WITH {MIXED} SELECT conv_id, turn, scorer, value FROM long",
+    "eval_metrics_mixed": f"""WITH {MIXED} SELECT scorer, count(*) AS n_answers, count(*) FILTER (value = 'yes') AS n_yes,
+        round(count(*) FILTER (value = 'yes') / count(*), 6) AS share_yes FROM long GROUP BY scorer""",
     "pii_counts": f"WITH {ENTITIES} SELECT doc_id, count(*) AS n_entities FROM entities GROUP BY doc_id",
     "pii_by_category": f"WITH {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
     "documents_with_pii": f"WITH {ENTITIES} SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM entities)",

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import classify, crypto, parse, pii, text
 from ..functions.binding import indices, items, let, only
 from ..operators import bronze, detect, evaluate, gold, modelhook, redact, silver, vectors
-from ..schemas import CATEGORIES, ENTITY
+from ..schemas import CATEGORIES, ENTITY, PARSED_DOCS
 from ..session import ephemeral_key, shared_dir, spread
 from ..sources import evalset, files
 from ..sources.tables import table, text_table
@@ -320,6 +321,20 @@ def stream_pages(spark, sf):
     return silver.unsealed_pages(stored, key).select(*[c for c in _PAGE_COLUMNS if c != "image_uri"])
 
 
+def stream_files(spark, sf):
+    """Texts as ``.enc`` files, streamed from their folder in two runs; the second finds only what is new."""
+    key, folder, target = ephemeral_key(spark), scratch(spark, "inbox"), scratch(spark, "bronze")
+    source = documents(spark, sf, "doc_id", "source", "text")
+    for half in (0, 1):
+        plain = source.filter(F.pmod("doc_id", F.lit(2)) == half).select(
+            document_path().alias("path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content")
+        )
+        files.write_files(files.encrypted(plain, key), folder).write.mode("append").parquet(f"{target}/written")
+        ingest.ingest_docs(spark, folder, target, key, text_parser)
+    docs = bronze.unsealed_docs(spark.read.schema(PARSED_DOCS).parquet(f"{target}/{ingest.DOCS}"), key)
+    return docs.select("file_name", "file_size", "document_type", _n_elements())
+
+
 # --- personal data -----------------------------------------------------------------------------
 
 
@@ -428,6 +443,41 @@ def leak_control(spark, sf):
     return redact.leaks(detected(spark, sf), ["doc_id"], "text")
 
 
+def documents_with_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document followed by a record made from its id: all fifteen classes, and a name once more without its cue."""
+    n = F.col("doc_id").cast("string")
+    four = F.lpad((F.col("doc_id") % 10000).cast("string"), 4, "0")
+    record = F.concat(
+        F.lit("\nContact: Ann Lee\nMobile 415-555-"), four, F.lit(", SSN 219-09-"), four, F.lit(", mail u"), n, F.lit("@post.example.net, host 10.0.0."),
+        (F.col("doc_id") % 250).cast("string"), F.lit("\nDOB:     1/2/1977, age "), (F.col("doc_id") % 70 + 20).cast("string"),
+        F.lit(", passport no. K"), F.lpad(n, 7, "3"), F.lit("XY, driver licence no. D-"), F.lpad(n, 6, "8"), F.lit("\nAccount number:\n"), F.lpad(n, 20, "7"),
+        F.lit(", MRN: Q"), n, F.lit(", national id N"), n, F.lit("\nCompany: Nordic Lamp\ncard 5105 1051 0510 "), four,
+        F.lit(", at 6 Mill Lane, Portland, OR 97205 with Ann Lee"),
+    )
+    return documents(spark, sf, "doc_id", "text").withColumn("text", F.concat("text", record))
+
+
+def pii_all_classes(spark, sf):
+    return detect.entity_rows(detect.with_entities(documents_with_records(spark, sf), "text"), ["doc_id"])
+
+
+def pii_all_by_category(spark, sf):
+    rows = items(detect.with_entities(documents_with_records(spark, sf), "text"), [], "entities.category", "category")
+    return rows.groupBy("category").agg(F.count("*").alias("n_entities"))
+
+
+def leak_check_records(spark, sf):
+    """Names that stand twice leak when only their first run is masked."""
+    found = redact.with_words(detect.with_entities(documents_with_records(spark, sf), "text"), "text")
+    return redact.leaks(redact.redacted_text(redact.with_redactions(found), "text"), ["doc_id"])
+
+
+def model_masked_gold(spark, sf):
+    """Gold by a masking step on batches; the stand-in for a model hides digits."""
+    hide = lambda batch: [re.sub("[0-9]", "#", asked.split("Text:\n", 1)[1]) for asked in batch]
+    return gold.masked_pages(clear_pages(spark, sf), masked=lambda pages: modelhook.masked(pages, hide)).select("chunk_id", "page_content_masked")
+
+
 def model_batches(spark, sf):
     """The model hook with a stand-in model that tells the number of characters."""
     rows = documents(spark, sf, "doc_id", "text")
@@ -487,6 +537,16 @@ def index_synced(spark, sf):
     return vectors.read_index(spark, folder).select("chunk_id", "content_hash", F.size("embedding").alias("dim"))
 
 
+def index_synced_nulls(spark, sf):
+    """Three syncs with pages that have no text: English ones never, German ones from the second on."""
+    folder = scratch(spark, "index")
+    source = documents(spark, sf, "doc_id", "source", "lang", "text").withColumn("chunk_id", gold.chunk_id(document_path(), F.lit(0)))
+    for blank in (["en"], ["en", "de"], ["en", "de"]):
+        body = F.when(~F.col("lang").isin(blank), F.col("text"))
+        vectors.sync_index(source.select("chunk_id", body.alias("page_content_masked")), folder, _embed)
+    return vectors.read_index(spark, folder).select("chunk_id", "content_hash", F.size("embedding").alias("dim"))
+
+
 def embed_hashed(spark, sf):
     vector = documents(spark, sf, "doc_id", "text").select("doc_id", _embed(F.col("text")).alias("vector"))
     return items(vector, ["doc_id"], "vector", "weight", "place").filter(F.col("weight") > 0).select("doc_id", "place", F.round(F.col("weight").cast("double"), 5).alias("weight"))
@@ -565,6 +625,29 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.scored(rows.withColumn("expected", F.col("question")), ["conv_id", "turn"])
 
 
+def _mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of which some answers evade, some expected answers are the question, the answer or another's question, and some contexts hold the answer."""
+    rows = conversation_rows(spark, sf)
+    other = rows.select((F.col("conv_id") + 1).alias("conv_id"), "turn", F.col("question").alias("other"))
+    kind = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3))
+    answer = F.when(F.pmod("conv_id", F.lit(5)) == 0, F.concat(F.lit("I cannot help. "), F.left("question", F.lit(40)))).otherwise(F.col("answer"))
+    expected = F.when(kind == 0, F.col("question")).when(kind == 1, F.col("answer")).otherwise(F.col("other"))
+    context = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.concat_ws(" ", "question", "answer", "other")).otherwise(F.col("other"))
+    return rows.join(other, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "question", expected.alias("expected"), context.alias("context"), answer.alias("answer")
+    )
+
+
+def eval_scores_mixed(spark, sf):
+    keys = ["conv_id", "turn"]
+    return evaluate.long_form(evaluate.scored(_mixed(spark, sf), keys), keys)
+
+
+def eval_metrics_mixed(spark, sf):
+    table_ = evaluate.scored(_mixed(spark, sf), ["conv_id", "turn"])
+    return evaluate.metrics(table_, ["conv_id", "turn"]).withColumn("share_yes", F.round("share_yes", 6))
+
+
 def eval_scores(spark, sf):
     return evaluate.long_form(_scored(spark, sf), ["conv_id", "turn"])
 
@@ -594,6 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_pages": silver_pages,
     "silver_pages_fused": silver_pages_fused,
     "stream_pages": stream_pages,
+    "stream_files": stream_files,
     "pii_entities": pii_entities,
     "pii_counts": pii_counts,
     "pii_by_category": pii_by_category,
@@ -611,13 +695,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leak_check": leak_check,
     "leak_check_safe": leak_check_safe,
     "leak_control": leak_control,
+    "pii_all_classes": pii_all_classes,
+    "pii_all_by_category": pii_all_by_category,
+    "leak_check_records": leak_check_records,
     "model_batches": model_batches,
+    "model_masked_gold": model_masked_gold,
     "gold_pages": gold_pages,
     "gold_summary": gold_summary,
     "gold_unrouted": gold_unrouted,
     "gold_published": gold_published,
     "index_diff": index_diff,
     "index_synced": index_synced,
+    "index_synced_nulls": index_synced_nulls,
     "embed_hashed": embed_hashed,
     "knn_topk": knn_topk,
     "knn_topk_blocks": knn_topk_blocks,
@@ -627,4 +716,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "concise_response": concise_response,
     "eval_scores": eval_scores,
     "eval_metrics": eval_metrics,
+    "eval_scores_mixed": eval_scores_mixed,
+    "eval_metrics_mixed": eval_metrics_mixed,
 }
