@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -37,6 +38,18 @@ def stored(rows: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of at most so many bytes for what is run inside; the session's setting is put back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _written(spark: SparkSession) -> list[str]:
     paths = getattr(spark, "_pagemill_steps", None)
     if paths is None:

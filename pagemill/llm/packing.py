@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small, stored, whole_text
+from .common import batches_of, small, stored, whole_text
 from .hilbert import hilbert_keys
 from .prefix import running_sums
 
@@ -37,6 +37,8 @@ SEED = 7
 # Words whose ids a worker remembers, and words of a text looked up at once.
 KNOWN_WORDS = 1_000_000
 SLICE_WORDS = 100_000
+# Bytes of text that a worker gets at once.
+BATCH_BYTES = 4 << 20
 
 
 class WordIds:
@@ -170,7 +172,8 @@ def pack(
 
     ``tokenizer`` is the path of a tokenizer file that every executor can read.
     """
-    tokens = stored(tokenised(docs, tokenizer, id_col, text_col, end_id))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        tokens = stored(tokenised(docs, tokenizer, id_col, text_col, end_id))
     places = stored(running_sums(tokens.select("key", "id", "row", "n"), ["key", "id", "row"], {"start": "n"}, ["row"]).withColumnRenamed("row", "_row"))
     facts = tokens.agg(F.sum("n"), F.count(F.lit(1)), F.max(F.length("ids") / F.col("n"))).first()
     total, count, width = facts[0] or 0, facts[1], int(facts[2] or 2)
