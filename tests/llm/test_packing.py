@@ -12,6 +12,7 @@ from pagemill.llm.hilbert import hilbert_keys
 from .helpers import clashing, docs
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
 
 
 def texts():
@@ -23,7 +24,7 @@ def texts():
 
 
 def expected_ids(text):
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 @pytest.mark.parametrize("known", [300_000, 0])
