@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ KNOWN_WORDS = 1_000_000
 SLICE_WORDS = 100_000
 # Bytes of text that a worker gets at once.
 BATCH_BYTES = 4 << 20
+# ASCII signs that can follow a word as one run; the apostrophe starts contractions and "<" special tokens.
+_SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 class WordIds:
@@ -59,6 +62,32 @@ class WordIds:
         self.start, self.count, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
 
     def _learn(self, words: list[bytes]) -> None:
+        """Words of ASCII letters before a run of signs are made of both: the tokenizer parts letters from signs."""
+        parted, whole = [], dict.fromkeys(())
+        for word in words:
+            base = word.rstrip(_SIGNS)
+            if len(base) < len(word) and base.isalpha():
+                parted.append((word, base, word[len(base) :]))
+                whole.update((part, None) for part in parted[-1][1:] if part not in self.code)
+            else:
+                whole[word] = None
+        self._encode(list(whole))
+        if parted:
+            code = np.array([(self.code[base], self.code[signs]) for _, base, signs in parted], np.int64)
+            pieces = [self.pool[self.start[c] : self.start[c] + self.count[c]] for c in code.ravel().tolist()]
+            self._add([word for word, _, _ in parted], self.count[code].sum(axis=1), np.concatenate(pieces))
+
+    def _add(self, words: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
+        first, n = len(self.code), len(words)
+        self.start, self.count = _room(self.start, first + n), _room(self.count, first + n)
+        self.pool = _room(self.pool, self.used + len(ids))
+        self.count[first : first + n] = counts
+        self.start[first : first + n] = self.used + np.cumsum(counts) - counts
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.code.update(zip(words, range(first, first + n), strict=True))
+
+    def _encode(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 2000):
             part = words[at : at + 2000]
             texts = [w.decode("utf-8", "replace") for w in part]
@@ -66,27 +95,20 @@ class WordIds:
             encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             ids = np.array(encoded.ids, np.int32)
             owner = np.searchsorted(starts, np.array([a for a, _ in encoded.offsets], np.int64), "right") - 1
-            counts = np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64)
-            first, n = len(self.code), len(part)
-            self.start, self.count = _room(self.start, first + n), _room(self.count, first + n)
-            self.pool = _room(self.pool, self.used + len(ids))
-            self.count[first : first + n] = counts
-            self.start[first : first + n] = self.used + np.cumsum(counts) - counts
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.code.update(zip(part, range(first, first + n), strict=True))
+            self._add(part, np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64), ids)
 
     def ids(self, text: bytes) -> np.ndarray:
-        words, out = text.split(), []
+        # the tokenizer lower-cases; a special token in capitals would become one, though
+        words, out = (text if b"<|" in text else text.lower()).split(), []
         for at in range(0, len(words), SLICE_WORDS):
             part = words[at : at + SLICE_WORDS]
             if len(self.code) > KNOWN_WORDS:
                 self._forget()
-            codes = list(map(self.code.get, part))
-            if None in codes:
-                self._learn(list(dict.fromkeys(w for w, c in zip(part, codes, strict=True) if c is None)))
-                codes = list(map(self.code.get, part))
-            code = np.array(codes, np.int64)
+            code = np.fromiter(map(self.code.get, part, repeat(-1)), np.int64, len(part))
+            missing = np.flatnonzero(code < 0).tolist()
+            if missing:
+                self._learn(list(dict.fromkeys(part[n] for n in missing)))
+                code[missing] = [self.code[part[n]] for n in missing]
             counts = self.count[code]
             ends = np.cumsum(counts)
             out.append(self.pool[np.repeat(self.start[code] - ends + counts, counts) + np.arange(ends[-1])])

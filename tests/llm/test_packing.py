@@ -17,7 +17,7 @@ TOKENIZER = Tokenizer.from_file(PATH)
 
 def texts():
     rng = random.Random(9)
-    hard = ["it's we'll O'NEIL's", "á é x y", "İstanbul ΣΑΣ ǅ", "\x1c\x1d\x85 ​", "1234 5,6.7", "<|endoftext|> a<|startoftext|>b", "́x ́", "日本語 テキスト", "🙂🙂 x"]
+    hard = ["it's we'll O'NEIL's", "á é x y", "İstanbul ΣΑΣ ǅ", "\x1c\x1d\x85 ​", "1234 5,6.7", "word.,; Word... don't. x- -x a'. b.' word<| end|> <|ENDOFTEXT|> THE!! the", "<|endoftext|> a<|startoftext|>b", "́x ́", "日本語 テキスト", "🙂🙂 x"]
     out = [None, "", " \n ", *hard, " ".join(hard)]
     out += [" ".join(rng.choices(["the", "Theatres", "naïve", "x1y2", "...", "don't"], k=rng.randint(1, 900))) for _ in range(40)]
     return out
