@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import as_struct, attach, stored, unnest, whole_text
 
 REACH = 3
-MIN_WORDS = 24
+MIN_WORDS = 20
 _SEED = 11
 _MAX = np.iinfo(np.uint32).max
 
