@@ -7,6 +7,10 @@ packed without any, both divided by its length. The second tells texts that repe
 which any difference is small, from ordinary ones. A logistic fit on labelled texts that no
 dictionary has seen turns them into a probability.
 
+A dictionary helps only at the start of what is packed, so a text is packed in blocks of ``BLOCK_BYTES``,
+all of them and each on its own, and the sizes are summed: the numbers do not depend on how long a text
+is. A passage that comes again only in other blocks thus counts as new (that is what ``substring`` finds).
+
 Learning takes a bounded sample (``SAMPLE_ROWS`` per class, chosen by a hash of the id, and of each
 at most ``SAMPLE_CHARS`` for a dictionary); scoring takes every row and whole texts, in Arrow
 batches, with a model of two dictionaries and three numbers.
@@ -31,6 +35,7 @@ from .common import as_struct, stored, unnest, whole_text
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 1 << 15
+BLOCK_BYTES = 8192
 LEVEL = 3
 GOOD_FROM = 0.7
 
@@ -73,7 +78,10 @@ class Packer:
 
     def numbers(self, text: str | None) -> tuple[float, float]:
         data = (text or "").encode()
-        g, b, p = (len(c.compress(data)) for c in (self.good, self.bad, self.plain))
+        g = b = p = 0
+        for at in range(0, max(1, len(data)), BLOCK_BYTES):
+            block = data[at : at + BLOCK_BYTES]
+            g, b, p = g + len(self.good.compress(block)), b + len(self.bad.compress(block)), p + len(self.plain.compress(block))
         return (b - g) / (len(data) + 1), float(np.log((p + 1) / (len(data) + 20)))
 
 

@@ -45,6 +45,41 @@ def test_same_model_again_and_scores_by_hand(spark):
     assert {r.doc_id: r.score for r in quality.scores(docs(spark, pairs), a).collect()} == by_hand
 
 
+def test_numbers_do_not_depend_on_length_or_place(spark):
+    pairs, labels = fixture(spark)
+    model = quality.train(docs(spark, pairs), spark.createDataFrame(labels, "doc_id long, quality int"), learn_from=F.expr("_id < 300"))
+    held = {label: [t for (i, t), (_, x) in zip(pairs, labels, strict=True) if i >= 300 and x == label] for label in (0, 1)}
+    packer = quality.Packer(model.good, model.bad)
+    long = {label: " ".join(random.Random(label).choices(texts, k=20_000))[:2_000_000] for label, texts in held.items()}
+    for text in long.values():
+        first, *others = (packer.numbers(text[:size])[0] for size in (8_000, 100_000, 500_000, 2_000_000))
+        assert all(abs(x - first) < 0.3 * abs(first) for x in others)
+    # what stands deep in a text counts like its start
+    good, bad = long[1][:900_000], long[0][:100_000]
+    ahead, behind = packer.numbers(bad + good)[0], packer.numbers(good + bad)[0]
+    assert abs(ahead - behind) < 0.1 * abs(ahead)
+
+
+def test_given_texts_joined_to_half_a_megabyte_keep_their_predictions(spark):
+    from pagemill.llm.queries import HELD_OUT, quality_model
+
+    whole = "/root/testdata/sf0.1"
+    df = spark.read.parquet(f"{whole}/documents.parquet")
+    model = quality_model(spark, df, whole)
+    held = df.join(spark.read.parquet(f"{whole}/labels.parquet"), "doc_id").filter(F.expr(HELD_OUT.format("doc_id"))).orderBy("doc_id").collect()
+    for label in (0, 1):
+        texts, long = [r.text for r in held if r.quality == label and r.text], []
+        random.Random(label).shuffle(texts)
+        while len(long) < 4:
+            made = ""
+            while len(made) < 500_000:
+                texts.append(texts.pop(0))
+                made += "\n" + texts[-1]
+            long.append(made)
+        got = quality.score_texts(model, [*long, "\n".join(long)])
+        assert [int(s >= quality.GOOD_FROM) for s in got] == [label] * 5
+
+
 def test_without_both_classes(spark):
     pairs, _ = fixture(spark, 20)
     for labels, prior in (([], 0.5), ([(1, 1), (2, 1)], 0.75), ([(1, 1), (1, 0)], 0.5)):
