@@ -8,7 +8,8 @@ of a valid class around it; valid classes nest into the host's template. Text un
 elements is in a slot, text that is itself a token of the page-level class belongs to the template.
 
 The slots under the element that holds the articles are extracted, without those whose elements say that they are
-something else (menus, headers and footers of the page, sidebars, notices, adverts, forms, comments). Hosts with too few distinct pages
+something else (menus, headers and footers of the page, sidebars, notices, adverts, forms, comments). A class or id says so
+only with its whole name, and never of an element that holds the page's article. Hosts with too few distinct pages
 for a template are read by their elements alone.
 
 Defined results. Null html or a page without text gives ''. A null or unreadable URL has no host and thus no template.
@@ -48,6 +49,12 @@ ASIDE_WORDS = frozenset(
     "subscription signup login comment comments disqus respond replies share sharing social related recommended recommendations "
     "widget toolbar pagination pager search copyright disclaimer".split()
 )
+# Words that may stand beside one of these in a name without telling anything else.
+PLACE_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content element entries entry form group header icon icons inner item items js "
+    "label latest layer left link links list main media outer page panel popular post posts article articles recent region right row section site slot story "
+    "stories sub text title top unit widgets wrap wrapper zone".split()
+)
 MAIN_WORDS = frozenset("article post entry story content main body text".split())
 _WHOLE = frozenset(("html", "body", "main", "article"))
 _SPACE = re.compile(r"\s+")
@@ -58,12 +65,66 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*+://(?:[^/?#@]*+@)?+([^/?#:]++)", 1))
 
 
-def _says_aside(element: Element, above: list[Element]) -> bool:
+@lru_cache(maxsize=1 << 14)
+def _name_says_aside(name: str) -> bool:
+    """Whether all words of a class or id say so: sidebar-left does, has-sidebar and notice-period do not."""
+    words = [w for w in _NAMES.split(name) if len(w) > 1 and not w.isdigit()]
+    return any(w in ASIDE_WORDS for w in words) and all(w in ASIDE_WORDS or w in PLACE_WORDS for w in words)
+
+
+def _is_aside(element: Element, above: list[Element]) -> bool:
+    """Whether tag, role or attributes say so, whatever the element holds."""
     if element.tag in ASIDE_TAGS or element.role in ASIDE_ROLES or element.hidden:
         return True
-    if element.tag == "header":  # of the page, not of the article
-        return not any(e.tag in ("article", "main") for e in above)
-    return element.tag not in _WHOLE and any(w in ASIDE_WORDS for w in _NAMES.split(element.names))
+    # of the page, not of the article
+    return element.tag == "header" and not any(e.tag in ("article", "main") for e in above)
+
+
+@lru_cache(maxsize=2)
+def events(html: str) -> list[tuple[str, Element | None, bool, str]]:
+    """('open' | 'close' | 'text', innermost element, whether it or one around it says aside, text) of all that is read.
+
+    A name says nothing about an element that holds the page's article: a main or h1, an article with most of the text
+    outside links, or without any of these most of that text itself.
+    """
+    found: list[tuple[str, int, str]] = []
+    elements: list[Element] = []
+    above: list[int] = []
+    aside: list[bool] = []
+    linked: list[bool] = []
+    chars: list[int] = []
+    holds: list[bool] = []
+    inside: list[int] = [-1]
+    for kind, stack, text in read(html):
+        if kind == "open":
+            element, outer = stack[-1], inside[-1]
+            inside.append(len(elements))
+            elements.append(element)
+            above.append(outer)
+            aside.append(outer >= 0 and aside[outer] or _is_aside(element, stack[:-1]))
+            linked.append(outer >= 0 and linked[outer] or element.tag == "a")
+            chars.append(0)
+            holds.append(not aside[-1] and (element.tag in ("main", "h1") or element.role == "main"))
+        elif kind == "text" and inside[-1] >= 0 and not aside[inside[-1]] and not linked[inside[-1]]:
+            chars[inside[-1]] += len(text.strip())
+        found.append((kind, inside[-1], text))
+        if kind == "close":
+            inside.pop()
+    total = sum(chars)
+    for i in range(len(elements) - 1, -1, -1):
+        if above[i] >= 0:
+            chars[above[i]] += chars[i]
+    most = [2 * n > total for n in chars]
+    holds = [h or m and e.tag == "article" for h, m, e in zip(holds, most, elements, strict=True)]
+    if not any(holds):
+        holds = most
+    for i in range(len(elements) - 1, -1, -1):
+        if holds[i] and above[i] >= 0:
+            holds[above[i]] = True
+    for i, element in enumerate(elements):
+        named = not holds[i] and element.names and element.tag not in _WHOLE and any(_name_says_aside(x) for x in element.names.split())
+        aside[i] = aside[i] or bool(named) or above[i] >= 0 and aside[above[i]]
+    return [(kind, elements[i] if i >= 0 else None, i >= 0 and aside[i], text) for kind, i, text in found]
 
 
 def text_token(path: str, text: str) -> int:
@@ -72,14 +133,9 @@ def text_token(path: str, text: str) -> int:
 
 def runs(html: str) -> Iterator[tuple[Element | None, bool, str]]:
     """(element, whether it or one around it says aside, text with single spaces) of every run of text that is not empty."""
-    aside: list[bool] = []
-    for kind, stack, text in read(html):
-        if kind == "open":
-            aside.append((aside[-1] if aside else False) or _says_aside(stack[-1], stack[:-1]))
-        elif kind == "close":
-            aside.pop()
-        elif text := _SPACE.sub(" ", text).strip():
-            yield stack[-1] if stack else None, bool(aside) and aside[-1], text
+    for kind, element, aside, text in events(html):
+        if kind == "text" and (text := _SPACE.sub(" ", text).strip()):
+            yield element, aside, text
 
 
 # --- template -----------------------------------------------------------------------------
@@ -94,17 +150,14 @@ def tokens_of(html: str) -> dict[tuple[str, str], list]:
         entry[1] += number
         entry[2] += chars
 
-    aside: list[bool] = []
-    for kind, stack, text in read(html):
-        if kind == "open":
-            aside.append((aside[-1] if aside else False) or _says_aside(stack[-1], stack[:-1]))
-            add(stack[-1].path, "open")
-        elif kind == "close":
-            add(stack[-1].path, "close")
-            aside.pop()
-        elif (text := _SPACE.sub(" ", text).strip()) and stack:
-            path = stack[-1].path
-            if not aside[-1]:
+    for kind, element, aside, text in events(html):
+        if element is None:
+            continue
+        path = element.path
+        if kind != "text":
+            add(path, kind)
+        elif text := _SPACE.sub(" ", text).strip():
+            if not aside:
                 add(path, "open", len(text), 0)
             entry = found.setdefault((path, f"text {text_token(path, text)}"), [text_token(path, text), 0, 0])
             entry[1] += 1
@@ -238,7 +291,6 @@ def main_text(html: str, holder: str = "", fixed: frozenset[int] = frozenset())
 def _blocks(html: str, holder: str) -> list[tuple[str, set[int]]]:
     """(text, tokens of its runs) of every block under the holder."""
     blocks: list[tuple[str, set[int]]] = []
-    aside: list[bool] = []
     parts: list[str] = []
     tokens: set[int] = set()
     wanted = holder + "/"
@@ -249,24 +301,19 @@ def _blocks(html: str, holder: str) -> list[tuple[str, set[int]]]:
         parts.clear()
         tokens.clear()
 
-    for kind, stack, text in read(html):
+    for kind, element, aside, text in events(html):
         if kind == "text":
-            path = stack[-1].path if stack else ""
+            path = element.path if element else ""
             inside = not holder or path == holder or path.startswith(wanted)
-            if inside and not (aside and aside[-1]):
+            if inside and not aside:
                 parts.append(text)
                 if clean := _SPACE.sub(" ", text).strip():
                     tokens.add(text_token(path, clean))
             continue
-        tag = stack[-1].tag
-        if tag in BLOCK:
+        if element.tag in BLOCK:
             flush()
-        elif tag in ("br", "td", "th", "img"):
+        elif element.tag in ("br", "td", "th", "img"):
             parts.append(" ")
-        if kind == "open":
-            aside.append((aside[-1] if aside else False) or _says_aside(stack[-1], stack[:-1]))
-        else:
-            aside.pop()
     flush()
     return blocks
 

@@ -58,6 +58,18 @@ def test_templates_of_several_kinds(spark):
     assert got == want
 
 
+def test_names_of_wrappers_and_inner_blocks():
+    rng = random.Random(5)
+    for name in ("page has-sidebar", "layout no-comments", "post social-policy", "social", "post comments"):
+        head, blocks = sentences(rng, 1), [sentences(rng, 3) for _ in range(4)]
+        inner = f"<h1>{head}</h1><p>{blocks[0]}</p><div class='notice-period'>{blocks[1]}</div><p class='related-work'>{blocks[2]}</p><p>{blocks[3]}</p>"
+        wanted = "\n\n".join([head, *blocks])
+        other = f"<div class='ad-slot'>{head}</div><div class='sidebar-left'>{head}</div><div id=comments>{''.join(f'<article>{sentences(rng, 4)}</article>' for _ in range(9))}</div>"
+        assert extraction.main_text(f"<html><body><div class='{name}'>{inner}</div>{other}</body></html>") == wanted
+        assert extraction.main_text(f"<html><body><section id='content-with-sidebar'><div class='{name}'><article>{inner}</article>{other}</div></section></body></html>") == wanted
+    assert extraction.main_text(f"<div class='notices'><p>{blocks[0]}</p></div><div class=promo>{head}</div>") == blocks[0]
+
+
 def test_a_host_of_copies_keeps_its_text(spark):
     rng = random.Random(4)
     html, wanted = page(rng, "divs")
