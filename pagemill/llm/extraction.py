@@ -7,7 +7,7 @@ equivalence class. A class that many pages share is valid if each of its tokens
 of a valid class around it; valid classes nest into the host's template. Text under the template's
 elements is in a slot, text that is itself a token of the page-level class belongs to the template.
 
-The slots under the element that holds the articles are extracted, without those whose elements say that they are
+All slots are extracted, and the article's fixed text if it is most of it, without those whose elements say that they are
 something else (menus, headers and footers of the page, sidebars, notices, adverts, forms, comments). A class or id says so
 only with its whole name, and never of an element that holds the page's article. Hosts with too few distinct pages
 for a template are read by their elements alone.
@@ -55,7 +55,7 @@ PLACE_WORDS = frozenset(
     "label latest layer left link links list main media outer page panel popular post posts article articles recent region right row section site slot story "
     "stories sub text title top unit widgets wrap wrapper zone".split()
 )
-MAIN_WORDS = frozenset("article post entry story content main body text".split())
+_HOLDERS = BLOCK - frozenset("p li tr pre blockquote h1 h2 h3 h4 h5 h6".split())
 _WHOLE = frozenset(("html", "body", "main", "article"))
 _SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"[^a-z0-9]+")
@@ -157,15 +157,16 @@ def tokens_of(html: str) -> dict[tuple[str, str], list]:
         if kind != "text":
             add(path, kind)
         elif text := _SPACE.sub(" ", text).strip():
-            if not aside:
-                add(path, "open", len(text), 0)
+            chars = 0 if aside else len(text)
+            add(path, "open", chars, 0)
             entry = found.setdefault((path, f"text {text_token(path, text)}"), [text_token(path, text), 0, 0])
             entry[1] += 1
+            entry[2] += chars
     return found
 
 
 def template_of(pages: int, tokens: list[tuple[str, str, int, str, int, int]]) -> tuple[str, list[int]]:
-    """Path of the element that holds the articles ('' if none) and the fixed texts, from a host's frequent tokens.
+    """Path of the element around all slots that vary ('' if none) and the fixed texts, from a host's frequent tokens.
 
     ``tokens``: path, kind, token, class, total, characters. They are at most 1 / SUPPORT times as many as a
     page has on average, as each is in that share of the pages.
@@ -181,39 +182,31 @@ def template_of(pages: int, tokens: list[tuple[str, str, int, str, int, int]]) -
         for name in nested:
             valid |= {p for p, kind, *_ in pending.pop(name) if kind == "open"}
     slots = valid or paths
-    under: dict[str, int] = defaultdict(int)
-    for path, kind, _, _, chars in (m for members in classes.values() for m in members):
-        if kind == "open":
-            steps = path.split("/")
-            for depth in range(1, len(steps) + 1):
-                under["/".join(steps[:depth])] += chars
-    fixed = [token for name, members in classes.items() if name not in pending for _, kind, token, *_ in members if kind.startswith("text")]
-    return _holder(slots, under), sorted(fixed)
-
-
-def _holder(slots: set[str], under: dict[str, int]) -> str:
-    """The element that articles are in: a named one with most of the text, or the narrowest that still has most of it."""
-    total = max((n for p, n in under.items() if "/" not in p), default=0)
-    if not total:
+    fixed, varying, total = [], defaultdict(int), 0
+    for name, members in classes.items():
+        for path, kind, token, _, chars in members:
+            if kind == "open" and path in slots:
+                varying[path] += chars
+                total += chars
+            elif kind.startswith("text") and name not in pending:
+                fixed.append(token)
+                varying[path] -= chars
+    # where little varies, as in revisions of one article, what is fixed may be the article
+    return _holder(varying) if 2 * sum(varying.values()) > total else "", sorted(fixed)
+
+
+def _holder(varying: dict[str, int]) -> str:
+    """The narrowest element around all slots whose text varies, '' if there is none."""
+    steps = [path.split("/") for path, n in varying.items() if n > 0]
+    if not steps:
         return ""
-
-    def named(path: str) -> int:
-        label = path.rpartition("/")[2]
-        tag = re.split(r"[.\[]", label)[0]
-        return 2 if tag in ("article", "main") or "[main]" in label else 1 if set(_NAMES.split(label)) & MAIN_WORDS and tag in ("div", "section", "td") else 0
-
-    best = max((p for p in slots if named(p) and under[p] >= 0.5 * total), key=lambda p: (named(p), under[p], -p.count("/")), default="")
-    if best:
-        return best
-    at = max((p for p in under if "/" not in p), key=lambda p: under[p])
-    if not re.match(r"(html|body)\b", at):
-        return ""  # a piece of a page: all of it
-    while True:
-        inner = [p for p in slots if p.rpartition("/")[0] == at and re.split(r"[.\[]", p.rpartition("/")[2])[0] in BLOCK - {"p", "li", "tr", "pre", "blockquote"}]
-        narrower = max(inner, key=lambda p: under[p], default="")
-        if not narrower or under[narrower] < 0.7 * under[at] or re.match(r"h[1-6]\b", narrower.rpartition("/")[2]):
-            return at
-        at = narrower
+    common = list(steps[0])
+    for other in steps[1:]:
+        while common != other[: len(common)]:
+            common.pop()
+    while common and re.split(r"[.\[]", common[-1])[0] not in _HOLDERS:
+        common.pop()
+    return "/".join(common)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -259,55 +252,43 @@ def templates(pages: DataFrame) -> DataFrame:
 # --- extraction ---------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=4)
-def _own_holder(html: str) -> str:
-    """The holder of a page that has no template: what a template of this page alone would say."""
-    tokens = [(path, kind, token, f"{number}", number, chars) for (path, kind), (token, number, chars) in tokens_of(html).items() if kind in ("open", "close")]
-    return _holder({t[0] for t in tokens}, _under(tokens))
-
-
-def _under(tokens: list[tuple]) -> dict[str, int]:
-    under: dict[str, int] = defaultdict(int)
-    for path, kind, *_, chars in tokens:
-        if kind == "open":
-            steps = path.split("/")
-            for depth in range(1, len(steps) + 1):
-                under["/".join(steps[:depth])] += chars
-    return under
-
-
 def main_text(html: str, holder: str = "", fixed: frozenset[int] = frozenset()) -> str:
-    """Blocks of main text, joined by two line feeds."""
-    found = _blocks(html, holder)
-    if holder and not found:
-        found = _blocks(html, _own_holder(html))  # the page departs from its host's template
+    """Blocks of main text, joined by two line feeds.
+
+    Outside the holder only text that the template has is left out: a page may have slots that few others have.
+    """
+    found = [b for b in _blocks(html) if not (holder and b[1] and b[1] <= fixed and not _within(b[2], holder))]
     if fixed:
         plain = [b for b in found if not b[1] & fixed]
-        if 2 * sum(len(t) for t, _ in plain) > sum(len(t) for t, _ in found):
+        if 2 * sum(len(t) for t, *_ in plain) > sum(len(t) for t, *_ in found):
             found = plain
-    return "\n\n".join(t for t, _ in found)
+    return "\n\n".join(t for t, *_ in found)
 
 
-def _blocks(html: str, holder: str) -> list[tuple[str, set[int]]]:
-    """(text, tokens of its runs) of every block under the holder."""
-    blocks: list[tuple[str, set[int]]] = []
+def _within(path: str, holder: str) -> bool:
+    return path == holder or path.startswith(holder + "/")
+
+
+def _blocks(html: str) -> list[tuple[str, set[int], str]]:
+    """(text, tokens of its runs, path of the first) of every block that is not aside."""
+    blocks: list[tuple[str, set[int], str]] = []
     parts: list[str] = []
     tokens: set[int] = set()
-    wanted = holder + "/"
+    at = ""
 
     def flush() -> None:
         if text := _SPACE.sub(" ", "".join(parts)).strip():
-            blocks.append((text, set(tokens)))
+            blocks.append((text, set(tokens), at))
         parts.clear()
         tokens.clear()
 
     for kind, element, aside, text in events(html):
         if kind == "text":
-            path = element.path if element else ""
-            inside = not holder or path == holder or path.startswith(wanted)
-            if inside and not aside:
+            if not aside:
                 parts.append(text)
                 if clean := _SPACE.sub(" ", text).strip():
+                    path = element.path if element else ""
+                    at = at if tokens else path
                     tokens.add(text_token(path, clean))
             continue
         if element.tag in BLOCK:
@@ -335,7 +316,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 texts = [
-                    main_text(html, holder or _own_holder(html), frozenset(fixed or ()))
+                    main_text(html, holder, frozenset(fixed or ()))
                     for html, holder, fixed in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])

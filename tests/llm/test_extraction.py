@@ -70,6 +70,27 @@ def test_names_of_wrappers_and_inner_blocks():
     assert extraction.main_text(f"<div class='notices'><p>{blocks[0]}</p></div><div class=promo>{head}</div>") == blocks[0]
 
 
+def test_articles_in_several_containers(spark):
+    rng = random.Random(6)
+    table, want = [], {}
+    for host, (one, two) in enumerate([("class=intro", "class=content"), ("class=u1", "class=u2"), ("class=u2", "class=u1"), ("id=x class=body", "class=u4")]):
+        for n in range(12):
+            head, first, second, rare = sentences(rng, 1), sentences(rng, 6), sentences(rng, 2), sentences(rng, 1)
+            if host == 0:
+                first, second = second, first
+            deep = f"<div {one}><h1>{head}</h1><p>{first}</p></div><div {two}><p>{second}</p></div>"
+            inner = f"<div class=wrap>{deep}</div>" if host == 2 else deep
+            last = f"<div class=p{n}><p>{rare}</p></div>" if n == 5 else ""
+            html = f"<html><body><div class=top>One fixed line of the site</div>{inner}{last}<div class=end>Another line</div></body></html>"
+            want[len(table)] = "\n\n".join([head, first, second] + [rare] * (n == 5))
+            table.append((len(table), f"https://h{host}.example.com/{n}", html))
+            if n == 0:  # a host of one page is read by its elements alone
+                want[len(table)] = f"One fixed line of the site\n\n{want[len(table) - 1]}\n\nAnother line"
+                table.append((len(table), f"https://single{host}.example.com/", html))
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(table, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 def test_a_host_of_copies_keeps_its_text(spark):
     rng = random.Random(4)
     html, wanted = page(rng, "divs")
@@ -80,6 +101,14 @@ def test_a_host_of_copies_keeps_its_text(spark):
         assert wanted in r.text
 
 
+def test_an_article_that_is_fixed_but_for_its_date_is_kept(spark):
+    rng = random.Random(8)
+    article = sentences(rng, 20)
+    table = [(i, "http://dates.example.com/a", f"<html><body><div class=day>Day {i}</div><div class=x><p>{article}</p></div></body></html>") for i in range(12)]
+    df = spark.createDataFrame(table, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extraction.extract(df).collect()} == {i: f"Day {i}\n\n{article}" for i, *_ in table}
+
+
 def test_classes_have_one_occurrence_vector():
     holder, fixed = extraction.template_of(
         4,
