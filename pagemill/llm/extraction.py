@@ -37,6 +37,8 @@ from .markup import BLOCK, Element, read
 MIN_PAGES = 3
 SUPPORT = 0.5
 FIXED_SUPPORT = 0.9
+# Text in paragraphs and headings is taken for fixed from so many distinct pages on; a few may be revisions of one article.
+MIN_PROSE_PAGES = 10
 
 # Elements, roles and words of class or id that say what is not main text.
 ASIDE_TAGS = frozenset(
@@ -58,6 +60,7 @@ PLACE_WORDS = frozenset(
 _HOLDERS = BLOCK - frozenset("p li tr pre blockquote h1 h2 h3 h4 h5 h6".split())
 _WHOLE = frozenset(("html", "body", "main", "article"))
 _SPACE = re.compile(r"\s+")
+_PROSE = re.compile(r"(?:^|/)(?:p|h[1-6])(?=[./\[]|$)")
 _NAMES = re.compile(r"[^a-z0-9]+")
 
 
@@ -188,7 +191,7 @@ def template_of(pages: int, tokens: list[tuple[str, str, int, str, int, int]]) -
             if kind == "open" and path in slots:
                 varying[path] += chars
                 total += chars
-            elif kind.startswith("text") and name not in pending:
+            elif kind.startswith("text") and name not in pending and (pages >= MIN_PROSE_PAGES or not _PROSE.search(path)):
                 fixed.append(token)
                 varying[path] -= chars
     # where little varies, as in revisions of one article, what is fixed may be the article

@@ -109,6 +109,17 @@ def test_an_article_that_is_fixed_but_for_its_date_is_kept(spark):
     assert {r.page_id: r.text for r in extraction.extract(df).collect()} == {i: f"Day {i}\n\n{article}" for i, *_ in table}
 
 
+def test_few_revisions_of_an_article_keep_what_they_share(spark):
+    rng = random.Random(9)
+    shared, table, want = sentences(rng, 4), [], {}
+    for i in range(3):
+        own = sentences(rng, 6)
+        want[i] = f"{shared}\n\n{own}"
+        table.append((i, "http://revised.example.com/a", f"<html><body><div class=top>A line of the site</div><article><p>{shared}</p><p>{own}</p></article></body></html>"))
+    df = spark.createDataFrame(table, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extraction.extract(df).collect()} == want
+
+
 def test_classes_have_one_occurrence_vector():
     holder, fixed = extraction.template_of(
         4,
