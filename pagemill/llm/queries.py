@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.tables import table, text_table
-from . import decontaminate, exact_dedup, extraction, licences, packing, preference, quality, sharding, simhash, substring
+from . import decontaminate, exact_dedup, extraction, importance, licences, packing, preference, quality, sharding, simhash, substring, toxicity, vectorcodes
 
 SHARDS = 24
 
@@ -90,6 +90,27 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded = vectorcodes.compress(text_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Model:
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    return toxicity.train(docs, labels, learn_from=~F.expr(HELD_OUT.format("_id")))
+
+
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = text_table(spark, sf, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.expr(HELD_OUT.format("doc_id")), F.lit(False))
+    return toxicity.scores(docs, toxicity_model(spark, docs, sf)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance.resample(text_table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -101,8 +122,51 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_toxicity": op12_toxicity,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
+def _codes_sql() -> str:
+    """The codebooks' rounds one after the other, distances by plain sums of squares."""
+
+    def round_of(n: int) -> str:
+        return f"""
+        a{n} AS (
+            SELECT vec_id, part, x, arg_min(e, d * 64 + e) AS e, min(d) AS d
+            FROM (SELECT vec_id, p.part, x, e, list_sum([(x[i] - c[i]) * (x[i] - c[i]) FOR i IN range(1, len(x) + 1)]) AS d FROM p JOIN c{n} USING (part))
+            GROUP BY vec_id, part, x
+        ),"""
+
+    def means_of(n: int) -> str:
+        return f"""
+        m{n} AS (
+            SELECT part, e, i, sum(x[i]) AS s, count(*) AS k FROM a{n}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM p) + 1)) AS i) GROUP BY part, e, i
+        ),
+        l{n} AS (SELECT part, e, list((s - ((s % k) + k) % k) // k ORDER BY i) AS c FROM m{n} GROUP BY part, e),
+        c{n + 1} AS (SELECT part, e, coalesce(l{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN l{n} USING (part, e)),"""
+
+    return f"""
+        WITH k AS (
+            SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+        ),
+        p AS (
+            SELECT vec_id, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS x FROM k, (SELECT unnest(range(16)) AS part)
+        ),
+        c0 AS (
+            SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS c
+            FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)
+        ),{round_of(0)}{means_of(0)}{round_of(1)}{means_of(1)}{round_of(2)}
+        books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2),
+        coded AS (
+            SELECT vec_id, string_agg(lower(format('{{:02x}}', e)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM coded JOIN k USING (vec_id), books
+    """
+
+
 def _licence_sql() -> str:
     """The scan in SQL: known sentences and rules as tables, the rules tried one after the other by recursion."""
     names, rules = licences.knowledge()
@@ -191,4 +255,43 @@ ORACLES = {
         FROM made
     """,
     "op6_licence_scan": _licence_sql(),
+    "op11_vector_codes": _codes_sql(),
+    "op13_importance_resampling": r"""
+        WITH steps AS (
+            SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS k
+        ),
+        d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ),
+        b AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f FROM benchmark
+        ),
+        df AS (SELECT doc_id, unnest(w) AS f FROM d),
+        bytes AS (
+            SELECT f, [('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen(f))] AS l
+            FROM (SELECT f FROM df UNION SELECT f FROM b)
+        ),
+        buckets AS (
+            SELECT f, xor(list_reduce(list_prepend(4294967295, l), lambda c, x: xor(c >> 8, k[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM bytes, steps
+        ),
+        s AS (SELECT bucket, count(*) AS s FROM df JOIN buckets USING (f) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM b JOIN buckets USING (f) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE
+                                           / ((s + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)
+        ),
+        weights AS (SELECT doc_id, sum(gain) AS weight FROM df JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, len(w) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+            FROM d LEFT JOIN weights USING (doc_id)
+        ),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN r <= (SELECT 10 * count(*) // 100 FROM ranked) THEN r END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }
