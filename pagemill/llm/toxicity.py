@@ -249,7 +249,7 @@ def lexicon(counted: dict[str, tuple[int, int]], toxic: int, clean: int, candida
         return 2 * sum(x * log(x / ((t + n) * r)) for x, r in ((t, rate), (n, 1 - rate)) if x)
 
     def stands_out(node: str) -> bool:
-        return counted[node][0] >= LEAST_TEXTS and share(node, 0.5) >= 0.75 and gain(node) >= needed
+        return counted[node][0] >= LEAST_TEXTS and share(node, 0.5) >= 0.7 and gain(node) >= needed
 
     below = defaultdict(list)
     for node in counted:
