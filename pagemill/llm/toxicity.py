@@ -46,7 +46,7 @@ LEAST_TEXTS = 3
 SHORTEST, LONGEST = 3, 12
 NEGATION_WORDS = 3
 CLAUSE_CHARS = 400
-MOST_NODES = 20_000
+MOST_SHARE = 0.998
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(7)
 NEGATED, REPORTED, TARGETED = 1, 2, 4
@@ -259,9 +259,9 @@ def lexicon(counted: dict[str, tuple[int, int]], toxic: int, clean: int, candida
             below[node[:-1]].append(node)
 
     def learn(node: str, above: float) -> None:
-        p = share(node, above)
+        p = min(share(node, above), MOST_SHARE)
         if sum(counted[node]) >= LEAST_TEXTS:
-            weights[node] = max(0.0, min(6.0, log(p / (1 - p))))
+            weights[node] = max(0.0, log(p / (1 - p)))
             seeds.discard(node)
         for longer in below[node]:
             learn(longer, p)
@@ -353,12 +353,12 @@ def train(
     n, t = (sum((F.col(f"n{FOLDS * label + fold}") for fold in range(FOLDS)), F.lit(0)) for label in (0, 1))
     all_nodes = stored(_counted(sample).filter(n + t >= LEAST_TEXTS))
     candidates = all_nodes.filter(t + n >= 5).count()
-    likely = all_nodes.filter((t >= LEAST_TEXTS) & (t * total[0] > n * total[1]))
-    # the strongest beginnings, all that are shorter, and all that are longer: a bounded number, from a bounded sample
-    strong = [r.node for r in likely.orderBy((t / (n * total[1] / total[0] + 1)).desc(), "node").limit(MOST_NODES // 4).collect()]
-    short = {x.rstrip("$")[:SHORTEST] for x in strong}
-    near = all_nodes.filter(F.substring("node", 1, SHORTEST).isin(sorted(short))).filter((t >= 1) | (n >= LEAST_TEXTS))
-    rows = near.orderBy((t * 4 + n).desc(), "node").limit(10 * MOST_NODES).collect()
+    # beginnings that stand out, and every node that starts like one: a few families out of a bounded sample
+    rate, needed = total[1] / (total[0] + total[1]), 2 * log(max(1, candidates))
+    gain = 2 * sum((F.when(x > 0, x * F.log(x / ((t + n) * r))).otherwise(0.0) for x, r in ((t, rate), (n, 1 - rate))), F.lit(0.0))
+    strong = all_nodes.filter((t >= LEAST_TEXTS) & (t * total[0] > n * total[1]) & (gain >= needed))
+    families = sorted(r[0] for r in strong.select(F.substring("node", 1, SHORTEST)).distinct().collect())
+    rows = all_nodes.filter(F.substring("node", 1, SHORTEST).isin(families)).collect() if families else []
 
     def made(without: int | None = None) -> Lexicon:
         folds = [f for f in range(FOLDS) if f != without]
