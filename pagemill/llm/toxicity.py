@@ -269,8 +269,8 @@ def lexicon(counted: dict[str, tuple[int, int]], toxic: int, clean: int, candida
     def search(node: str) -> None:
         # the longest beginning that tells most, so that no unlike words come with it
         if stands_out(node):
-            longer = [x for x in below[node] if gain(x) >= gain(node) and counted[x][0] >= 0.75 * counted[node][0]]
-            if longer:
+            # one that tells about as much of most texts, or far more of some
+            if any(gain(x) >= gain(node) * (1 if counted[x][0] >= 0.75 * counted[node][0] else 1.8) for x in below[node]):
                 for x in below[node]:
                     search(x)
             else:
