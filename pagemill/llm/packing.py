@@ -22,6 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,9 +36,9 @@ DIMENSIONS = 4
 BITS = 10
 BUCKETS = 4096
 SEED = 7
-# Words whose ids a worker remembers, and words of a text looked up at once.
+# Words whose ids a worker remembers, and words looked up at once.
 KNOWN_WORDS = 1_000_000
-SLICE_WORDS = 100_000
+SLICE_WORDS = 500_000
 # Bytes of text that a worker gets at once.
 BATCH_BYTES = 4 << 20
 # ASCII signs that can follow a word as one run; the apostrophe starts contractions and "<" special tokens.
@@ -47,7 +48,8 @@ _SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 class WordIds:
     """Token ids of texts, word by word: the tokenizer splits at white space, so a word's ids do not depend on its neighbours.
 
-    Words are parted at ASCII white space only; any other is left to the tokenizer.
+    Words are parted at ASCII white space only; any other is left to the tokenizer. The words of many texts are parted and
+    numbered in Arrow; only different ones are looked up among those a worker remembers, and only new ones are tokenised.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,6 +57,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        # tokens that end a run of letters, digits or signs
+        self.ends = np.zeros(self.size + 1, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -63,19 +68,30 @@ class WordIds:
 
     def _learn(self, words: list[bytes]) -> None:
         """Words of ASCII letters before a run of signs are made of both: the tokenizer parts letters from signs."""
-        parted, whole = [], dict.fromkeys(())
+        parted, whole, known = [], {}, self.code
         for word in words:
+            if word.isalpha():
+                whole[word] = None
+                continue
             base = word.rstrip(_SIGNS)
             if len(base) < len(word) and base.isalpha():
                 parted.append((word, base, word[len(base) :]))
-                whole.update((part, None) for part in parted[-1][1:] if part not in self.code)
+                if base not in known:
+                    whole[base] = None
+                if parted[-1][2] not in known:
+                    whole[parted[-1][2]] = None
             else:
                 whole[word] = None
-        self._encode(list(whole))
+        self._encode([w for w in whole if w not in known])
         if parted:
-            code = np.array([(self.code[base], self.code[signs]) for _, base, signs in parted], np.int64)
-            pieces = [self.pool[self.start[c] : self.start[c] + self.count[c]] for c in code.ravel().tolist()]
-            self._add([word for word, _, _ in parted], self.count[code].sum(axis=1), np.concatenate(pieces))
+            code = np.array([(known[base], known[signs]) for _, base, signs in parted], np.int64)
+            counts = self.count[code]
+            self._add([word for word, _, _ in parted], counts.sum(axis=1), self._gathered(code.ravel(), counts.ravel()))
+
+    def _gathered(self, code: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.repeat(self.start[code] - ends + counts, counts) + np.arange(total)]
 
     def _add(self, words: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
         first, n = len(self.code), len(words)
@@ -88,31 +104,61 @@ class WordIds:
         self.code.update(zip(words, range(first, first + n), strict=True))
 
     def _encode(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-            encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(encoded.ids, np.int32)
-            owner = np.searchsorted(starts, np.array([a for a, _ in encoded.offsets], np.int64), "right") - 1
-            self._add(part, np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64), ids)
-
-    def ids(self, text: bytes) -> np.ndarray:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [n for n, text in enumerate(texts) if text.isalpha()]
+        other = [n for n, text in enumerate(texts) if not text.isalpha()]
+        for rows, counted in ((plain, self._by_ends), (other, self._by_offsets)):
+            for at in range(0, len(rows), 2000):
+                part = rows[at : at + 2000]
+                self._add([words[n] for n in part], *counted([texts[n] for n in part]))
+
+    def _by_ends(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of tokens and the ids of words of letters, each of which ends with its only token that ends a run."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(self.ends[ids])
+        # letters whose small form is more than letters make several runs
+        if len(ends) != len(texts) or ends[-1] != len(ids) - 1:
+            return self._by_offsets(texts)
+        return np.diff(ends, prepend=-1), ids
+
+    def _by_offsets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(encoded.ids, np.int32)
+        owner = np.searchsorted(starts, np.array([a for a, _ in encoded.offsets], np.int64), "right") - 1
+        return (np.bincount(owner, minlength=len(texts)) if len(ids) else np.zeros(len(texts), np.int64)), ids
+
+    def _coded(self, words: pa.Array) -> np.ndarray:
+        """The number of each word among those remembered."""
+        numbered = words.dictionary_encode()
+        different = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        if len(self.code) + len(different) > KNOWN_WORDS:
+            self._forget()
+        code = np.fromiter(map(self.code.get, different, repeat(-1)), np.int64, len(different))
+        missing = np.flatnonzero(code < 0).tolist()
+        if missing:
+            self._learn([different[n] for n in missing])
+            code[missing] = [self.code[different[n]] for n in missing]
+        return code[numbered.indices.to_numpy()]
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        texts = texts.cast(pa.large_string())
         # the tokenizer lower-cases; a special token in capitals would become one, though
-        words, out = (text if b"<|" in text else text.lower()).split(), []
+        low = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(low)
+        words, bounds = split.flatten(), np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))
+        ids, ends = [], [np.zeros(1, np.int64)]
         for at in range(0, len(words), SLICE_WORDS):
-            part = words[at : at + SLICE_WORDS]
-            if len(self.code) > KNOWN_WORDS:
-                self._forget()
-            code = np.fromiter(map(self.code.get, part, repeat(-1)), np.int64, len(part))
-            missing = np.flatnonzero(code < 0).tolist()
-            if missing:
-                self._learn(list(dict.fromkeys(part[n] for n in missing)))
-                code[missing] = [self.code[part[n]] for n in missing]
+            code = self._coded(words.slice(at, SLICE_WORDS))
             counts = self.count[code]
-            ends = np.cumsum(counts)
-            out.append(self.pool[np.repeat(self.start[code] - ends + counts, counts) + np.arange(ends[-1])])
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
+            ids.append(self._gathered(code, counts))
+            ends.append(ends[-1][-1] + np.cumsum(counts))
+        cuts = np.concatenate(ends)[bounds]
+        return np.split(np.concatenate([np.zeros(0, np.int32), *ids]), cuts[1:-1]) if len(texts) else []
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return self.batch(pa.array([text], pa.large_binary()))[0]
 
 
 @lru_cache(maxsize=1)
@@ -148,15 +194,15 @@ def curve_keys(token_ids: list[np.ndarray], projection: np.ndarray) -> np.ndarra
 
 def tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
     """(id, row, n, key, ids): ids as little-endian numbers, of two bytes if the vocabulary allows."""
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(F.col(text_col)).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), whole_text(F.col(text_col)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, projection, row = word_ids(tokenizer), _projection(), TaskContext.get().partitionId() << 33
         kind = _kind(max(words.size - 1, end_id))
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                found = [np.append(words.ids(t.as_py()), np.int32(end_id)) for t in part.column(1)]
+            for at in range(0, len(batch), 4096):
+                part = batch.slice(at, 4096)
+                found = [np.append(ids, np.int32(end_id)) for ids in words.batch(part.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
