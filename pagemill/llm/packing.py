@@ -16,7 +16,7 @@ an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import repeat
 
@@ -42,7 +42,7 @@ SLICE_WORDS = 500_000
 # Bytes of text that a worker gets at once.
 BATCH_BYTES = 4 << 20
 # ASCII signs that can follow a word as one run; the apostrophe starts contractions and "<" special tokens.
-_SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+_SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 class WordIds:
@@ -67,24 +67,27 @@ class WordIds:
         self.start, self.count, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
 
     def _learn(self, words: list[bytes]) -> None:
-        """Words of ASCII letters before a run of signs are made of both: the tokenizer parts letters from signs."""
-        parted, whole, known = [], {}, self.code
-        for word in words:
-            if word.isalpha():
-                whole[word] = None
+        """Words of letters before a run of ASCII signs are made of both: the tokenizer parts letters from signs."""
+        letters, others, parted, known = {}, {}, [], self.code
+        for word, text in zip(words, [w.decode("utf-8", "replace") for w in words], strict=True):
+            if text.isalpha():
+                letters[word] = text
                 continue
-            base = word.rstrip(_SIGNS)
-            if len(base) < len(word) and base.isalpha():
-                parted.append((word, base, word[len(base) :]))
-                if base not in known:
-                    whole[base] = None
-                if parted[-1][2] not in known:
-                    whole[parted[-1][2]] = None
+            base = text.rstrip(_SIGNS)
+            if len(base) < len(text) and base.isalpha():
+                sign = len(text) - len(base)
+                front, back = word[:-sign], word[-sign:]
+                parted.append((word, front, back))
+                if front not in known:
+                    letters[front] = base
+                if back not in known:
+                    others[back] = text[-sign:]
             else:
-                whole[word] = None
-        self._encode([w for w in whole if w not in known])
+                others[word] = text
+        self._encode(letters, self._by_ends)
+        self._encode(others, self._by_offsets)
         if parted:
-            code = np.array([(known[base], known[signs]) for _, base, signs in parted], np.int64)
+            code = np.array([(known[front], known[back]) for _, front, back in parted], np.int64)
             counts = self.count[code]
             self._add([word for word, _, _ in parted], counts.sum(axis=1), self._gathered(code.ravel(), counts.ravel()))
 
@@ -103,14 +106,12 @@ class WordIds:
         self.used += len(ids)
         self.code.update(zip(words, range(first, first + n), strict=True))
 
-    def _encode(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [n for n, text in enumerate(texts) if text.isalpha()]
-        other = [n for n, text in enumerate(texts) if not text.isalpha()]
-        for rows, counted in ((plain, self._by_ends), (other, self._by_offsets)):
-            for at in range(0, len(rows), 2000):
-                part = rows[at : at + 2000]
-                self._add([words[n] for n in part], *counted([texts[n] for n in part]))
+    def _encode(self, texts: dict[bytes, str], counted: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        """Tokenise new words; some may be known since, as the front or back of another."""
+        words = [w for w in texts if w not in self.code]
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            self._add(part, *counted([texts[w] for w in part]))
 
     def _by_ends(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of tokens and the ids of words of letters, each of which ends with its only token that ends a run."""
@@ -131,7 +132,9 @@ class WordIds:
     def _coded(self, words: pa.Array) -> np.ndarray:
         """The number of each word among those remembered."""
         numbered = words.dictionary_encode()
-        different = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        # words hold no space; joining and parting them again is faster than taking them one by one
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(numbered.dictionary)], numbered.dictionary.cast(pa.large_binary())), b" ")
+        different = joined[0].as_py().split(b" ")
         if len(self.code) + len(different) > KNOWN_WORDS:
             self._forget()
         code = np.fromiter(map(self.code.get, different, repeat(-1)), np.int64, len(different))
