@@ -133,7 +133,7 @@ class WordIds:
         """The number of each word among those remembered."""
         numbered = words.dictionary_encode()
         # words hold no space; joining and parting them again is faster than taking them one by one
-        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(numbered.dictionary)], numbered.dictionary.cast(pa.large_binary())), b" ")
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(numbered.dictionary)], numbered.dictionary.cast(pa.large_binary())), pa.scalar(b" ", pa.large_binary()))
         different = joined[0].as_py().split(b" ")
         if len(self.code) + len(different) > KNOWN_WORDS:
             self._forget()
