@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import xxhash
+
 # Elements of HTML by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -22,22 +24,45 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'
 
 
 class Element:
-    """An open element: tag, the values of class, id and role, and whether it is marked as hidden."""
+    """An open element: tag, the values of class, id and role, whether it is marked as hidden, and its place.
+
+    ``path`` is a hash of the labels from the root to it, ``parent`` that of the element around it (0: none), so that deep
+    nesting costs no more than shallow.
+    """
 
-    __slots__ = ("hidden", "names", "path", "role", "tag")
+    __slots__ = ("hidden", "label", "names", "parent", "path", "role", "tag")
 
     def __init__(self, tag: str, attributes: str, above: Element | None) -> None:
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip(" /\n\t") else {}
         self.tag, self.role = tag, given.get("role", "").lower()
         self.names = " ".join(filter(None, (given.get("class", ""), given.get("id", "")))).lower()
         self.hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", given.get("style", "")))
-        label = tag + "".join("." + x for x in sorted(given.get("class", "").lower().split())) + (f"[{self.role}]" if self.role else "")
-        self.path = f"{above.path}/{label}" if above else label
+        self.label = tag + "".join("." + x for x in sorted(given.get("class", "").lower().split())) + (f"[{self.role}]" if self.role else "")
+        self.parent = above.path if above else 0
+        self.path = xxhash.xxh3_64_intdigest(self.label, self.parent) >> 1
+
+
+class _Stack(list):
+    """Open elements, and where those of each tag are."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.spots: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.spots.setdefault(element.tag, []).append(len(self))
+        self.append(element)
+
+    def drop(self) -> None:
+        self.spots[self.pop().tag].pop()
+
+    def last(self, tags: set[str]) -> int:
+        return max((self.spots[t][-1] for t in tags if self.spots.get(t)), default=-1)
 
 
 def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
     """('open' | 'close' | 'text', elements it stands in, text). Unclosed and stray tags are mended as a browser would, nearly."""
-    stack: list[Element] = []
+    stack = _Stack()
     at, size = 0, len(html)
     while at < size:
         sign = html.find("<", at)
@@ -64,7 +89,7 @@ def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
         elif tag in _ENDS:
             yield from _end(stack, _ENDS[tag], _HOLDS[tag])
         element = Element(tag, piece[3], stack[-1] if stack else None)
-        stack.append(element)
+        stack.push(element)
         yield "open", stack, ""
         if tag in RAW:
             end = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
@@ -74,24 +99,22 @@ def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
             at = stop
         elif tag in VOID or piece[3].endswith("/") and tag not in BLOCK:
             yield "close", stack, ""
-            stack.pop()
+            stack.drop()
 
 
-def _close(stack: list[Element], tag: str) -> Iterator[tuple[str, list[Element], str]]:
+def _close(stack: _Stack, tag: str) -> Iterator[tuple[str, list[Element], str]]:
     """Close the nearest open element of that name and all in it; a stray end tag does nothing."""
-    if any(e.tag == tag for e in stack):
-        while True:
-            yield "close", stack, ""
-            if stack.pop().tag == tag:
-                return
+    yield from _cut(stack, stack.last({tag}))
 
 
-def _end(stack: list[Element], kinds: set[str], within: set[str]) -> Iterator[tuple[str, list[Element], str]]:
-    for back in range(len(stack) - 1, -1, -1):
-        if stack[back].tag in kinds:
-            while len(stack) > back:
-                yield "close", stack, ""
-                stack.pop()
-            return
-        if stack[back].tag in within:
-            return
+def _end(stack: _Stack, kinds: set[str], within: set[str]) -> Iterator[tuple[str, list[Element], str]]:
+    """Close the nearest element of these kinds and all in it, if no container is nearer."""
+    spot = stack.last(kinds)
+    if spot > stack.last(within):
+        yield from _cut(stack, spot)
+
+
+def _cut(stack: _Stack, spot: int) -> Iterator[tuple[str, list[Element], str]]:
+    while 0 <= spot < len(stack):
+        yield "close", stack, ""
+        stack.drop()
