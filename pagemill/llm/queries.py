@@ -45,23 +45,26 @@ def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.scores(docs, quality_model(spark, docs, sf)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
-def _joined(segments: str) -> Column:
-    return F.array_join(F.col(f"{segments}.text"), "")
-
-
-def _learnt_chars(segments: str) -> Column:
-    return F.aggregate(segments, F.lit(0).cast("long"), lambda n, s: n + F.when(s["learnt"], F.length(s["text"])).otherwise(0))
+def _digest(segment: Column, wanted: Column) -> Column:
+    """An order-keeping digest of a side that sums up in any order: each segment hashed with its place."""
+    hashed = F.md5(F.concat_ws(":", F.col("place").cast("string"), segment))
+    return F.coalesce(F.bit_xor(F.when(wanted, F.conv(F.substring(hashed, 1, 15), 16, 10).cast("long"))), F.lit(0).cast("long"))
 
 
 def op5_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
     turns = text_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
-    rejected = preference.swapped_replies(turns)
-    made = preference.format_pairs(turns, rejected, pair="conv_id")
-    return made.select(
-        "pair_id", "prompt_turns", F.md5("prompt").alias("prompt_md5"), F.length("prompt").cast("long").alias("prompt_chars"),
-        F.md5(_joined("chosen")).alias("chosen_md5"), _learnt_chars("chosen").alias("chosen_learnt"),
-        F.md5(_joined("rejected")).alias("rejected_md5"), _learnt_chars("rejected").alias("rejected_learnt"), "usable",
+    rows = preference.pair_segments(turns, preference.swapped_replies(turns), pair="conv_id")
+    side, whole = F.col("side"), F.concat("header", "text")
+
+    def learnt(name: str) -> Column:
+        return F.coalesce(F.sum(F.when((side == name) & F.col("learnt"), F.length("text").cast("long"))), F.lit(0).cast("long"))
+
+    made = rows.groupBy(F.col("pair_id"), "prompt_turns").agg(
+        _digest(whole, side == "prompt").alias("prompt_digest"), F.coalesce(F.sum(F.when(side == "prompt", F.length(whole).cast("long"))), F.lit(0).cast("long")).alias("prompt_chars"),
+        _digest(whole, side == "chosen").alias("chosen_digest"), learnt("chosen").alias("chosen_learnt"),
+        _digest(whole, side == "rejected").alias("rejected_digest"), learnt("rejected").alias("rejected_learnt"),
     )
+    return made.withColumn("usable", (F.col("chosen_learnt") > 0) & (F.col("rejected_learnt") > 0))
 
 
 def op6_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,24 +238,32 @@ ORACLES = {
         WITH replies AS (
             SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id
         ),
+        others AS (
+            SELECT conv_id, last, coalesce(lead(reply) OVER (ORDER BY conv_id), first_value(reply) OVER (ORDER BY conv_id)) AS other FROM replies
+        ),
         sides AS (
-            SELECT c.conv_id, c.turn, c.role, c.text AS a,
-                   CASE WHEN c.turn = r.last AND c.role = 'assistant' THEN o.reply ELSE c.text END AS b
-            FROM conversations c JOIN replies r USING (conv_id) JOIN replies o ON o.conv_id = xor(r.conv_id, 1)
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, role, text AS a,
+                   CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END AS b
+            FROM conversations LEFT JOIN others USING (conv_id)
+        ),
+        cut AS (SELECT conv_id, coalesce(min(place) FILTER (WHERE a <> b), count(*))::INTEGER AS m FROM sides GROUP BY conv_id),
+        shown AS (
+            SELECT *, '<|' || role || '|>' || chr(10) || a || '<|end|>' || chr(10) AS x, '<|' || role || '|>' || chr(10) || b || '<|end|>' || chr(10) AS y
+            FROM sides JOIN cut USING (conv_id)
+        ),
+        hashed AS (
+            SELECT *, ('0x' || left(md5(place || ':' || x), 15))::BIGINT AS hx, ('0x' || left(md5(place || ':' || y), 15))::BIGINT AS hy FROM shown
         ),
-        cut AS (SELECT conv_id, coalesce(min(turn) FILTER (WHERE a <> b), max(turn) + 1) AS m FROM sides GROUP BY conv_id),
         made AS (
-            SELECT conv_id AS pair_id, count(*) FILTER (WHERE turn < m)::INTEGER AS prompt_turns,
-                   coalesce(string_agg('<|' || role || '|>' || chr(10) || a || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn < m), '') AS p,
-                   coalesce(string_agg('<|' || role || '|>' || chr(10) || a || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn >= m), '') AS c,
-                   coalesce(string_agg('<|' || role || '|>' || chr(10) || b || '<|end|>' || chr(10), '' ORDER BY turn) FILTER (WHERE turn >= m), '') AS r,
-                   coalesce(sum(length(a) + 8) FILTER (WHERE turn >= m AND role = 'assistant'), 0)::BIGINT AS chosen_learnt,
-                   coalesce(sum(length(b) + 8) FILTER (WHERE turn >= m AND role = 'assistant'), 0)::BIGINT AS rejected_learnt
-            FROM sides JOIN cut USING (conv_id) GROUP BY conv_id
+            SELECT conv_id AS pair_id, m AS prompt_turns, coalesce(bit_xor(hx) FILTER (WHERE place < m), 0) AS prompt_digest,
+                   coalesce(sum(length(x)) FILTER (WHERE place < m), 0)::BIGINT AS prompt_chars,
+                   coalesce(bit_xor(hx) FILTER (WHERE place >= m), 0) AS chosen_digest,
+                   coalesce(sum(length(a) + 8) FILTER (WHERE place >= m AND role = 'assistant'), 0)::BIGINT AS chosen_learnt,
+                   coalesce(bit_xor(hy) FILTER (WHERE place >= m), 0) AS rejected_digest,
+                   coalesce(sum(length(b) + 8) FILTER (WHERE place >= m AND role = 'assistant'), 0)::BIGINT AS rejected_learnt
+            FROM hashed GROUP BY conv_id, m
         )
-        SELECT pair_id, prompt_turns, md5(p) AS prompt_md5, length(p) AS prompt_chars, md5(c) AS chosen_md5, chosen_learnt,
-               md5(r) AS rejected_md5, rejected_learnt, chosen_learnt > 0 AND rejected_learnt > 0 AS usable
-        FROM made
+        SELECT *, chosen_learnt > 0 AND rejected_learnt > 0 AS usable FROM made
     """,
     "op6_licence_scan": _licence_sql(),
     "op11_vector_codes": _codes_sql(),
