@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import pii
 from ..functions.binding import only
 from ..schemas import CATEGORIES, GOLD, GOLD_ROWS
-from ..sources import versions
+from ..session import stored
+from ..sources import buckets, versions
+
+# Folders of a category in a gold table that is kept in step with its pages.
+BUCKETS = 16
+_PARTS = ["document_type", "bucket"]
+_SYNCED = f"{GOLD_ROWS}, source_hash STRING, bucket INT"
 
 
 def chunk_id(path: Column, page: Column) -> Column:
@@ -22,6 +28,7 @@ def masked_pages(
     categories: Sequence[str] = tuple(CATEGORIES),
     mask: Callable[[Column], Column] = pii.mask_in_text,
     masked: Callable[[DataFrame], DataFrame] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Published columns of the pages that belong to a category; the raw text stays behind.
 
@@ -30,9 +37,9 @@ def masked_pages(
     """
     routed = pages.filter(F.col("document_type").isin(*categories)).withColumn("chunk_id", chunk_id(F.col("file_path"), F.col("page_id")))
     if masked is None:
-        return routed.withColumn("page_content_masked", mask(F.col("page_content"))).select(*GOLD)
-    told = masked(routed).select(*GOLD, "error")
-    return told.select(only(F.struct(*told.columns), lambda r: r["error"].isNull()).alias("r")).select(*[f"r.{c}" for c in GOLD])
+        return routed.withColumn("page_content_masked", mask(F.col("page_content"))).select(*GOLD, *keep)
+    told = masked(routed).select(*GOLD, *keep, "error")
+    return told.select(only(F.struct(*told.columns), lambda r: r["error"].isNull()).alias("r")).select(*[f"r.{c}" for c in (*GOLD, *keep)])
 
 
 def unmasked(pages: DataFrame, masked: Callable[[DataFrame], DataFrame], categories: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
@@ -60,8 +67,60 @@ def publish(gold: DataFrame, path: str, compact: bool = False) -> int:
     return versions.write_next(out, path, "document_type")
 
 
+def sync(
+    pages: DataFrame,
+    path: str,
+    secret: str,
+    categories: Sequence[str] = tuple(CATEGORIES),
+    mask: Callable[[Column], Column] = pii.mask_in_text,
+    masked: Callable[[DataFrame], DataFrame] | None = None,
+    count: int = BUCKETS,
+) -> int:
+    """Bring the gold table at ``path`` in step with the pages; returns its version.
+
+    A keyed hash of all that a published page is made from is kept beside it. Hashes are compared by page, in one shuffle of keys and
+    hashes; only pages that are new or differ are masked, and only folders (a category's buckets) with a changed page are read
+    and written. Pages that are gone go. What a model could not mask is not published and counts as new in the next run. Without
+    changes nothing is written. ``path/changes`` has the changes of each version.
+    """
+    spark = pages.sparkSession
+    made_from = F.struct("file_name", "file_path", "document_type", "page_id", "page_content", "element_count", "element_types", "image_uri")
+    hashed = F.sha2(F.concat(F.lit(secret), F.to_json(made_from, {"ignoreNullFields": "false"})), 256)
+    routed = pages.filter(F.col("document_type").isin(*categories)).withColumns(
+        {"chunk_id": chunk_id(F.col("file_path"), F.col("page_id")), "source_hash": hashed, "bucket": buckets.bucket(F.col("file_path"), count)}
+    )
+    known = buckets.manifest(spark, path)
+    if known is None:
+        buckets.replace(spark.createDataFrame([], _SYNCED), path, _PARTS, [])
+    old = buckets.read(spark, path, _SYNCED)
+
+    def state(rows: DataFrame, name: str) -> DataFrame:
+        # pages that share a key are told by their number and their hashes
+        sums = [F.count(F.lit(1)), F.min("source_hash"), F.max("source_hash")]
+        return rows.groupBy("chunk_id").agg(F.struct(*sums).alias(name), F.collect_set(buckets.part(_PARTS)).alias(f"{name}_parts"))
+
+    action = F.when(F.col("old").isNull(), F.lit("insert")).when(F.col("new").isNull(), F.lit("delete")).otherwise(F.lit("update"))
+    both = state(routed, "new").join(state(old, "old"), "chunk_id", "full_outer").filter(~F.col("new").eqNullSafe(F.col("old")))
+    none = F.array().cast("array<string>")
+    parts = F.array_union(F.coalesce("new_parts", none), F.coalesce("old_parts", none))
+    changes = stored(both.select("chunk_id", action.alias("action"), parts.alias("parts")), "changes")
+    if changes.isEmpty():
+        return versions.latest(spark, f"{path}/manifest")
+    touched = [r.p for r in changes.select(F.explode("parts").alias("p")).distinct().collect()]
+    fresh = routed.join(changes.filter("action <> 'delete'").select("chunk_id"), "chunk_id", "left_semi")
+    made = masked_pages(fresh, categories, mask, masked, ("source_hash", "bucket"))
+    same = buckets.read(spark, path, _SYNCED, touched).join(changes.select("chunk_id"), "chunk_id", "left_anti")
+    version = buckets.replace(same.select(*made.columns).unionByName(made), path, _PARTS, touched)
+    versions.write_next(changes.select("chunk_id", "action"), f"{path}/changes")
+    buckets.prune(spark, path)
+    return version
+
+
 def published(spark: SparkSession, path: str) -> DataFrame:
     """All categories of the newest version, columns in their order."""
+    synced = buckets.read(spark, path, _SYNCED)
+    if synced is not None:
+        return synced.select(*GOLD)
     newest = versions.read_latest(spark, path, GOLD_ROWS)
     if newest is None:
         raise ValueError(f"nothing has been published at {path}")

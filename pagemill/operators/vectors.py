@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from ..session import stored
-from ..sources import versions
+from ..sources import buckets, versions
 
 # Most bytes of query vectors that are handed to every executor as one broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -21,6 +21,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SCORES_AT_ONCE = 8_000_000
 
 CHANGES = "chunk_id STRING, action STRING"
+INDEX = "chunk_id STRING, content_hash STRING, embedding ARRAY<FLOAT>, bucket INT"
+BUCKETS = 32
 # Scores are compared at this many digits, so that the order of summation cannot decide a rank.
 SCORE_DIGITS = 10
 
@@ -121,31 +123,70 @@ def synced(
 
 def read_index(spark: SparkSession, path: str) -> DataFrame | None:
     """The index as of its last finished sync, or None before the first."""
-    return versions.read_latest(spark, path)
+    index = buckets.read(spark, path, INDEX)
+    return None if index is None else index.drop("bucket", "version")
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The change feed: (chunk_id, action, version) of every sync that changed something, the first one's inserts included."""
+    feed = f"{path}/changes"
+    known = [spark.read.schema(CHANGES).parquet(f"{feed}/version={n}").withColumn("version", F.lit(n)) for n in versions.complete(spark, feed)]
+    return reduce(DataFrame.unionByName, known) if known else spark.createDataFrame([], f"{CHANGES}, version INT")
+
+
+def _differences(source: DataFrame, index: DataFrame | None) -> DataFrame:
+    """``index_diff`` with the rows of a key counted on the way: (chunk_id, action, n). The first sync has an empty index."""
+    new = source.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.max(content_hash(F.col("page_content_masked"))).alias("new_hash"))
+    if index is None:
+        return new.select("chunk_id", F.lit("insert").alias("action"), "n")
+    old = index.select("chunk_id", F.col("content_hash").alias("old_hash"), F.lit(True).alias("in_index"))
+    action = (
+        F.when(F.col("n") > 1, F.lit("repeated"))
+        .when(F.col("in_index").isNull(), F.lit("insert"))
+        .when(F.col("n").isNull(), F.lit("delete"))
+        .when(~F.col("old_hash").eqNullSafe(F.col("new_hash")), F.lit("update"))
+    )
+    return new.join(old, "chunk_id", "full_outer").select("chunk_id", action.alias("action"), "n").filter(F.col("action").isNotNull())
 
 
 def sync_index(
-    source: DataFrame, path: str, embed: Callable[[Column], Column] = embed_hashed, name: str = "source"
-) -> int:
+    source: DataFrame, path: str, embed: Callable[[Column], Column] = embed_hashed, name: str = "source", count: int = BUCKETS,
+    rows: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
     """Create the index at ``path``, or bring it in step with the source; returns the version.
 
-    The changes of a sync are stored first, under ``path/changes``: they are read three
-    times, their size is then known to the planner, and they remain as the change feed of
-    the index. Without changes nothing is written and the version stays.
+    The index is dealt into ``count`` buckets by key. Keys and hashes are compared in one shuffle; only changed texts are
+    embedded, and only buckets that hold a changed key are read and written. The changes are the version's part of the
+    change feed. Without changes nothing is written and the version stays. ``rows`` makes (chunk_id, content_hash, embedding) of a
+    source in place of ``embed``, such as a model does; a row without embedding is left out and tried again by the next sync. The
+    number of buckets is that of the first sync.
     """
     spark = source_ready(source, name).sparkSession
     index = read_index(spark, path)
-    doubled = source.groupBy("chunk_id").count().filter("count > 1 OR chunk_id IS NULL").first()
+    changes = stored(_differences(source, index), "changes")
+    doubled = changes.filter("n > 1 OR chunk_id IS NULL").first()
     if doubled:
-        raise ValueError(f"{name} has {doubled['count']} rows of key {doubled['chunk_id']}; keys must be unique and not NULL")
-    if index is None:
-        return versions.write_next(index_rows(source, embed), path)
-    feed = f"{path}/changes"
-    number = versions.write_next(index_diff(source, index), feed)
-    changes = spark.read.schema(CHANGES).parquet(f"{feed}/version={number}")
+        raise ValueError(f"{name} has {doubled['n']} rows of key {doubled['chunk_id']}; keys must be unique and not NULL")
     if changes.isEmpty():
-        return versions.latest(spark, path)
-    return versions.write_next(synced(source, index, changes, embed), path)
+        return versions.latest(spark, f"{path}/manifest")
+    folder = F.when(F.lit(index is None), buckets.bucket("chunk_id", count)).otherwise(buckets.bucket("chunk_id", _bucket_count(spark, path, count)))
+    touched = [r.p for r in changes.select(folder.alias("bucket")).distinct().select(buckets.part(["bucket"]).alias("p")).collect()]
+    fresh = source.join(changes.filter("action <> 'delete'").select("chunk_id"), "chunk_id", "left_semi")
+    made = index_rows(fresh, embed) if rows is None else rows(fresh).select("chunk_id", "content_hash", "embedding").filter("embedding IS NOT NULL")
+    if index is None:
+        versions.write_next(spark.createDataFrame([(count,)], "count INT").coalesce(1), f"{path}/buckets")
+    else:
+        same = buckets.read(spark, path, INDEX, touched).join(changes.select("chunk_id"), "chunk_id", "left_anti")
+        made = same.select("chunk_id", "content_hash", "embedding").unionByName(made)
+    version = buckets.replace(made.withColumn("bucket", folder), path, ["bucket"], touched)
+    versions.write_next(changes.select("chunk_id", "action"), f"{path}/changes")
+    buckets.prune(spark, path)
+    return version
+
+
+def _bucket_count(spark: SparkSession, path: str, count: int) -> int:
+    known = versions.read_latest(spark, f"{path}/buckets", "count INT")
+    return count if known is None else known.first()["count"]
 
 
 # --- search -----------------------------------------------------------------------------
@@ -209,32 +250,42 @@ def knn(
     task: vectors are never shuffled. Each piece is one scan of the vectors. Queries are computed
     once and stored if there is more than one piece. Rows without a vector take no part.
     """
-    q = queries.select(F.col(query[0]).alias("query_id"), F.col(query[1]).alias("embedding")).filter(F.col("embedding").isNotNull())
-    v = vectors.select(F.col(vec[0]).alias("id"), F.col(vec[1]).alias("embedding")).filter(F.col("embedding").isNotNull())
-    size = F.lit(64) + 8 * F.size("embedding") + (F.octet_length("query_id") if dict(q.dtypes)["query_id"] in ("string", "binary") else F.lit(16))
-    given = stored(q.withColumn("_bytes", size.cast("long")), "queries")
+    # a filter on a computed vector would be pushed below its projection and compute it twice: rows without one are dropped in the search
+    v = vectors.select(F.col(vec[0]).alias("id"), F.col(vec[1]).alias("embedding"))
+    given = stored(_asked(queries, query), "queries").filter(F.col("embedding").isNotNull())
     whole = given.agg(F.sum("_bytes")).first()[0] or 0
     pieces = max(1, math.ceil(whole / max(1, broadcast_bytes // 2)))
-    found = [_searched(v, part, k) for part in _pieces(given, pieces)]
+    if pieces == 1:
+        return _ranked(_searched(v, given.select("query_id", "embedding").toArrow(), k), k)
+    # one piece after the other is in the driver and on the executors; its best are stored before the next comes
+    piece, found = F.pmod(F.xxhash64("query_id"), F.lit(pieces)), []
+    for n in range(pieces):
+        shared: list = []
+        found.append(stored(_searched(v, given.filter(piece == n).select("query_id", "embedding").toArrow(), k, shared), "best"))
+        shared[0].unpersist()
     return _ranked(reduce(DataFrame.unionByName, found), k)
 
 
-def _pieces(given: DataFrame, pieces: int) -> Iterator[pa.Table]:
-    """The queries by a hash of their id, which deals unique ids evenly: about half the limit each."""
-    piece = F.pmod(F.xxhash64("query_id"), F.lit(pieces))
-    for n in range(pieces):
-        yield given.filter(piece == n).select("query_id", "embedding").toArrow()
+def _asked(queries: DataFrame, query: tuple[str, str]) -> DataFrame:
+    """(query_id, embedding, bytes in a broadcast)."""
+    q = queries.select(F.col(query[0]).alias("query_id"), F.col(query[1]).alias("embedding"))
+    size = F.lit(64) + 8 * F.size("embedding") + (F.octet_length("query_id") if dict(q.dtypes)["query_id"] in ("string", "binary") else F.lit(16))
+    return q.withColumn("_bytes", size.cast("long"))
 
 
-def _searched(v: DataFrame, piece: pa.Table, k: int) -> DataFrame:
+def _searched(v: DataFrame, piece: pa.Table, k: int, held: list | None = None) -> DataFrame:
     spark = v.sparkSession
     shared = spark.sparkContext.broadcast(_vectors(piece))
+    if held is not None:
+        held.append(shared)
     kind = from_arrow_type(piece.schema.field("query_id").type).simpleString()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, matrix = shared.value
         best: pd.DataFrame | None = None
         for batch in batches:
+            if batch.column(1).null_count:
+                batch = batch.filter(batch.column(1).is_valid())
             if not len(batch) or not len(asked):
                 continue
             ids, theirs = _vectors(batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -41,12 +42,12 @@ def with_words_entities(pages: DataFrame) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, pages: DataFrame, key: bytes, path: str, masked: Stage | None = None) -> DataFrame:
-    """Masked pages of all categories in one pass; returns what was written.
+    """Masked pages of all categories, of which only new and changed ones are masked and written; returns what is published.
 
     ``masked`` is a model's step: it adds ``page_content_masked`` and ``error``. What failed is not
     published; ``unmasked`` gives it from the same step.
     """
-    gold.publish(gold.masked_pages(silver.unsealed_pages(pages, key), masked=masked), path)
+    gold.sync(silver.unsealed_pages(pages, key), path, hashlib.sha256(b"gold" + key).hexdigest(), masked=masked)
     return gold.published(spark, path)
 
 

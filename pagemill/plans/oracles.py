@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import classify, parse, pii, text
 from ..functions.crypto import OVERHEAD
-from ..operators import evaluate
+from ..operators import detect, evaluate
 from ..schemas import CATEGORIES
 from .queries import DIM, LINES_PER_PAGE, OTHER_SUFFIX, PDF_LINES, SOURCE_SUFFIX, TOP_K
 
@@ -365,6 +365,10 @@ ORACLES: dict[str, str] = {
     "silver_pages": pages_of(_PAGE_COLUMNS + ", image_uri"),
     "silver_pages_fused": pages_of(_PAGE_COLUMNS + ", image_uri"),
     "stream_pages": pages_of(_PAGE_COLUMNS),
+    "stream_view": pages_of(_PAGE_COLUMNS + ", image_uri"),
+    "pages_in_order": pages_of("file_name, page_id, true AS in_order"),
+    "detection_inputs": f"""SELECT doc_id, md5({q(detect.RULES.format(classes=", ".join(pii.ORDER)))} || text) AS prompt_md5,
+        (length(text) + {len(detect.RULES.format(classes=", ".join(pii.ORDER)))})::INTEGER AS prompt_chars FROM documents WHERE lang <> 'es' AND regexp_matches(text, '\\S')""",
     "pii_entities": f"WITH {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
     "pii_all_classes": f"WITH {RECORDS}, {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
     "pii_all_by_category": f"WITH {RECORDS}, {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
@@ -372,6 +376,25 @@ ORACLES: dict[str, str] = {
     "stream_files": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, len(string_split(text, chr(10))) AS n_elements FROM files",
     "model_masked_gold": f"""WITH {PAGES} SELECT sha256(file_path || '#' || page_id) AS chunk_id, regexp_replace(page_content, '[0-9]', '#', 'g') AS page_content_masked
         FROM pages_ WHERE document_type IS NOT NULL""",
+    "model_entities": """SELECT doc_id, 0 AS ord, n AS original, repeat('*', length(n)) AS masked, 'NUMBER' AS category
+        FROM (SELECT doc_id, regexp_extract(text, '[0-9]+') AS n FROM documents) WHERE n <> ''""",
+    "model_judged": f"""WITH {PAIRS} SELECT conv_id, turn, CASE WHEN length(answer) > 2000 THEN NULL WHEN length(answer) > length(question) THEN 'yes' ELSE 'no' END AS longer FROM pairs""",
+    "model_classified": f"WITH {FILES} SELECT doc_id, file_name, CASE WHEN contains(file_name, '_hr.') THEN 'hr' WHEN contains(file_name, '_support.') THEN 'support' END AS document_type FROM files",
+    "model_embedded": f"""WITH {FILES}, now AS (SELECT file_path, text || CASE lang WHEN 'de' THEN ' (revised)' ELSE '' END AS t FROM files WHERE lang <> 'es')
+        SELECT sha256(file_path || '#0') AS chunk_id, length(t)::FLOAT AS chars, len(string_split(t, ' '))::FLOAT AS words FROM now""",
+    "gold_tables": f"WITH {PAGES} SELECT 'gold_' || document_type AS name, count(*) AS n_pages, document_type FROM pages_ WHERE document_type IS NOT NULL GROUP BY ALL",
+    "gold_incremental": f"""WITH {PAGES}, routed AS (
+            SELECT p.* REPLACE (CASE WHEN lang = 'de' THEN 'support' ELSE p.document_type END AS document_type) FROM pages_ p JOIN files f ON f.file_path = p.file_path
+            WHERE (p.document_type IS NOT NULL OR lang = 'de') AND lang <> 'es'),
+        {masked('routed', 'file_path, page_id', 'page_content', pii.PUBLISHED, REPLACED)}
+        SELECT sha256(r.file_path || '#' || r.page_id) AS chunk_id, r.file_name, r.file_path, r.document_type, r.page_id,
+               m.masked AS page_content_masked, r.element_count, r.element_types, r.image_uri
+        FROM routed r JOIN masked_ m ON m.file_path = r.file_path AND m.page_id = r.page_id""",
+    "index_synced_buckets": f"""WITH {FILES} SELECT sha256(file_path || '#0') AS chunk_id, 'insert' AS action, 0 AS version FROM files WHERE lang <> 'fr'
+        UNION ALL SELECT sha256(file_path || '#0'), CASE lang WHEN 'fr' THEN 'insert' WHEN 'es' THEN 'delete' ELSE 'update' END, 1 FROM files WHERE lang IN ('fr', 'es', 'de')""",
+    "index_precondition": f"""WITH {PAGES}, found AS (SELECT DISTINCT document_type FROM pages_)
+        SELECT c AS document_type, CASE WHEN c IN (SELECT document_type FROM found WHERE document_type IS NOT NULL) THEN 'ready'
+            ELSE c || ' is missing or empty, no index can be built from it' END AS state FROM (SELECT unnest([{", ".join(q(c) for c in CATEGORIES)}]) AS c)""",
     "index_synced_nulls": f"""WITH {FILES} SELECT sha256(file_path || '#0') AS chunk_id,
         CASE WHEN lang NOT IN ('en', 'de') THEN sha256(text) END AS content_hash, {DIM} AS dim FROM files""",
     "eval_scores_mixed": f"WITH {MIXED} SELECT conv_id, turn, scorer, value FROM long",

@@ -6,18 +6,20 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import classify, crypto, parse, pii, text
 from ..functions.binding import indices, items, let, only
 from ..operators import bronze, detect, evaluate, gold, modelhook, redact, silver, vectors
-from ..schemas import CATEGORIES, ENTITY, PARSED_DOCS
+from ..schemas import CATEGORIES, ELEMENTS, ENTITY, PARSED_DOCS
 from ..session import ephemeral_key, shared_dir, spread
-from ..sources import evalset, files
+from ..sources import buckets, evalset, files
 from ..sources.tables import table, text_table
 from ..streaming import ingest
 
@@ -335,6 +337,27 @@ def stream_files(spark, sf):
     return docs.select("file_name", "file_size", "document_type", _n_elements())
 
 
+def stream_view(spark, sf):
+    """Elements that arrive in two runs, half of each page at a time, and the page view kept in step; the last batch is played twice."""
+    docs, key = parsed_documents(spark, sf)
+    target, into = scratch(spark, "elements"), scratch(spark, "view")
+    folder = f"{target}/{ingest.ELEMENT_TABLE}"
+    elements = bronze.sealed_elements(bronze.explode_elements(docs), key)
+    for half in (0, 1):
+        elements.filter(F.pmod("element_id", F.lit(2)) == half).write.mode("append").parquet(folder)
+        ingest.maintain_pages(spark, target, key, into)
+    ingest.renew_pages(spark.read.schema(ELEMENTS).parquet(folder), buckets.last_batch(spark, into), target, key, into)
+    return silver.unsealed_pages(ingest.maintained_pages(spark, into), key).select(*_PAGE_COLUMNS)
+
+
+def pages_in_order(spark, sf):
+    """The sorted view, and whether each page stands behind the one before it in its partition."""
+    shown = silver.in_order(clear_pages(spark, sf)).select("file_name", "page_id").withColumn("at", F.monotonically_increasing_id())
+    before = Window.partitionBy(F.shiftright("at", 33)).orderBy("at")
+    place = F.struct("file_name", "page_id")
+    return shown.select("file_name", "page_id", F.coalesce(F.lag(place).over(before) <= place, F.lit(True)).alias("in_order"))
+
+
 # --- personal data -----------------------------------------------------------------------------
 
 
@@ -396,6 +419,14 @@ def parse_response(spark, sf):
     return detect.entity_rows(answers, ["doc_id"])
 
 
+def detection_inputs(spark, sf):
+    """What a model is asked to detect in: Spanish texts are blanked first, and blank pages are not asked about."""
+    docs = documents(spark, sf, "doc_id", "lang", "text")
+    blank = F.when(F.col("lang") == "es", F.lit(" \n\t ")).otherwise(F.col("text"))
+    asked = detect.detection_input(docs.select("doc_id", blank.alias("page_content")), ["doc_id"])
+    return asked.select("doc_id", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars"))
+
+
 def _mapped(spark: SparkSession, sf: str, **options) -> DataFrame:
     return redact.with_redactions(redact.with_words(detected(spark, sf), "text"), **options)
 
@@ -478,6 +509,49 @@ def model_masked_gold(spark, sf):
     return gold.masked_pages(clear_pages(spark, sf), masked=lambda pages: modelhook.masked(pages, hide)).select("chunk_id", "page_content_masked")
 
 
+def model_entities(spark, sf):
+    """Entities from a model's answers; the stand-in finds the first number and names it, or answers no JSON at all."""
+
+    def answer(asked: str) -> str:
+        found = re.search("[0-9]+", asked.rsplit("Text:\n", 1)[1])
+        return f'Sure: [{{"original": "{found[0]}", "masked": "{"*" * len(found[0])}", "category": "NUMBER"}}]' if found else "none"
+
+    pages = documents(spark, sf, "doc_id", "text").withColumnRenamed("text", "page_content")
+    return detect.entity_rows(modelhook.entities(pages, lambda batch: [answer(a) for a in batch]), ["doc_id"])
+
+
+def model_judged(spark, sf):
+    """A judge's verdicts; the stand-in says yes to answers longer than their question, and nothing usable to very long ones."""
+
+    def verdict(case: str) -> str:
+        told = json.loads(case)
+        return "It depends" if len(told["answer"]) > 2000 else " Yes" if len(told["answer"]) > len(told["question"]) else "no"
+
+    judged = modelhook.judged(conversation_rows(spark, sf), "longer", lambda batch: [verdict(c) for c in batch], ("question", "answer"))
+    return judged.select("conv_id", "turn", "longer")
+
+
+def model_classified(spark, sf):
+    """Documents classified by a model from their names; the stand-in knows endings, and one label that is not asked for."""
+    names = documents(spark, sf, "doc_id", "source").select("doc_id", text.file_name(document_path()).alias("file_name"))
+    told = modelhook.classified(names, lambda batch: [" HR" if "_hr." in n else "memo" if "_memo." in n else "support" if "_support." in n else None for n in batch], CATEGORIES)
+    return told.select("doc_id", "file_name", "document_type")
+
+
+def model_embedded(spark, sf):
+    """An index whose vectors a model makes, built and synced; the stand-in counts characters and words."""
+    folder = scratch(spark, "index")
+    call = lambda batch: [[float(len(t)), float(len(t.split(" ")))] for t in batch]
+
+    def rows(source: DataFrame) -> DataFrame:
+        hashed = source.withColumn("content_hash", vectors.content_hash(F.col("page_content_masked")))
+        return modelhook.embedded(hashed, call, "page_content_masked")
+
+    for changed in (False, True):
+        vectors.sync_index(_chunks(spark, sf, changed), folder, rows=rows)
+    return vectors.read_index(spark, folder).select("chunk_id", F.get("embedding", F.lit(0)).alias("chars"), F.get("embedding", F.lit(1)).alias("words"))
+
+
 def model_batches(spark, sf):
     """The model hook with a stand-in model that tells the number of characters."""
     rows = documents(spark, sf, "doc_id", "text")
@@ -509,6 +583,26 @@ def gold_published(spark, sf):
     return gold.summary(gold.published(spark, folder))
 
 
+def gold_tables(spark, sf):
+    """One view per published category, each read by its name."""
+    names = gold.publish_tables(gold.masked_pages(clear_pages(spark, sf)), scratch(spark, "gold"), "gold")
+    shown = [spark.table(n).groupBy(F.lit(n).alias("name")).agg(F.count("*").alias("n_pages"), F.max("document_type").alias("document_type")) for n in names]
+    return reduce(DataFrame.unionByName, shown)
+
+
+def gold_incremental(spark, sf):
+    """Gold kept in step over three runs: of English pages, of all with German files moved to support, and of all but Spanish ones."""
+    docs, _ = parsed_documents(spark, sf)
+    number = F.regexp_extract("file_path", r"/([0-9]+)_", 1).cast("long")
+    spoken = documents(spark, sf, "doc_id", "lang").withColumnRenamed("doc_id", "number")
+    told = silver.pages_of(docs).withColumn("number", number).join(spoken, "number")
+    moved = F.when(F.col("lang") == "de", F.lit("support")).otherwise(F.col("document_type"))
+    folder = scratch(spark, "gold")
+    for kept in (told.filter("lang = 'en'"), told.withColumn("document_type", moved), told.withColumn("document_type", moved).filter("lang <> 'es'")):
+        gold.sync(kept, folder, "stand-in for a secret")
+    return gold.published(spark, folder)
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 
@@ -537,6 +631,26 @@ def index_synced(spark, sf):
     return vectors.read_index(spark, folder).select("chunk_id", "content_hash", F.size("embedding").alias("dim"))
 
 
+def index_synced_buckets(spark, sf):
+    """The change feed of an index over three syncs, of which the last changes nothing."""
+    folder = scratch(spark, "index")
+    for changed in (False, True, True):
+        vectors.sync_index(_chunks(spark, sf, changed), folder, _embed)
+    return vectors.read_changes(spark, folder)
+
+
+def index_precondition(spark, sf):
+    """Per category: ready for an index, or the error."""
+    pages, told = gold.masked_pages(clear_pages(spark, sf)), []
+    for category in CATEGORIES:
+        try:
+            vectors.source_ready(pages.filter(F.col("document_type") == category), category)
+            told.append((category, "ready"))
+        except ValueError as error:
+            told.append((category, str(error)))
+    return spark.createDataFrame(told, "document_type string, state string")
+
+
 def index_synced_nulls(spark, sf):
     """Three syncs with pages that have no text: English ones never, German ones from the second on."""
     folder = scratch(spark, "index")
@@ -678,6 +792,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_pages_fused": silver_pages_fused,
     "stream_pages": stream_pages,
     "stream_files": stream_files,
+    "stream_view": stream_view,
+    "pages_in_order": pages_in_order,
+    "detection_inputs": detection_inputs,
     "pii_entities": pii_entities,
     "pii_counts": pii_counts,
     "pii_by_category": pii_by_category,
@@ -700,13 +817,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leak_check_records": leak_check_records,
     "model_batches": model_batches,
     "model_masked_gold": model_masked_gold,
+    "model_entities": model_entities,
+    "model_judged": model_judged,
+    "model_classified": model_classified,
+    "model_embedded": model_embedded,
     "gold_pages": gold_pages,
     "gold_summary": gold_summary,
     "gold_unrouted": gold_unrouted,
     "gold_published": gold_published,
+    "gold_tables": gold_tables,
+    "gold_incremental": gold_incremental,
     "index_diff": index_diff,
     "index_synced": index_synced,
     "index_synced_nulls": index_synced_nulls,
+    "index_synced_buckets": index_synced_buckets,
+    "index_precondition": index_precondition,
     "embed_hashed": embed_hashed,
     "knn_topk": knn_topk,
     "knn_topk_blocks": knn_topk_blocks,

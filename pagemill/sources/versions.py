@@ -31,8 +31,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+def complete(spark: SparkSession, path: str) -> list[int]:
+    return sorted(n for n, done in _all(spark, path).items() if done)
+
+
 def latest(spark: SparkSession, path: str) -> int | None:
-    return max((n for n, done in _all(spark, path).items() if done), default=None)
+    return max(complete(spark, path), default=None)
 
 
 def read_latest(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
@@ -58,7 +62,11 @@ def prune(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
         return []
     kept = done[-keep:]
     old = sorted(n for n in versions if n < done[-1] and n not in kept)
-    make, fs, _ = _folder(spark, path)
-    for n in old:
-        fs.delete(make(f"{path}/version={n}"), True)
+    delete(spark, [f"{path}/version={n}" for n in old])
     return old
+
+
+def delete(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        make, fs, _ = _folder(spark, folder)
+        fs.delete(make(folder), True)

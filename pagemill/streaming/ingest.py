@@ -17,7 +17,8 @@ from ..functions.crypto import encrypt_bytes
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
 from ..schemas import CATEGORIES, ELEMENTS, PAGE_ROWS, PARSED_DOCS
-from ..sources import files, versions
+from ..session import stored
+from ..sources import buckets, files, versions
 
 DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
 
@@ -73,6 +74,49 @@ def refresh_pages(spark: SparkSession, target: str, key: bytes, into: str) -> No
     versions.write_next(pages, into)
 
 
+VIEW_BUCKETS = 32
+_VIEW_ROWS = f"{PAGE_ROWS}, bucket INT"
+
+
+def maintain_pages(spark: SparkSession, target: str, key: bytes, into: str, max_files: int = 1000, count: int = VIEW_BUCKETS) -> None:
+    """The page table as a view over all elements that is kept in step: each micro-batch of new elements renews the pages of its files.
+
+    The checkpoint lies beside the view, so that batch numbers and view belong together.
+    """
+    stream = stream_table(spark, target, ELEMENT_TABLE, ELEMENTS, max_files)
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, number: renew_pages(batch, number, target, key, into, count))
+        .option("checkpointLocation", f"{into}/_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def renew_pages(batch: DataFrame, number: int, target: str, key: bytes, into: str, count: int = VIEW_BUCKETS) -> None:
+    """Compute the pages of a batch's files anew from all their elements, and replace the buckets they are in.
+
+    A batch that is played again after a failure finds its number in the view and does nothing.
+    """
+    spark = batch.sparkSession
+    if number <= buckets.last_batch(spark, into):
+        return
+    named = stored(batch.select("file_path").distinct().withColumn("bucket", buckets.bucket("file_path", count)), "files")
+    touched = [r.p for r in named.select("bucket").distinct().select(buckets.part(["bucket"]).alias("p")).collect()]
+    theirs = spark.read.schema(ELEMENTS).parquet(f"{target}/{ELEMENT_TABLE}").join(named, "file_path", "left_semi")
+    pages = silver.sealed_pages(silver.pages(bronze.unsealed_elements(theirs, key)), key).withColumn("bucket", buckets.bucket("file_path", count))
+    before = buckets.read(spark, into, _VIEW_ROWS, touched)
+    if before is not None:
+        pages = before.join(named, "file_path", "left_anti").select(*pages.columns).unionByName(pages)
+    buckets.replace(pages, into, ["bucket"], touched, number)
+
+
+def maintained_pages(spark: SparkSession, into: str) -> DataFrame:
+    """The view as of its last finished batch; none before the first."""
+    view = buckets.read(spark, into, _VIEW_ROWS)
+    return spark.createDataFrame([], PAGE_ROWS) if view is None else view.drop("bucket", "version")
+
+
 def refresh(
     spark: SparkSession,
     source: str | DataFrame,
