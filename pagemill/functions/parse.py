@@ -51,10 +51,10 @@ def plain_text(text: Column, lines_per_page: int = 50, image_prefix: Column | No
 
 # --- PDF text layer ---------------------------------------------------------------
 
-# One text-show operator of an uncompressed content stream: font, size, x, y, text.
+# One text-show operator of an uncompressed content stream: font, size, x, y, text as literal or in hexadecimal UTF-16.
 SHOW = (
     r"BT\s+/(\S+)\s+([0-9.]+)\s+Tf\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+Td"
-    r"\s+\(([^()\\]*+(?:\\.[^()\\]*+)*+)\)\s*Tj\s+ET"
+    r"\s+(?:\(([^()\\]*+(?:\\.[^()\\]*+)*+)\)|<(?:FEFF)?([0-9A-Fa-f]*+)>)\s*Tj\s+ET"
 )
 _STREAM = r"(?s)stream\r?\n(.*?)endstream"
 
@@ -63,6 +63,25 @@ TITLE_SIZE, HEADING_SIZE = 16.0, 12.0
 PAGE_HEIGHT = 792.0
 
 
+# Escapes of a literal string beside octal ones; any other sign after a backslash stands for itself.
+_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f", "\n": ""}
+
+
+def _literal(text: Column) -> Column:
+    r"""A literal string without its escapes: \( \) \\ \n and the like, and codes in up to three octal digits."""
+
+    def piece(p: Column) -> Column:
+        sign = F.substr(p, F.lit(2))
+        plain = sign
+        for letter, stands_for in _ESCAPES.items():
+            plain = F.when(sign == letter, F.lit(stands_for)).otherwise(plain)
+        octal = F.when(sign.rlike("^[0-7]{1,3}$"), F.chr(F.conv(sign, 8, 10).cast("bigint"))).otherwise(plain)
+        return F.when(p.startswith("\\"), octal).otherwise(p)
+
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)\\[0-7]{1,3}|\\.|[^\\]++"), F.lit(0))
+    return F.when(text.contains("\\"), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
+
+
 def pdf_shows(content: Column) -> Column:
     """All shown strings of a PDF: array of (page, font, size, x, y, text), in stream order."""
     # the end is closed, so that streams left open are one match and not a search each
@@ -77,7 +96,7 @@ def pdf_shows(content: Column) -> Column:
             part(2).cast("double").alias("size"),
             part(3).cast("double").alias("x"),
             part(4).cast("double").alias("y"),
-            F.regexp_replace(part(5), r"\\([()\\])", "$1").alias("text"),
+            F.when(part(6) == "", _literal(part(5))).otherwise(F.decode(F.unhex(part(6)), "UTF-16BE")).alias("text"),
         )
 
     per_page = F.transform(

@@ -39,19 +39,22 @@ ORDER = (
 
 # Classes known by their own shape.
 SHAPES: dict[str, str] = {
-    "EMAIL": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}",
+    "EMAIL": r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}.\-]+\.\p{L}{2,}",
     "IP_ADDRESS": r"<(?:[0-9]{1,3}\.){3}[0-9]{1,3}>",
-    "CREDIT_CARD": r"<(?:[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}|[0-9]{4}[ \-]?[0-9]{6}[ \-]?[0-9]{5})>",
-    "SSN": r"<[0-9]{3}-[0-9]{2}-[0-9]{4}>",
+    # fourteen digits without signs between them are mostly something else
+    "CREDIT_CARD": (
+        r"<(?:[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}[ \-]?[0-9]{4}|[0-9]{4}[ \-]?[0-9]{6}[ \-]?[0-9]{5}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4})>"
+    ),
+    "SSN": r"<[0-9]{3}[\- ][0-9]{2}[\- ][0-9]{4}>",
     "PHONE_NUMBER": (
-        r"(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{3}\) ?|[0-9]{3}[\-. ])|\([0-9]{3}\) ?"
-        r"|<(?:1[\-. ])?[0-9]{3}[\-. ])[0-9]{3}[\-. ][0-9]{4}>"
+        r"(?:(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{3}\) ?|[0-9]{3}[\-. ])|\([0-9]{3}\) ?"
+        r"|<(?:1[\-. ])?[0-9]{3}[\-. ])[0-9]{3}[\-. ][0-9]{4}>|\+[0-9]{1,3}(?:[ .\-][0-9]{2,4}){2,5}>)"
     ),
     "ADDRESS": (
-        r"<[0-9]{1,6}[ \n](?:\p{Lu}[\p{L}'\-]*\.?[ \n]){1,4}"
+        r"<[0-9]+[ \n](?:\p{Lu}[\p{L}'\-]*\.?[ \n])+"
         r"(?:Street|Road|Avenue|Boulevard|Lane|Drive|Court|Way|Place|Parkway|St|Rd|Ave|Blvd|Ln|Dr|Ct|Pl|Pkwy)>\.?"
         r"(?:,?[ \n](?:Apt|Suite|Unit|No)\.?[ \n][0-9A-Za-z]+)?"
-        r"(?:,[ \n]\p{Lu}[\p{L}'\-]*(?: \p{Lu}[\p{L}'\-]*){0,3},[ \n][A-Z]{2}[ \n][0-9]{5}(?:-[0-9]{4})?)?"
+        r"(?:,[ \n]\p{Lu}[\p{L}'\-]*(?: \p{Lu}[\p{L}'\-]*)*,[ \n][A-Z]{2}[ \n][0-9]{5}(?:-[0-9]{4})?)?"
     ),
 }
 
@@ -77,7 +80,8 @@ CUES: dict[str, tuple[tuple[str, ...], str, str]] = {
     ),
 }
 # Forms of address need no colon.
-_TITLES = rf"(?:Mr|Mrs|Ms|Dr)\.? (?:{_NAME})"
+_SURNAME = r"\p{Lu}[\p{L}'\-]+"
+_TITLES = rf"(?:Mr|Mrs|Ms|Dr)\.? (?:{_NAME}|{_SURNAME})"
 
 # A text without any of these characters and titles cannot hold a match of any class.
 _HINT = "[0-9@:#]|M[rs]|Dr"
@@ -115,7 +119,8 @@ def _edges(spelled: str, edges: tuple[str, str]) -> str:
 
 
 def value_pattern(name: str) -> str:
-    return _edges(CUES[name][2], ("", ""))
+    # behind a form of address a surname is enough
+    return f"{_NAME}|{_SURNAME}" if name == "PERSON_NAME" else _edges(CUES[name][2], ("", ""))
 
 
 def alternation(classes: Sequence[str] = ORDER) -> str:
@@ -310,8 +315,12 @@ def mask_in_text(
     classes: Sequence[str] = PUBLISHED,
     mask: Callable[[Column, Column], Column] = mask_replace,
     everywhere: Sequence[str] = ("PERSON_NAME", "ADDRESS"),
+    also: Column | None = None,
 ) -> Column:
-    """Mask every match; names and addresses also where they stand without their cue."""
+    """Mask every match; names and addresses also where they stand without their cue.
+
+    ``also`` are entities known from elsewhere, such as other pages of the file; they are masked where they stand.
+    """
 
     def whole(parts: Column) -> Column:
         masked = masked_text(parts, classes, mask)
@@ -323,4 +332,10 @@ def mask_in_text(
         )
         return known_masked(masked, known)
 
-    return let(cut(text, classes), lambda parts: F.when(F.size(parts) > 1, whole(parts)).otherwise(text))
+    own = let(cut(text, classes), lambda parts: F.when(F.size(parts) > 1, whole(parts)).otherwise(text))
+    return own if also is None else let(own, lambda masked: F.when(F.size(also) > 0, known_masked(masked, also)).otherwise(masked))
+
+
+def spreading(text: Column, everywhere: Sequence[str] = ("PERSON_NAME", "ADDRESS"), mask: Callable[[Column, Column], Column] = mask_replace) -> Column:
+    """The distinct entities of a text that are masked without a cue too: array of (original, masked, category)."""
+    return F.array_distinct(entities_in(cut(text, everywhere), everywhere, mask))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import pii
-from ..functions.binding import only
+from ..functions.binding import items, only
 from ..schemas import CATEGORIES, GOLD, GOLD_ROWS
 from ..session import stored
 from ..sources import buckets, versions
@@ -42,6 +42,20 @@ def masked_pages(
     return told.select(only(F.struct(*told.columns), lambda r: r["error"].isNull()).alias("r")).select(*[f"r.{c}" for c in (*GOLD, *keep)])
 
 
+def masked_files(pages: DataFrame, categories: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
+    """``masked_pages`` with names and addresses masked on all pages of the file in which one page tells them by a cue.
+
+    Found values are aggregated per file, each task sending every value of a file once, and joined back to its pages; a file with a
+    large share of all pages is split by the adaptive skew join. Files without any keep what their pages have.
+    """
+    routed = pages.filter(F.col("document_type").isin(*categories))
+    cued = items(routed.select("file_path", pii.spreading(F.col("page_content")).alias("found")), ["file_path"], "found", "e").select("file_path", "e")
+    told = cued.distinct().groupBy("file_path").agg(F.collect_list("e").alias("told"))
+    joined = routed.join(told, "file_path", "left").withColumn("chunk_id", chunk_id(F.col("file_path"), F.col("page_id")))
+    known = F.coalesce("told", F.array().cast(told.schema["told"].dataType))
+    return joined.withColumn("page_content_masked", pii.mask_in_text(F.col("page_content"), also=known)).select(*GOLD)
+
+
 def unmasked(pages: DataFrame, masked: Callable[[DataFrame], DataFrame], categories: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
     """(file_path, page_id, error) of the pages that a masking step could not do."""
     told = masked(pages.filter(F.col("document_type").isin(*categories))).select("file_path", "page_id", "error")

@@ -206,7 +206,7 @@ HTML = f"""blocks AS (
            WHEN tag IN ('table', 'figure') THEN tag ELSE 'text' END AS element_type FROM kept)"""
 
 PDF_LINE = f"""pdf_lines AS (
-    SELECT doc_id, i, i // {PDF_LINES} AS page_id, regexp_replace(line, '[^\\x{{20}}-\\x{{7e}}\\x{{a0}}-\\x{{ff}}]', '?', 'g') AS line
+    SELECT doc_id, i, i // {PDF_LINES} AS page_id, line
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                  generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents))"""
 
@@ -371,6 +371,14 @@ ORACLES: dict[str, str] = {
         (length(text) + {len(detect.RULES.format(classes=", ".join(pii.ORDER)))})::INTEGER AS prompt_chars FROM documents WHERE lang <> 'es' AND regexp_matches(text, '\\S')""",
     "pii_entities": f"WITH {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
     "pii_all_classes": f"WITH {RECORDS}, {ENTITIES} SELECT doc_id, ord, original, masked, category FROM entities",
+    "pii_forms": f"""SELECT doc_id, o.ord AS ord, o.original AS original, o.masked AS masked, o.category AS category FROM (SELECT doc_id, unnest([
+            {{'ord': 0, 'original': 'jörg' || doc_id || '@müller.example.de', 'masked': repeat('*', 4 + length(doc_id::VARCHAR)) || '@müller.example.de', 'category': 'EMAIL'}},
+            {{'ord': 1, 'original': 'Okoro', 'masked': '*****', 'category': 'PERSON_NAME'}},
+            {{'ord': 2, 'original': '+44 20 7946 ' || {_FOUR}, 'masked': '+** ** **** ' || {_FOUR}, 'category': 'PHONE_NUMBER'}},
+            {{'ord': 3, 'original': doc_id || '234567 Oak Tree Hill Park View Street, New Port Saint Mary Bay, ME 04101',
+              'masked': repeat('*', 6 + length(doc_id::VARCHAR)) || ' Oak Tree Hill Park View Street, New Port Saint Mary Bay, ME 04101', 'category': 'ADDRESS'}},
+            {{'ord': 4, 'original': '412 55 ' || {_FOUR}, 'masked': '*** ** ' || {_FOUR}, 'category': 'SSN'}},
+            {{'ord': 5, 'original': '3056 930902 ' || {_FOUR}, 'masked': '**** ****** ' || {_FOUR}, 'category': 'CREDIT_CARD'}}]) AS o FROM documents)""",
     "pii_all_by_category": f"WITH {RECORDS}, {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
     "leak_check_records": f"WITH {RECORDS}, {REDACTED} {leaks('redacted', 'redacted')}",
     "stream_files": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, len(string_split(text, chr(10))) AS n_elements FROM files",
@@ -383,6 +391,13 @@ ORACLES: dict[str, str] = {
     "model_embedded": f"""WITH {FILES}, now AS (SELECT file_path, text || CASE lang WHEN 'de' THEN ' (revised)' ELSE '' END AS t FROM files WHERE lang <> 'es')
         SELECT sha256(file_path || '#0') AS chunk_id, length(t)::FLOAT AS chars, len(string_split(t, ' '))::FLOAT AS words FROM now""",
     "gold_tables": f"WITH {PAGES} SELECT 'gold_' || document_type AS name, count(*) AS n_pages, document_type FROM pages_ WHERE document_type IS NOT NULL GROUP BY ALL",
+    "gold_file_names": f"""WITH named AS (
+            SELECT doc_id, lang, source, text, 'Zara Quill' || translate(doc_id::VARCHAR, '0123456789', 'abcdefghij') AS name FROM main.documents),
+        documents AS (SELECT doc_id, lang, source, 'Contact: ' || name || chr(10) || text || chr(10) || 'as ' || name || ' said' AS text, name FROM named),
+        {PAGES}, routed AS (SELECT * FROM pages_ WHERE document_type IS NOT NULL),
+        {masked('routed', 'file_path, page_id', 'page_content', pii.PUBLISHED, REPLACED)}
+        SELECT sha256(m.file_path || '#' || m.page_id) AS chunk_id, m.page_id, replace(m.masked, name, '[[NAME]]') AS page_content_masked
+        FROM masked_ m JOIN named ON named.doc_id = regexp_extract(m.file_path, '/([0-9]+)_', 1)::BIGINT""",
     "gold_incremental": f"""WITH {PAGES}, routed AS (
             SELECT p.* REPLACE (CASE WHEN lang = 'de' THEN 'support' ELSE p.document_type END AS document_type) FROM pages_ p JOIN files f ON f.file_path = p.file_path
             WHERE (p.document_type IS NOT NULL OR lang = 'de') AND lang <> 'es'),

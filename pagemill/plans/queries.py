@@ -238,13 +238,15 @@ def document_pdfs(spark: SparkSession, sf: str) -> DataFrame:
     """Each text as the bytes of an uncompressed PDF: one stream per page, one show per line."""
 
     def show(line: Column, i: Column) -> Column:
-        # other characters do not exist in the text layer's encoding
-        plain = F.regexp_replace(F.regexp_replace(line, r"[^\x{20}-\x{7e}\x{a0}-\x{ff}]", "?"), r"[\\()]", r"\\$0")
+        # the sign of a pound and the letter u with two dots are written as octal escapes, lines with signs beyond Latin-1 in UTF-16
+        escaped = F.regexp_replace(F.regexp_replace(F.regexp_replace(line, r"[\\()]", r"\\$0"), "\u00a3", r"\\243"), "\u00fc", r"\\374")
+        wide = F.concat(F.lit("<FEFF"), F.hex(F.encode(line, "UTF-16BE")), F.lit(">"))
+        shown = F.when(line.rlike(r"[^\x{20}-\x{7e}\x{a0}-\x{ff}]"), wide).otherwise(F.concat(F.lit("("), escaped, F.lit(")")))
         first = i == 0
         return F.concat(
             F.lit("BT /"), F.when(first, F.lit("F2 18")).otherwise(F.lit("F1 10")), F.lit(" Tf "),
             F.when(first, F.lit("72")).otherwise(F.lit("82")), F.lit(" "),
-            (F.lit(750) - (i % PDF_LINES) * 14).cast("string"), F.lit(" Td ("), plain, F.lit(") Tj ET"),
+            (F.lit(750) - (i % PDF_LINES) * 14).cast("string"), F.lit(" Td "), shown, F.lit(" Tj ET"),
         )
 
     def streams(lines: Column) -> Column:
@@ -492,6 +494,17 @@ def pii_all_classes(spark, sf):
     return detect.entity_rows(detect.with_entities(documents_with_records(spark, sf), "text"), ["doc_id"])
 
 
+def pii_forms(spark, sf):
+    """Spellings of the classes on a record of their own, made from each id."""
+    n = F.col("doc_id").cast("string")
+    four = F.lpad((F.col("doc_id") % 10000).cast("string"), 4, "0")
+    record = F.concat(
+        F.lit("J\u00f6rg wrote from j\u00f6rg"), n, F.lit("@m\u00fcller.example.de about Dr. Okoro,\nwho called +44 20 7946 "), four, F.lit(" from "), n,
+        F.lit("234567 Oak Tree Hill Park View Street, New Port Saint Mary Bay, ME 04101; id 412 55 "), four, F.lit(", card 3056 930902 "), four, F.lit("."),
+    )
+    return detect.entity_rows(detect.with_entities(documents(spark, sf, "doc_id").select("doc_id", record.alias("text")), "text"), ["doc_id"])
+
+
 def pii_all_by_category(spark, sf):
     rows = items(detect.with_entities(documents_with_records(spark, sf), "text"), [], "entities.category", "category")
     return rows.groupBy("category").agg(F.count("*").alias("n_entities"))
@@ -590,6 +603,15 @@ def gold_tables(spark, sf):
     return reduce(DataFrame.unionByName, shown)
 
 
+def gold_file_names(spark, sf):
+    """A name told by a cue on a file's first page and without one behind its last line."""
+    name = F.concat(F.lit("Zara Quill"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij"))
+    key = ephemeral_key(spark)
+    docs = documents(spark, sf, "doc_id", "source", "text").withColumn("text", F.concat(F.lit("Contact: "), name, F.lit("\n"), "text", F.lit("\nas "), name, F.lit(" said")))
+    pages = silver.pages_of(bronze.parsed(ingest.documents_as_files(docs, document_path(), key), key, text_parser))
+    return gold.masked_files(pages).select("chunk_id", "page_id", "page_content_masked")
+
+
 def gold_incremental(spark, sf):
     """Gold kept in step over three runs: of English pages, of all with German files moved to support, and of all but Spanish ones."""
     docs, _ = parsed_documents(spark, sf)
@@ -814,6 +836,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leak_control": leak_control,
     "pii_all_classes": pii_all_classes,
     "pii_all_by_category": pii_all_by_category,
+    "pii_forms": pii_forms,
     "leak_check_records": leak_check_records,
     "model_batches": model_batches,
     "model_masked_gold": model_masked_gold,
@@ -827,6 +850,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_published": gold_published,
     "gold_tables": gold_tables,
     "gold_incremental": gold_incremental,
+    "gold_file_names": gold_file_names,
     "index_diff": index_diff,
     "index_synced": index_synced,
     "index_synced_nulls": index_synced_nulls,
