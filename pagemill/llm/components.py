@@ -27,9 +27,8 @@ def roots(links: DataFrame) -> DataFrame:
 
 
 def _mark(edges: DataFrame) -> tuple:
-    """Number of links and a sum over their hashes: equal only if nothing changed."""
-    h = F.xxhash64("u", "v")
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 16)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))).first()
+    """Number of links and two sums without carry over their hashes: equal only if nothing changed."""
+    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
     return tuple(x or 0 for x in row)
 
 

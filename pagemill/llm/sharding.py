@@ -170,6 +170,8 @@ def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id"
 
     A row's shard follows from its text and the borders, so rows are written where they are read.
     """
+    if "shard" in docs.columns:
+        raise ValueError("the rows have a column named shard, which the folders would hide")
     borders = _borders(_ordered(docs, id_col, text_col, overhead), shards, BLOCKS)
     docs.withColumn("shard", shard_of(group_of(F.col(text_col)), borders)).write.partitionBy("shard").parquet(path)
     return borders

@@ -96,3 +96,23 @@ def test_query_is_right_on_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     held = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
     assert sum(p == q for p, q in held) / len(held) > 0.93
+
+
+def test_scores_recomputed_from_compressed_sizes(spark):
+    """The formula spelled once more with the compressor itself: blocks of 8 KB with either dictionary and with none."""
+    import math
+
+    import zstandard
+
+    pairs, labels = fixture(spark)
+    model = quality.train(docs(spark, pairs), spark.createDataFrame(labels, "doc_id long, quality int"))
+    packers = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d)) for d in (model.good, model.bad)] + [zstandard.ZstdCompressor(level=3)]
+    extra = [(9000, ""), (9001, " ".join(t for _, t in pairs[:200])), (9002, None)]
+    text = {i: (t or "").encode() for i, t in [*pairs, *extra]}
+    for r in quality.scores(docs(spark, [*pairs, *extra]), model).collect():
+        data = text[r.doc_id]
+        blocks = [data[at : at + 8192] for at in range(0, max(1, len(data)), 8192)]
+        good, bad, plain = (sum(len(p.compress(b)) for b in blocks) for p in packers)
+        numbers = (bad - good) / (len(data) + 1), math.log((plain + 1) / (len(data) + 20))
+        z = model.weights[-1] + sum((x - c) / s * w for x, c, s, w in zip(numbers, model.centre, model.scale, model.weights[:-1], strict=True))
+        assert abs(r.score - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-6

@@ -86,3 +86,8 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     assert sorted(r.doc_id for r in back.collect()) == list(range(300))
     where = {r.doc_id: r.shard for r in sharding.shards_of(df, 4).collect()}
     assert {r.doc_id: r.shard for r in back.collect()} == where
+
+
+def test_a_column_named_like_the_folders_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="shard"):
+        sharding.write_shards(clashing(docs(spark, ["a", "b"])), str(tmp_path / "s"), 2)
