@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from ..functions.text import not_blank
+from ..sources import versions
 from . import detect
 
+ANSWERS = "hash STRING, answer STRING, error STRING, run BIGINT"
+
 # What a model is asked for when it masks a page for publishing.
 MASKING_RULES = (
     "Mask the personal data in the text and change nothing else. Names become [[NAME]], social security\n"
@@ -63,9 +67,43 @@ def map_batches(
     return rows.mapInArrow(run, schema)
 
 
-def masked(pages: DataFrame, call, text: str = "page_content", result: str = "page_content_masked", batch_rows: int = 64) -> DataFrame:
-    """Pages masked for publishing by a model; a page that failed has no masked text and an ``error``."""
+def answers(spark: SparkSession, path: str) -> DataFrame:
+    """(hash, answer, error) of every request asked so far: its answer, or what went wrong last."""
+    runs = [f"{path}/version={n}" for n in versions.complete(spark, path)]
+    told = spark.read.schema(ANSWERS).parquet(*runs) if runs else spark.createDataFrame([], ANSWERS)
+    best = F.max_by(F.struct("answer", "error"), F.struct(F.col("error").isNull(), "run")).alias("told")
+    return told.groupBy("hash").agg(best).select("hash", "told.answer", "told.error")
+
+
+def asked(
+    rows: DataFrame, path: str, call: Callable[[pd.Series], Sequence[str]], column: str, result: str, batch_rows: int = 64, error: str = "error"
+) -> DataFrame:
+    """``map_batches`` for text answers over a table of requests at ``path``: equal requests are asked once, in this run and in later ones.
+
+    A request is known by its hash. Failures stay in the table and are asked again by the next run. Rows
+    without input get neither answer nor error.
+    """
+    spark = rows.sparkSession
+    keyed = rows.withColumn("_hash", F.sha2(F.col(column), 256))
+    wanted = keyed.filter("_hash IS NOT NULL").groupBy(F.col("_hash").alias("hash")).agg(F.max(column).alias("request"))
+    new = wanted.join(answers(spark, path).filter("error IS NULL").select("hash"), "hash", "left_anti")
+    told = map_batches(new, call, "request", "answer", batch_rows=batch_rows)
+    versions.write_next(told.select("hash", "answer", "error", F.lit(time.time_ns()).alias("run")), path)
+    known = answers(spark, path).select(F.col("hash").alias("_hash"), F.col("answer").alias(result), F.col("error").alias(error))
+    return keyed.join(known, "_hash", "left").drop("_hash")
+
+
+def masked(
+    pages: DataFrame, call, text: str = "page_content", result: str = "page_content_masked", batch_rows: int = 64, path: str | None = None
+) -> DataFrame:
+    """Pages masked for publishing by a model; a page that failed has no masked text and an ``error``.
+
+    With a ``path`` the answers are kept there: equal pages are asked once, and a second look at the same pages, such as ``gold.unmasked``
+    after publishing, asks only for what failed.
+    """
     request = F.when(not_blank(F.col(text)), F.concat(F.lit(MASKING_RULES), F.col(text)))
+    if path is not None:
+        return asked(pages.withColumn("_request", request), path, call, "_request", result, batch_rows).drop("_request")
     return map_batches(pages.withColumn("_request", request), call, "_request", result, batch_rows=batch_rows).drop("_request")
 
 

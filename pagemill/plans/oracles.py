@@ -306,7 +306,7 @@ def _mixed() -> str:
     SELECT p.conv_id, p.turn, p.question,
            CASE (p.conv_id + p.turn) % 3 WHEN 0 THEN p.question WHEN 1 THEN p.answer ELSE o.question END AS expected,
            CASE WHEN p.conv_id % 2 = 0 THEN concat_ws(' ', p.question, p.answer, o.question) ELSE o.question END AS context,
-           CASE WHEN p.conv_id % 5 = 0 THEN 'I cannot help. ' || left(p.question, 40) ELSE p.answer END AS answer
+           CASE WHEN p.conv_id % 5 = 0 THEN 'I cannot help. ' || p.question ELSE p.answer END AS answer
     FROM pairs p LEFT JOIN pairs o ON o.conv_id = p.conv_id - 1 AND o.turn = p.turn),
   ready AS (SELECT *, {_vocabulary('question')} AS vq, {_vocabulary('answer')} AS va, {_vocabulary("coalesce(context, '')")} AS vc,
            {_vocabulary("coalesce(expected, '')")} AS ve, {folded("replace(answer, '’', '''')")} AS flat, {counts} FROM mixed),
@@ -386,6 +386,9 @@ ORACLES: dict[str, str] = {
         FROM pages_ WHERE document_type IS NOT NULL""",
     "model_entities": """SELECT doc_id, 0 AS ord, n AS original, repeat('*', length(n)) AS masked, 'NUMBER' AS category
         FROM (SELECT doc_id, regexp_extract(text, '[0-9]+') AS n FROM documents) WHERE n <> ''""",
+    "model_requests": """WITH r AS (SELECT doc_id, lang, lang || ' ' || length(text) AS request FROM documents)
+        SELECT doc_id, upper(request) AS answer, NULL::VARCHAR AS error, CASE WHEN lang = 'fr' THEN (SELECT count(DISTINCT request) FROM r WHERE lang = 'fr') END AS failed,
+               CASE WHEN lang = 'fr' THEN (SELECT count(DISTINCT request) FROM r) END AS n_requests FROM r""",
     "model_judged": f"""WITH {PAIRS} SELECT conv_id, turn, CASE WHEN length(answer) > 2000 THEN NULL WHEN length(answer) > length(question) THEN 'yes' ELSE 'no' END AS longer FROM pairs""",
     "model_classified": f"WITH {FILES} SELECT doc_id, file_name, CASE WHEN contains(file_name, '_hr.') THEN 'hr' WHEN contains(file_name, '_support.') THEN 'support' END AS document_type FROM files",
     "model_embedded": f"""WITH {FILES}, now AS (SELECT file_path, text || CASE lang WHEN 'de' THEN ' (revised)' ELSE '' END AS t FROM files WHERE lang <> 'es')

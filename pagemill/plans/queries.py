@@ -565,6 +565,24 @@ def model_embedded(spark, sf):
     return vectors.read_index(spark, folder).select("chunk_id", F.get("embedding", F.lit(0)).alias("chars"), F.get("embedding", F.lit(1)).alias("words"))
 
 
+def model_requests(spark, sf):
+    """Texts asked about in two runs over one table of answers. The stand-in fails on French at first, so only those are asked again."""
+    docs = documents(spark, sf, "doc_id", "lang", "text").withColumn("request", F.concat_ws(" ", "lang", F.length("text").cast("string")))
+    folder = scratch(spark, "answers")
+
+    def call(batch, broken: bool):
+        if broken and any(r.startswith("fr") for r in batch):
+            raise RuntimeError("no French today")
+        return [r.upper() for r in batch]
+
+    first = modelhook.asked(docs, folder, lambda batch: call(batch, True), "request", "answer", batch_rows=1)
+    failed = first.filter("error IS NOT NULL").groupBy("lang").agg(F.countDistinct("request").alias("failed"))
+    failed.write.parquet(f"{folder}_failed")
+    second = modelhook.asked(docs, folder, lambda batch: call(batch, False), "request", "answer")
+    told = modelhook.answers(spark, folder).agg(F.count("*").alias("n_requests")).crossJoin(spark.read.parquet(f"{folder}_failed"))
+    return second.join(F.broadcast(told), "lang", "left").select("doc_id", "answer", "error", "failed", "n_requests")
+
+
 def model_batches(spark, sf):
     """The model hook with a stand-in model that tells the number of characters."""
     rows = documents(spark, sf, "doc_id", "text")
@@ -766,7 +784,7 @@ def _mixed(spark: SparkSession, sf: str) -> DataFrame:
     rows = conversation_rows(spark, sf)
     other = rows.select((F.col("conv_id") + 1).alias("conv_id"), "turn", F.col("question").alias("other"))
     kind = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3))
-    answer = F.when(F.pmod("conv_id", F.lit(5)) == 0, F.concat(F.lit("I cannot help. "), F.left("question", F.lit(40)))).otherwise(F.col("answer"))
+    answer = F.when(F.pmod("conv_id", F.lit(5)) == 0, F.concat(F.lit("I cannot help. "), F.col("question"))).otherwise(F.col("answer"))
     expected = F.when(kind == 0, F.col("question")).when(kind == 1, F.col("answer")).otherwise(F.col("other"))
     context = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.concat_ws(" ", "question", "answer", "other")).otherwise(F.col("other"))
     return rows.join(other, ["conv_id", "turn"], "left").select(
@@ -841,6 +859,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_batches": model_batches,
     "model_masked_gold": model_masked_gold,
     "model_entities": model_entities,
+    "model_requests": model_requests,
     "model_judged": model_judged,
     "model_classified": model_classified,
     "model_embedded": model_embedded,

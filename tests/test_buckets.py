@@ -115,6 +115,25 @@ def test_only_new_and_changed_pages_are_masked(spark, tmp_path):
     assert run([])[1] == 0 and gold.published(spark, path).count() == 0
 
 
+def test_equal_requests_are_asked_once_and_failures_again(spark, tmp_path):
+    path, calls = str(tmp_path / "answers"), spark.sparkContext.accumulator(0)
+    rows_ = spark.createDataFrame([(i, None if i == 0 else f"text {i % 5}") for i in range(40)], "id int, t string").repartition(3)
+
+    def call(batch, broken=False):
+        calls.add(len(batch))
+        if broken and any("3" in t for t in batch):
+            raise RuntimeError("broken")
+        return [t.upper() for t in batch]
+
+    first = modelhook.asked(rows_, path, lambda b: call(b, True), "t", "said", batch_rows=1).collect()
+    assert calls.value == 5 and {r.said for r in first if r.error is None} == {None, "TEXT 0", "TEXT 1", "TEXT 2", "TEXT 4"}
+    assert {r.t for r in first if r.error} == {"text 3"}
+    second = modelhook.asked(rows_, path, call, "t", "said").collect()
+    assert calls.value == 6 and all(r.error is None and r.said == (r.t and r.t.upper()) for r in second) and len(second) == 40
+    third = modelhook.asked(rows_, path, call, "t", "said")
+    assert third.count() == 40 and calls.value == 6
+
+
 def test_a_maintained_view_equals_the_batch_view(spark, key, tmp_path):
     target, into = str(tmp_path / "out"), str(tmp_path / "view")
     docs = spark.createDataFrame([(f"{n}_hr.enc", f"/{n}", "hr", "\n".join(f"{n} line {i}" for i in range(n))) for n in range(1, 12)], "file_name string, file_path string, document_type string, text string")
