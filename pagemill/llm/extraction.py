@@ -78,7 +78,6 @@ PLACE_WORDS = frozenset(
 )
 _HOLDERS = BLOCK - frozenset("p li tr pre blockquote h1 h2 h3 h4 h5 h6".split())
 _WHOLE = frozenset(("html", "body", "main", "article"))
-_SPACE = re.compile(r"\s+")
 _PROSE = re.compile(r"(?:p|h[1-6])(?:[.\[]|$)")
 _SIZE = re.compile(r"\d+(?:x\d+)?")
 _NAMES = re.compile(r"[^a-z0-9]+")
@@ -171,6 +170,11 @@ def page_of(html: str, hints: bool = True) -> Page:
     return page
 
 
+def _spaced(text: str) -> str:
+    """White space of any kind as single spaces, none at the ends."""
+    return " ".join(text.split())
+
+
 def text_token(path: int, text: str) -> int:
     return xxhash.xxh3_64_intdigest(text, path) >> 1
 
@@ -194,7 +198,7 @@ def tokens_of(html: str, hints: bool = True) -> dict[int, list]:
                 found[element.path] = [element.parent, element.label, 1, 0, 0]
             else:
                 entry[2] += 1
-        elif text := _SPACE.sub(" ", text).strip():
+        elif text := _spaced(text):
             chars = 0 if page.aside[at] else len(text)
             links = chars if page.linked[at] else 0
             own = found.setdefault(text_token(element.path, text), [element.path, None, 0, 0, 0])
@@ -385,7 +389,7 @@ def _blocks(page: Page, other: list[bool] | None) -> list[tuple[str, set[int], i
 
     def flush() -> None:
         if parts:
-            if text := _SPACE.sub(" ", "".join(parts)).strip():
+            if text := _spaced("".join(parts)):
                 blocks.append((text, set(tokens), first))
             parts.clear()
             tokens.clear()
@@ -394,7 +398,7 @@ def _blocks(page: Page, other: list[bool] | None) -> list[tuple[str, set[int], i
         if kind == "text":
             if at < 0 or not page.aside[at] and not (other and other[at]):
                 parts.append(text)
-                if clean := _SPACE.sub(" ", text).strip():
+                if clean := _spaced(text):
                     first = first if tokens else at
                     tokens.add(text_token(page.elements[at].path if at >= 0 else 0, clean))
             continue

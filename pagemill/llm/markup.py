@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import xxhash
@@ -23,6 +24,16 @@ _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 
 
+@lru_cache(maxsize=1 << 12)
+def _told(tag: str, attributes: str) -> tuple[str, str, bool, str]:
+    """Role, names, whether hidden, and label, from the attributes of a tag."""
+    given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
+    role = given.get("role", "").lower()
+    names = " ".join(filter(None, (given.get("class", ""), given.get("id", "")))).lower()
+    hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", given.get("style", "")))
+    return role, names, hidden, tag + "".join("." + x for x in sorted(given.get("class", "").lower().split())) + (f"[{role}]" if role else "")
+
+
 class Element:
     """An open element: tag, the values of class, id and role, whether it is marked as hidden, and its place.
 
@@ -33,11 +44,8 @@ class Element:
     __slots__ = ("hidden", "label", "names", "parent", "path", "role", "tag")
 
     def __init__(self, tag: str, attributes: str, above: Element | None) -> None:
-        given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip(" /\n\t") else {}
-        self.tag, self.role = tag, given.get("role", "").lower()
-        self.names = " ".join(filter(None, (given.get("class", ""), given.get("id", "")))).lower()
-        self.hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", given.get("style", "")))
-        self.label = tag + "".join("." + x for x in sorted(given.get("class", "").lower().split())) + (f"[{self.role}]" if self.role else "")
+        self.tag = tag
+        self.role, self.names, self.hidden, self.label = _told(tag, attributes) if attributes else ("", "", False, tag)
         self.parent = above.path if above else 0
         self.path = xxhash.xxh3_64_intdigest(self.label, self.parent) >> 1
 
@@ -57,7 +65,7 @@ class _Stack(list):
         self.spots[self.pop().tag].pop()
 
     def last(self, tags: set[str]) -> int:
-        return max((self.spots[t][-1] for t in tags if self.spots.get(t)), default=-1)
+        return max([spots[-1] for t in tags if (spots := self.spots.get(t))], default=-1)
 
 
 def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
@@ -85,7 +93,8 @@ def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
             yield from _close(stack, tag)
             continue
         if tag in BLOCK and tag not in _ENDS:
-            yield from _end(stack, {"p"}, {"table", "button", "article", "section", "div"} - {tag})
+            if stack.spots.get("p"):
+                yield from _end(stack, {"p"}, {"table", "button", "article", "section", "div"} - {tag})
         elif tag in _ENDS:
             yield from _end(stack, _ENDS[tag], _HOLDS[tag])
         element = Element(tag, piece[3], stack[-1] if stack else None)
@@ -104,13 +113,14 @@ def read(html: str) -> Iterator[tuple[str, list[Element], str]]:
 
 def _close(stack: _Stack, tag: str) -> Iterator[tuple[str, list[Element], str]]:
     """Close the nearest open element of that name and all in it; a stray end tag does nothing."""
-    yield from _cut(stack, stack.last({tag}))
+    if spots := stack.spots.get(tag):
+        yield from _cut(stack, spots[-1])
 
 
 def _end(stack: _Stack, kinds: set[str], within: set[str]) -> Iterator[tuple[str, list[Element], str]]:
     """Close the nearest element of these kinds and all in it, if no container is nearer."""
     spot = stack.last(kinds)
-    if spot > stack.last(within):
+    if spot >= 0 and spot > stack.last(within):
         yield from _cut(stack, spot)
 
 
