@@ -44,21 +44,6 @@ def indices(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(empty_array("int"))
 
 
-def running_sum(values: Column) -> Column:
-    """Sums up to and including each place, in n log n: round k adds what stands 2^k before.
-
-    Appending to an array in ``aggregate`` copies it each time, which a line of many
-    thousand words makes quadratic.
-    """
-    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
-
-    def add(acc: Column, k: Column) -> Column:
-        back = F.call_function("shiftleft", F.lit(1), k)
-        return F.transform(acc, lambda x, i: F.when(i >= back, x + F.get(acc, i - back)).otherwise(x))
-
-    return F.aggregate(indices(rounds), values, add)
-
-
 def runs(values: Column, starts_new: Callable[[Column, Column], Column]) -> Column:
     """Cut an array into runs: ``starts_new(previous, current)`` opens the next one."""
 

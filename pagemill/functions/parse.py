@@ -2,7 +2,7 @@
 
 Each parser is one expression on the row that holds the document, so parsing needs no
 shuffle and works the same in batch and streaming. ``pages`` and positions come from the
-content itself: a text is cut by line count, a PDF by content stream, HTML is one page.
+content itself: a text is cut by line count, a PDF by its page objects, HTML is one page.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..schemas import PARSED
-from .binding import indices, let, running_sum, runs
+from . import textlayer
+from .binding import indices, let, runs
 from .text import not_blank
 
 
@@ -51,61 +52,8 @@ def plain_text(text: Column, lines_per_page: int = 50, image_prefix: Column | No
 
 # --- PDF text layer ---------------------------------------------------------------
 
-# One text-show operator of an uncompressed content stream: font, size, x, y, text as literal or in hexadecimal UTF-16.
-SHOW = (
-    r"BT\s+/(\S+)\s+([0-9.]+)\s+Tf\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+Td"
-    r"\s+(?:\(([^()\\]*+(?:\\.[^()\\]*+)*+)\)|<(?:FEFF)?([0-9A-Fa-f]*+)>)\s*Tj\s+ET"
-)
-_STREAM = r"(?s)stream\r?\n(.*?)endstream"
-
 # Roles of the font sizes.
 TITLE_SIZE, HEADING_SIZE = 16.0, 12.0
-PAGE_HEIGHT = 792.0
-
-
-# Escapes of a literal string beside octal ones; any other sign after a backslash stands for itself.
-_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "b": "\b", "f": "\f", "\n": ""}
-
-
-def _literal(text: Column) -> Column:
-    r"""A literal string without its escapes: \( \) \\ \n and the like, and codes in up to three octal digits."""
-
-    def piece(p: Column) -> Column:
-        sign = F.substr(p, F.lit(2))
-        plain = sign
-        for letter, stands_for in _ESCAPES.items():
-            plain = F.when(sign == letter, F.lit(stands_for)).otherwise(plain)
-        octal = F.when(sign.rlike("^[0-7]{1,3}$"), F.chr(F.conv(sign, 8, 10).cast("bigint"))).otherwise(plain)
-        return F.when(p.startswith("\\"), octal).otherwise(p)
-
-    pieces = F.regexp_extract_all(text, F.lit(r"(?s)\\[0-7]{1,3}|\\.|[^\\]++"), F.lit(0))
-    return F.when(text.contains("\\"), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
-
-
-def pdf_shows(content: Column) -> Column:
-    """All shown strings of a PDF: array of (page, font, size, x, y, text), in stream order."""
-    # the end is closed, so that streams left open are one match and not a search each
-    closed = F.concat(F.decode(content, "ISO-8859-1"), F.lit("\nendstream"))
-    streams = F.regexp_extract_all(closed, F.lit(_STREAM), F.lit(1))
-
-    def show(op: Column, page: Column) -> Column:
-        part = lambda n: F.regexp_extract(op, f"(?s){SHOW}", n)
-        return F.struct(
-            page.alias("page"),
-            part(1).alias("font"),
-            part(2).cast("double").alias("size"),
-            part(3).cast("double").alias("x"),
-            part(4).cast("double").alias("y"),
-            F.when(part(6) == "", _literal(part(5))).otherwise(F.decode(F.unhex(part(6)), "UTF-16BE")).alias("text"),
-        )
-
-    per_page = F.transform(
-        streams,
-        lambda stream, page: F.transform(
-            F.regexp_extract_all(stream, F.lit(f"(?s){SHOW}"), F.lit(0)), lambda op: show(op, page)
-        ),
-    )
-    return F.flatten(per_page)
 
 
 def _role(size: Column) -> Column:
@@ -115,116 +63,44 @@ def _role(size: Column) -> Column:
 
 
 def pdf_text(content: Column, image_prefix: Column | None = None) -> Column:
-    """Role by font size; body lines without a gap between them form one paragraph."""
+    """Role by font size; body lines without a gap between them form one paragraph, and strings at one height one line."""
 
     def new_block(before: Column, line: Column) -> Column:
-        # a line of n points sits n + 4 below the last one; anything wider is a gap
-        return (
-            (before["page"] != line["page"])
-            | (before["size"] != line["size"])
-            | (line["size"] >= HEADING_SIZE)
-            | (before["y"] - line["y"] > before["size"] * 1.5)
-        )
+        # a line of n points sits n + 4 below the last one; anything wider is a gap, and a line further up a new column
+        fall = before["y"] - line["y"]
+        apart = (line["size"] >= HEADING_SIZE) | (fall > before["size"] * 1.5) | (fall < 0)
+        return (before["page"] != line["page"]) | (before["size"] != line["size"]) | ((fall != 0) & apart)
+
+    def joined(block: Column) -> Column:
+        def piece(show: Column, i: Column) -> Column:
+            parted = F.when(F.get(block, i - 1)["y"] == show["y"], F.lit(" ")).otherwise(F.lit("\n"))
+            return F.when(i == 0, show["text"]).otherwise(F.concat(parted, show["text"]))
+
+        return F.array_join(F.transform(block, piece), "")
 
     def element(block: Column, i: Column) -> Column:
         first = F.get(block, F.lit(0))
         last = F.element_at(block, -1)
         box = F.array(
             first["x"],
-            F.lit(PAGE_HEIGHT) - first["y"] - first["size"],
-            F.lit(PAGE_HEIGHT),
-            F.lit(PAGE_HEIGHT) - last["y"],
+            F.lit(textlayer.PAGE_HEIGHT) - first["y"] - first["size"],
+            F.lit(textlayer.PAGE_HEIGHT),
+            F.lit(textlayer.PAGE_HEIGHT) - last["y"],
         )
         return _element(
-            i, _role(first["size"]), F.array_join(block["text"], "\n"), None, box, first["page"]
+            i, _role(first["size"]), joined(block), None, box, first["page"]
         )
 
     def document(shows: Column) -> Column:
         n_pages = F.coalesce(F.array_max(F.transform(shows, lambda s: s["page"])) + 1, F.lit(0))
         return _document(F.transform(runs(shows, new_block), element), n_pages, image_prefix)
 
-    return let(pdf_shows(content), document)
-
-
-# Advance widths of Helvetica and Helvetica-Bold for characters 32..126, in
-# thousandths of the font size (standard font metrics).
-HELVETICA = (
-    "278 278 355 556 556 889 667 191 333 333 389 584 278 333 278 278 556 556 556 556 556 556 556 556 556 556 "
-    "278 278 584 584 584 556 1015 667 667 722 722 667 611 778 722 278 500 667 556 833 722 778 667 778 722 667 "
-    "611 722 667 944 667 667 611 278 278 278 469 556 333 556 556 500 556 556 278 556 556 222 222 500 222 833 "
-    "556 556 556 556 333 500 278 556 500 722 500 500 500 334 260 334 584"
-)
-HELVETICA_BOLD = (
-    "278 333 474 556 556 889 722 238 333 333 389 584 278 333 278 278 556 556 556 556 556 556 556 556 556 556 "
-    "333 333 584 584 584 611 975 722 722 722 722 667 611 778 722 278 556 722 611 833 722 778 667 778 722 667 "
-    "611 722 667 944 667 667 611 333 278 333 584 556 333 556 611 556 611 556 333 611 611 278 278 556 278 889 "
-    "611 611 611 611 389 556 333 611 556 778 556 556 500 389 280 389 584"
-)
-# The font's descent, and the width of a character outside the table.
-DESCENT, OTHER_WIDTH = -0.207, 556
-
-
-def _widths(table: str) -> Column:
-    return F.array(*[F.lit(int(w)) for w in table.split()])
+    return let(textlayer.shows(content), document)
 
 
 def pdf_words(content: Column, bold_fonts: tuple[str, ...] = ("F2",)) -> Column:
     """Words of the text layer with their boxes (top-left origin): array of (page, word)."""
-
-    def advance(text: Column, table: Column) -> Column:
-        """Width in thousandths; split on '' gives one string per character and an empty one at the end."""
-
-        def width(char: Column) -> Column:
-            return F.coalesce(F.get(table, F.ascii(char) - 32), F.when(char == "", F.lit(0)).otherwise(F.lit(OTHER_WIDTH)))
-
-        return F.aggregate(F.split(text, "", -1), F.lit(0), lambda acc, c: acc + width(c))
-
-    def words(show: Column) -> Column:
-        bold = show["font"].isin(*bold_fonts)
-        size = show["size"]
-        top = F.lit(PAGE_HEIGHT) - show["y"] - F.lit(DESCENT) * size - size
-
-        # every token goes with the blanks in front of it, so the advances add up
-        def measured(table: Column) -> Column:
-            return F.transform(
-                F.regexp_extract_all(show["text"], F.lit(r"\s*\S+"), F.lit(0)),
-                lambda token: let(
-                    F.regexp_extract(token, r"\S+", 0),
-                    lambda word: let(
-                        advance(word, table),
-                        lambda width: F.struct(
-                            word.alias("word"),
-                            (width * size / 1000.0).alias("width"),
-                            ((width + advance(F.regexp_extract(token, r"^\s*", 0), table)) * size / 1000.0).alias("step"),
-                        ),
-                    ),
-                ),
-            )
-
-        tokens = let(F.when(bold, _widths(HELVETICA_BOLD)).otherwise(_widths(HELVETICA)), measured)
-
-        def boxed(parts: Column) -> Column:
-            return let(
-                running_sum(parts["step"]),
-                lambda ends: F.zip_with(
-                    parts,
-                    ends,
-                    lambda part, end: F.struct(
-                        show["page"].alias("page"),
-                        part["word"].alias("text"),
-                        (show["x"] + end - part["width"]).alias("x0"),
-                        top.alias("y0"),
-                        (show["x"] + end).alias("x1"),
-                        (top + size).alias("y1"),
-                        F.when(bold, F.lit("Helvetica-Bold")).otherwise(F.lit("Helvetica")).alias("fontname"),
-                        size.alias("fontsize"),
-                    ),
-                ),
-            )
-
-        return let(tokens, boxed)
-
-    return F.flatten(F.transform(pdf_shows(content), words))
+    return textlayer.words(content, bold_fonts)
 
 
 # --- HTML --------------------------------------------------------------------------

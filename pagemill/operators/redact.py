@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.binding import items, let, only
 from ..functions.text import token_key, words
@@ -205,21 +205,48 @@ def _folded(text: Column) -> Column:
     return F.lower(F.array_join(words(text), " "))
 
 
+# Up to as many different entities a page is searched for one after the other.
+_FEW = 8
+
+
+def _contained(text: str, entities: list[str]) -> list[bool]:
+    """Which of the entities stand in the text, all of them in one pass over it."""
+    wanted = {e for e in entities if len(e) > 2}
+    if len(wanted) <= _FEW:
+        found = {e for e in wanted if e in text}
+    else:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for entity in wanted:
+            machine.add_word(entity, entity)
+        machine.make_automaton()
+        found = {entity for _, entity in machine.iter(text)}
+    return [e in found for e in entities]
+
+
+@F.arrow_udf(T.ArrayType(T.BooleanType()))
+def _shown(texts: pa.Array, entities: pa.Array) -> pa.Array:
+    found = [
+        _contained(text, listed) if text is not None and listed is not None else None
+        for text, listed in zip(texts.to_pylist(), entities.to_pylist(), strict=True)
+    ]
+    return pa.array(found, pa.list_(pa.bool_()))
+
+
 def leaked(output: Column, entities: Column) -> Column:
-    """Entities still readable in the output: case and line breaks do not hide one."""
-    return F.when(
-        F.size(entities) > 0,
-        let(
-            _folded(output),
-            lambda text: let(
-                F.filter(
-                    F.array_distinct(entities["original"]),
-                    lambda original: let(_folded(original), lambda o: (F.length(o) > 2) & text.contains(o)),
-                ),
-                lambda shown: F.filter(entities, lambda e: F.array_contains(shown, e["original"])),
-            ),
-        ),
-    ).otherwise(F.filter(entities, lambda e: F.lit(False)))
+    """Entities still readable in the output: case and line breaks do not hide one.
+
+    All entities of a page are searched at once, in time that grows with its text, their lengths and the hits.
+    Only pages with entities are handed to Python. An output that is NULL shows nothing. Where the output comes
+    from ``redact`` in the same select, use ``with_leaked``.
+    """
+    some = F.size(entities) > 0
+    originals = F.when(some, F.transform(entities, lambda e: F.coalesce(_folded(e["original"]), F.lit(""))))
+    shown = _shown(F.when(some, _folded(output)), originals)
+    return F.when(some, let(shown, lambda s: F.filter(entities, lambda e, i: F.coalesce(F.get(s, i), F.lit(False))))).otherwise(
+        F.filter(entities, lambda e: F.lit(False))
+    )
 
 
 def leaks(pages: DataFrame, keys: Sequence[str], output: str = "redacted") -> DataFrame:
@@ -229,8 +256,17 @@ def leaks(pages: DataFrame, keys: Sequence[str], output: str = "redacted") -> Da
     )
 
 
+def with_leaked(pages: DataFrame, output: str = "redacted", name: str = "leaked") -> DataFrame:
+    """Pages with what their output still shows.
+
+    The rows pass a generator first: in one projection Spark would compute the output twice, and it does not
+    plan two Python steps there of which one needs the other inside a lambda.
+    """
+    rows = pages.select(F.explode(F.array(F.struct(*pages.columns))).alias("_page")).select("_page.*")
+    return rows.withColumn(name, leaked(F.col(output), F.col("entities")))
+
+
 def without_leaks(pages: DataFrame, output: str = "redacted") -> DataFrame:
     """Gate: only the pages whose output shows none of their entities."""
-    row = F.struct(*pages.columns)
-    clean = only(row, lambda r: F.size(leaked(r[output], r["entities"])) == 0)
-    return pages.select(clean.alias("page")).select("page.*")
+    told = F.struct(F.struct(*pages.columns).alias("row"), F.size(leaked(F.col(output), F.col("entities"))).alias("n"))
+    return pages.select(only(told, lambda t: t["n"] == 0).alias("page")).select("page.row.*")

@@ -96,7 +96,7 @@ def redact_folder(
         F.when(F.col("unread"), F.lit("not read: too large")).when(F.col("page").isNull(), F.lit("no readable text layer")).alias("reason"),
     )
     hits = redact.with_redactions(entities(pages), "words", repeat, loose, keep_punctuation=True)
-    done = redact.redacted_text(hits, "page_content").withColumn("leaks", redact.leaked(F.col("redacted"), F.col("entities"))["category"])
+    done = redact.with_leaked(redact.redacted_text(hits, "page_content")).withColumn("leaks", F.col("leaked")["category"])
     raw = F.lit(None).cast("string") if key is None else crypto.seal(F.to_json(F.struct("page_content", "entities", "boxes")), key)
     shown = F.when(F.lit(not gate) | (F.size("leaks") == 0), F.col("redacted"))
     reason = F.when(shown.isNull(), F.lit("withheld: personal data still shows")).otherwise(F.col("reason"))

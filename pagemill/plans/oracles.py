@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions import classify, parse, pii, text
+from ..functions import classify, parse, pii, text, textlayer
 from ..functions.crypto import OVERHEAD
 from ..operators import detect, evaluate
 from ..schemas import CATEGORIES
@@ -212,10 +212,10 @@ PDF_LINE = f"""pdf_lines AS (
 
 
 def _advance(x: str) -> str:
-    tables = [t.replace(" ", ", ") for t in (parse.HELVETICA_BOLD, parse.HELVETICA)]
+    tables = [t.replace(" ", ", ") for t in (textlayer.HELVETICA_BOLD, textlayer.HELVETICA)]
     width = (
         f"coalesce(CASE WHEN i = 0 THEN [{tables[0]}]::INT[] ELSE [{tables[1]}]::INT[] END"
-        f"[unicode(c) - 31], {parse.OTHER_WIDTH})"
+        f"[unicode(c) - 31], {textlayer.OTHER_WIDTH})"
     )
     # string_split on '' gives the characters
     return f"coalesce(list_sum(list_transform(list_filter(string_split({x}, ''), lambda c: c <> ''), lambda c: {width})), 0)"
@@ -349,6 +349,8 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, page_id, CASE WHEN i = 0 THEN 'title' ELSE 'text' END AS element_type,
                string_agg(line, chr(10) ORDER BY i) AS content, min(i) AS first FROM pdf_lines GROUP BY ALL)
         SELECT doc_id, page_id, element_type, content, row_number() OVER (PARTITION BY doc_id ORDER BY first) - 1 AS element_id FROM blocks""",
+    "pdf_text_state": f"""WITH {PDF_LINE} SELECT doc_id, page_id, i % {PDF_LINES} AS line_no, 82.0::DOUBLE AS x,
+        (750 - 14 * (i % {PDF_LINES}))::DOUBLE AS y, 10.0::DOUBLE AS size, line AS shown FROM pdf_lines""",
     "pdf_words": f"""WITH {PDF_WORDS} SELECT doc_id, page_id, word,
         row_number() OVER (PARTITION BY doc_id ORDER BY i, n) - 1 AS pos,
         round(CASE WHEN i = 0 THEN 72 ELSE 82 END + (upto - word_w) * size / 1000.0, 3)::DOUBLE AS x0,
@@ -380,7 +382,13 @@ ORACLES: dict[str, str] = {
             {{'ord': 4, 'original': '412 55 ' || {_FOUR}, 'masked': '*** ** ' || {_FOUR}, 'category': 'SSN'}},
             {{'ord': 5, 'original': '3056 930902 ' || {_FOUR}, 'masked': '**** ****** ' || {_FOUR}, 'category': 'CREDIT_CARD'}}]) AS o FROM documents)""",
     "pii_all_by_category": f"WITH {RECORDS}, {ENTITIES} SELECT category, count(*) AS n_entities FROM entities GROUP BY category",
+    "leak_check_many": f"""WITH parts AS (SELECT page_id, html, unnest(range(length(html) // 24)) AS n FROM pages),
+        e AS (SELECT DISTINCT page_id, substr(html, 24 * n + 1, 7) AS original FROM parts),
+        t AS (SELECT page_id, {folded("regexp_replace(html, '[0-9]', '#', 'g')")} AS shown FROM pages),
+        j AS (SELECT e.page_id, length({folded('e.original')}) > 2 AND contains(t.shown, {folded('e.original')}) AS leaks FROM e JOIN t USING (page_id))
+        SELECT page_id, count(*) AS n_entities, count(*) FILTER (leaks) AS n_leaks FROM j GROUP BY page_id""",
     "leak_check_records": f"WITH {RECORDS}, {REDACTED} {leaks('redacted', 'redacted')}",
+    "stream_files_archived": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, doc_id % 3 = 2 AS left_in_inbox FROM files",
     "stream_files": f"WITH {FILES} SELECT file_name, strlen(text) + {OVERHEAD} AS file_size, document_type, len(string_split(text, chr(10))) AS n_elements FROM files",
     "model_masked_gold": f"""WITH {PAGES} SELECT sha256(file_path || '#' || page_id) AS chunk_id, regexp_replace(page_content, '[0-9]', '#', 'g') AS page_content_masked
         FROM pages_ WHERE document_type IS NOT NULL""",

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import classify, crypto, parse, pii, text
+from ..functions import classify, crypto, parse, pii, text, textlayer
 from ..functions.binding import indices, items, let, only
 from ..operators import bronze, detect, evaluate, gold, modelhook, redact, silver, vectors
 from ..schemas import CATEGORIES, ELEMENTS, ENTITY, PARSED_DOCS
@@ -278,6 +278,42 @@ def pdf_elements(spark, sf):
     )
 
 
+def state_pdfs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text as a PDF whose objects stand in reverse order with a picture between them; lines are set by matrix and leading, in two strings each."""
+    escaped = lambda part: F.regexp_replace(part, r"[\\()]", r"\\$0")
+    number = lambda page, n: (page * 3 + (10 + n)).cast("string")
+
+    def show(line: Column) -> Column:
+        half = F.floor(F.length(line) / 2).cast("int")
+        left, right = F.substr(line, F.lit(1), half), F.substr(line, half + 1)
+        wide = F.concat(F.lit("<FEFF"), F.hex(F.encode(line, "UTF-16BE")), F.lit("> Tj"))
+        plain = F.concat(F.lit("[("), escaped(left), F.lit(") -20 ("), escaped(right), F.lit(")] TJ"))
+        return F.when(line.rlike(r"[^\x{20}-\x{7e}\x{a0}-\x{ff}]"), wide).otherwise(plain)
+
+    def objects(page: Column, lines: Column) -> Column:
+        body = F.array_join(F.transform(F.slice(lines, page * PDF_LINES + 1, F.lit(PDF_LINES)), show), " T*\n")
+        return F.concat(
+            number(page, 2), F.lit(" 0 obj\n<< /Subtype /Image >>\nstream\nBT /F1 9 Tf 1 1 Td (picture) Tj ET\nendstream\nendobj\n"),
+            number(page, 1), F.lit(" 0 obj\n<< /Length 0 >>\nstream\nq /F1 10 Tf BT 14 TL 1 0 0 1 82 750 Tm\n"), body, F.lit("\nET Q\nendstream\nendobj\n"),
+            number(page, 0), F.lit(" 0 obj\n<< /Type /Page /Parent 2 0 R /Contents ["), number(page, 1), F.lit(" 0 R] >>\nendobj\n"),
+        )
+
+    def whole(lines: Column) -> Column:
+        pages = indices(F.floor((F.size(lines) + (PDF_LINES - 1)) / PDF_LINES).cast("int"))
+        kids = F.array_join(F.transform(pages, lambda p: F.concat(number(p, 0), F.lit(" 0 R"))), " ")
+        tree = F.concat(F.lit("1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n2 0 obj\n<< /Type /Pages /Kids ["), kids, F.lit("] >>\nendobj\n"))
+        return F.concat(F.lit("%PDF-1.4\n"), F.array_join(F.reverse(F.transform(pages, lambda p: objects(p, lines))), ""), tree, F.lit("%%EOF\n"))
+
+    return documents(spark, sf, "doc_id", "text").select("doc_id", F.encode(let(F.split("text", "\n", -1), whole), "ISO-8859-1").alias("content"))
+
+
+def pdf_text_state(spark, sf):
+    """Every shown line with its place, from the page tree and the running state of text."""
+    shown = items(state_pdfs(spark, sf), ["doc_id"], textlayer.shows(F.col("content")), "s").select("doc_id", "s.*")
+    line = F.round((F.lit(750.0) - F.col("y")) / 14.0).cast("int")
+    return shown.select("doc_id", F.col("page").alias("page_id"), line.alias("line_no"), "x", "y", "size", F.col("text").alias("shown"))
+
+
 def pdf_words(spark, sf):
     rows = document_pdfs(spark, sf).select("doc_id", F.posexplode(parse.pdf_words(F.col("content"))).alias("pos", "w"))
     return rows.select(
@@ -339,6 +375,23 @@ def stream_files(spark, sf):
     return docs.select("file_name", "file_size", "document_type", _n_elements())
 
 
+def stream_files_archived(spark, sf):
+    """The same in three runs over a landing folder; what a run has read goes to an archive in the next one."""
+    key, folder, target = ephemeral_key(spark), scratch(spark, "landing"), scratch(spark, "bronze")
+    archive = scratch(spark, "archive")
+    source = documents(spark, sf, "doc_id", "source", "text")
+    for third in (0, 1, 2):
+        plain = source.filter(F.pmod("doc_id", F.lit(3)) == third).select(
+            document_path().alias("path"), F.octet_length("text").cast("bigint").alias("length"), F.col("text").cast("binary").alias("content")
+        )
+        files.write_files(files.encrypted(plain, key), folder).write.mode("append").parquet(f"{target}/written")
+        ingest.ingest_docs(spark, folder, target, key, text_parser, archive=archive)
+    docs = bronze.unsealed_docs(spark.read.schema(PARSED_DOCS).parquet(f"{target}/{ingest.DOCS}"), key)
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.enc").load(folder).select(F.col("path").alias("file_path"), F.lit(True).alias("left"))
+    told = docs.join(there, "file_path", "left").withColumn("left_in_inbox", F.coalesce("left", F.lit(False)))
+    return told.select("file_name", "file_size", "document_type", "left_in_inbox")
+
+
 def stream_view(spark, sf):
     """Elements that arrive in two runs, half of each page at a time, and the page view kept in step; the last batch is played twice."""
     docs, key = parsed_documents(spark, sf)
@@ -516,6 +569,17 @@ def leak_check_records(spark, sf):
     return redact.leaks(redact.redacted_text(redact.with_redactions(found), "text"), ["doc_id"])
 
 
+def leak_check_many(spark, sf):
+    """Thousands of entities a page: every 24th place of a page's html gives one of seven characters; the output hides digits."""
+    places = indices(F.floor(F.length("html") / 24).cast("int"))
+    original = F.array_distinct(F.transform(places, lambda n: F.substr("html", n * 24 + 1, F.lit(7))))
+    entities = F.transform(original, lambda o: F.struct(o.alias("original"), F.lit("x").alias("masked"), F.lit("ANY").alias("category")))
+    html = text_table(spark, sf, "pages", "page_id", "html").filter(F.length("html") >= 24)
+    pages = html.select("page_id", F.regexp_replace("html", "[0-9]", "#").alias("redacted"), entities.alias("entities"))
+    shown = F.size(redact.leaked(F.col("redacted"), F.col("entities"))).cast("bigint")
+    return pages.select("page_id", F.size("entities").cast("bigint").alias("n_entities"), shown.alias("n_leaks"))
+
+
 def model_masked_gold(spark, sf):
     """Gold by a masking step on batches; the stand-in for a model hides digits."""
     hide = lambda batch: [re.sub("[0-9]", "#", asked.split("Text:\n", 1)[1]) for asked in batch]
@@ -827,11 +891,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_confusion": classify_confusion,
     "pdf_elements": pdf_elements,
     "pdf_words": pdf_words,
+    "pdf_text_state": pdf_text_state,
     "format_elements": format_elements,
     "silver_pages": silver_pages,
     "silver_pages_fused": silver_pages_fused,
     "stream_pages": stream_pages,
     "stream_files": stream_files,
+    "stream_files_archived": stream_files_archived,
     "stream_view": stream_view,
     "pages_in_order": pages_in_order,
     "detection_inputs": detection_inputs,
@@ -856,6 +922,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pii_all_by_category": pii_all_by_category,
     "pii_forms": pii_forms,
     "leak_check_records": leak_check_records,
+    "leak_check_many": leak_check_many,
     "model_batches": model_batches,
     "model_masked_gold": model_masked_gold,
     "model_entities": model_entities,

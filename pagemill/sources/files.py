@@ -39,16 +39,18 @@ def stream_files(
     glob: str = "*.enc",
     max_files: int = 10_000,
     max_bytes: int = MAX_FILE_BYTES,
+    archive: str | None = None,
 ) -> DataFrame:
-    """The same as a stream: every file once, large ones too. File identity is its path."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(FILES)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", max_files)
-        .load(path)
-    )
-    return _limited(files, max_bytes)
+    """The same as a stream: every file once, large ones too. File identity is its path.
+
+    With ``archive`` files are moved there, under their whole path, once the batch that read them is committed, so that a
+    long-lived landing folder is listed at the cost of what is new. The files of a run's last batch are
+    moved by the next run with new files, and a move that a lost driver prevented leaves its file where it is; neither is read again.
+    """
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _limited(reader.load(path), max_bytes)
 
 
 def encrypted(files: DataFrame, key: bytes) -> DataFrame:

@@ -49,9 +49,10 @@ def ingest_docs(
     labels: Sequence[str] = tuple(CATEGORIES),
     on_error: str = "mark",
     max_files: int = 10_000,
+    archive: str | None = None,
 ) -> None:
-    """Step 1: new ``*.enc`` files (or any stream of path, length, content) to stored documents."""
-    stream = source if isinstance(source, DataFrame) else files.stream_files(spark, source, max_files=max_files)
+    """Step 1: new ``*.enc`` files (or any stream of path, length, content) to stored documents; what has been read goes to ``archive``, if given."""
+    stream = source if isinstance(source, DataFrame) else files.stream_files(spark, source, max_files=max_files, archive=archive)
     append(bronze.sealed_docs(bronze.parsed(stream, key, parser, labels, on_error), key), target, DOCS)
 
 

@@ -207,3 +207,68 @@ def test_html_left_open_swallows_what_a_browser_would_not_show(spark):
     frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
     found = {r.i: list(r.c) for r in frame.select("i", parse.html_text(F.col("html"))["document"]["elements"]["content"].alias("c")).collect()}
     assert found == {0: ["a"], 1: ["a"], 2: ["a", "b"], 3: ["a --> b"], 4: ["a"]}
+
+
+def shown(spark, *contents):
+    frame = spark.createDataFrame([(i, bytearray(c) if c is not None else None) for i, c in enumerate(contents)], "i int, content binary")
+    rows = frame.select("i", F.explode(parse.textlayer.shows(F.col("content"))).alias("s")).select("i", "s.*").collect()
+    return [(r.i, r.page, r.font, r.size, round(r.x, 6), round(r.y, 6), r.text) for r in rows]
+
+
+def one_stream(body):
+    return b"%PDF-1.4\n4 0 obj\n<< /Length 9 >>\nstream\n" + body + b"\nendstream\nendobj\n%%EOF\n"
+
+
+def test_pdf_strings_by_the_running_state(spark):
+    moves = one_stream(
+        b"q /F1 10 Tf BT 12 TL 72 700 Td (one) Tj T* (two) Tj 0 -20 TD (three) Tj T* (four) Tj (five) ' ET Q"
+        b" /F1 5 Tf BT 2 0 0 2 100 300 Tm (big) Tj 3 -4 Td (below) Tj ET BT 3 Ts 10 10 Td (up) Tj ET"
+    )
+    arrays = one_stream(
+        b"/F1 10 Tf BT 82 700 Td [(Wa) 60 (ter) -400 (mill)] TJ T* ET BT 82 600 Td (a) Tj (b) Tj 40 0 Td (c) Tj ET"
+        b" % (no) Tj\n BT 82 500 Td (caf\\351 \\(a \\\\ b\\) (in) x\\\ny) Tj <48 65 6C6C6F> Tj ET"
+        b" BT 82 400 Td <004100E9> Tj 0 -20 Td <FEFF4F60597D> Tj 0 -20 Td (\x93q\x94) Tj ET BI /W 1 ID (x) Tj \x00 EI BT 82 300 Td (end) Tj ET"
+    )
+    assert shown(spark, moves, arrays) == [
+        (0, 0, "F1", 10.0, 72.0, 700.0, "one"), (0, 0, "F1", 10.0, 72.0, 688.0, "two"), (0, 0, "F1", 10.0, 72.0, 668.0, "three"),
+        (0, 0, "F1", 10.0, 72.0, 648.0, "four"), (0, 0, "F1", 10.0, 72.0, 628.0, "five"),
+        (0, 0, "F1", 10.0, 100.0, 300.0, "big"), (0, 0, "F1", 10.0, 106.0, 292.0, "below"), (0, 0, "F1", 5.0, 10.0, 13.0, "up"),
+        (1, 0, "F1", 10.0, 82.0, 700.0, "Water"), (1, 0, "F1", 10.0, round(82 + (944 + 556 - 60 + 278 + 556 + 333 + 400) / 100, 6), 700.0, "mill"),
+        (1, 0, "F1", 10.0, 82.0, 600.0, "ab"), (1, 0, "F1", 10.0, 122.0, 600.0, "c"),
+        (1, 0, "F1", 10.0, 82.0, 500.0, "café (a \\ b) (in) xyHello"),
+        (1, 0, "F1", 10.0, 82.0, 400.0, "Aé"), (1, 0, "F1", 10.0, 82.0, 380.0, "你好"), (1, 0, "F1", 10.0, 82.0, 360.0, "“q”"),
+        (1, 0, "F1", 10.0, 82.0, 300.0, "end"),
+    ]
+
+
+def test_pdf_pages_by_the_page_tree(spark):
+    text = lambda word: b"stream\nBT /F1 10 Tf 1 1 Td (" + word + b") Tj ET\nendstream\nendobj\n"
+    tree = (
+        b"%PDF-1.4\n9 0 obj << /Type /Page /Contents [5 0 R 6 0 R] >> endobj\n3 0 obj << /Subtype /Image >> " + text(b"picture")
+        + b"5 0 obj <<>> " + text(b"last") + b"6 0 obj <<>> " + text(b"more") + b"7 0 obj << /Filter /FlateDecode >> " + text(b"packed")
+        + b"8 0 obj << /Type /Page /Contents 10 0 R >> endobj\n10 0 obj [11 0 R] endobj\n11 0 obj <<>> " + text(b"first")
+        + b"12 0 obj << /Type /Page /Contents 7 0 R >> endobj\n13 0 obj << /Type/Page/Contents 3 0 R >> endobj\n"
+        + b"2 0 obj << /Type /Pages /Kids [8 0 R 4 0 R 2 0 R] >> endobj\n4 0 obj << /Type /Pages /Kids [12 0 R 9 0 R] >> endobj\n"
+        + b"1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n5 0 obj <<>> " + text(b"renewed")
+    )
+    # the second page is packed, the fifth object is replaced by a later one, object 13 is in no tree
+    loose = b"1 0 obj << /Subtype /Image >> " + text(b"picture") + b"2 0 obj <<>> " + text(b"a") + b"3 0 obj << /Type /XRef >> " + text(b"x") + b"4 0 obj <<>> stream\nBT /F1 10 Tf 1 1 Td (b) Tj"
+    assert [(i, page, word) for i, page, *_, word in shown(spark, tree, None, loose)] == [
+        (0, 0, "first"), (0, 2, "renewed"), (0, 2, "more"), (2, 0, "a"), (2, 1, "b"),
+    ]
+
+
+def test_pdf_boxes_follow_spacing_and_kerning(spark):
+    body = one_stream(b"/F1 10 Tf 2 Tc 5 Tw 50 Tz BT 10 700 Td (ab cd) Tj ET 0 Tc 0 Tw 100 Tz BT 10 600 Td [(W) 100 (a)] TJ ET")
+    frame = spark.createDataFrame([(bytearray(body),)], "content binary")
+    words = frame.select(F.explode(parse.pdf_words(F.col("content"))).alias("w")).select("w.*").collect()
+    assert [(w.text, round(w.x0, 6), round(w.x1, 6)) for w in words] == [
+        ("ab", 10.0, 10 + (5.56 * 2 + 4) / 2), ("cd", round(10 + (5.56 * 2 + 2.78 + 6 + 5) / 2, 6), round(10 + (5.56 * 3 + 5.0 + 2.78 + 10 + 5) / 2, 6)),
+        ("Wa", 10.0, round(10 + 9.44 - 1 + 5.56, 6)),
+    ]
+
+
+def test_pdf_strings_of_one_height_are_one_line(spark):
+    body = one_stream(b"/F1 10 Tf BT 82 700 Td (left) Tj 60 0 Td (right) Tj -60 -14 Td (next) Tj 200 28 Td (column) Tj ET")
+    frame = spark.createDataFrame([(bytearray(body),)], "content binary")
+    assert [e[2] for e in elements_of(frame, parse.pdf_text, "content")] == ["left right\nnext", "column"]

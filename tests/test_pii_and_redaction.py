@@ -279,3 +279,33 @@ def test_long_lines_and_many_entities_stay_linear(spark):
         assert redact.redaction_count(done).first()[0] == n
         took[n] = time.time() - at
     assert took[32000] < 5 * took[8000] + 2
+
+
+def test_leaks_of_many_entities_equal_plain_search(spark):
+    import random
+
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choice("abcé ") for _ in range(draw.randint(1, 6)))
+    cases = [(i, word() * 40 if i else None, [(word() or None, "x", "A") for _ in range(draw.choice([0, 3, 9, 200]))]) for i in range(60)]
+    cases += [(100, "aaaaaa", [(None, "x", "A"), ("", "x", "A")] + [("a" * n, "x", str(n)) for n in range(1, 30)]), (101, "x", None)]
+    frame = spark.createDataFrame(cases, f"doc_id int, redacted string, entities array<{schemas.ENTITY}>")
+    folded = lambda t: " ".join((t or "").split()).lower()
+    expected = {i: [e[0] for e in es or [] if t is not None and len(folded(e[0])) > 2 and folded(e[0]) in folded(t)] for i, t, es in cases}
+    found = {r.doc_id: [x.original for x in r.leaked or []] for r in frame.select("doc_id", redact.leaked(F.col("redacted"), F.col("entities")).alias("leaked")).collect()}
+    assert found == expected
+    clean = {r.doc_id for r in redact.without_leaks(frame.filter("entities IS NOT NULL")).collect()}
+    assert clean == {i for i, _, es in cases if es is not None and not expected[i]}
+
+
+def test_leak_check_of_many_entities_stays_linear(spark):
+    import time
+
+    took = {}
+    for n in (500, 8000, 32000):
+        names = [f"user{i}@mail.example.org" for i in range(n)]
+        rows = [(0, " ".join(names[::2]), [(name, "x", "EMAIL") for name in names])]
+        frame = spark.createDataFrame(rows, f"doc_id int, redacted string, entities array<{schemas.ENTITY}>")
+        at = time.time()
+        assert redact.leaks(frame, ["doc_id"]).count() >= n // 2
+        took[n] = time.time() - at
+    assert took[32000] < 5 * took[8000] + 1

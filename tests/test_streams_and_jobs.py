@@ -151,3 +151,20 @@ def test_evaluation_from_csv(spark, tmp_path):
     assert got["a.pdf", "correctness_proxy"] == "yes" and got["b.pdf", "correctness_proxy"] == "no"
     assert got["b.pdf", "concise_response"] == "yes"
     assert {r.scorer: r.n_yes for r in metrics.collect()}["relevance_to_query_proxy"] == 1
+
+
+def test_landing_folder_is_emptied_behind_the_stream(spark, key, tmp_path):
+    inbox, archive, out = tmp_path / "in", tmp_path / "archive", str(tmp_path / "out")
+    run = lambda: ingest.ingest_docs(spark, str(inbox), out, key, TEXT, archive=str(archive))
+    there = lambda: sorted(p.name for p in inbox.glob("*.enc"))
+    kept = lambda: sorted(p.name for p in archive.rglob("*.enc"))
+    drop(spark, key, inbox, a_hr="1", b_hr="2")
+    run()
+    drop(spark, key, inbox, c_hr="3")
+    run()
+    run()
+    drop(spark, key, inbox, d_hr="4")
+    run()
+    names = sorted(r.file_name for r in spark.read.parquet(f"{out}/{ingest.DOCS}").collect())
+    assert names == ["a_hr.enc", "b_hr.enc", "c_hr.enc", "d_hr.enc"]
+    assert there() == ["d_hr.enc"] and kept() == ["a_hr.enc", "b_hr.enc", "c_hr.enc"]
