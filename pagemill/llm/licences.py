@@ -7,7 +7,7 @@ what it matches, so a licence that is contained in a longer one is not reported
 
 Sentences end at . ; : ! ? before white space and at empty lines. A document is also read line by line, as
 licence notes are often lines of their own among text that ends without a stop. Case, punctuation, comment
-signs and line breaks do not matter.
+signs and line breaks do not matter. Tag lines (``SPDX-License-Identifier: MIT``) are one sentence each, as they stand on a line.
 
 Defined results. Every row gives a row; null and empty texts have no licence. Repeated sentences match repeatedly and are
 reported once. Known sentences that no rule takes are listed in ``unmatched``. Ids are carried along and may be anything.
@@ -60,6 +60,16 @@ _GPL_GRANT = (
     "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by "
     "the Free Software Foundation, either version {1} of the License, or (at your option) any later version. "
 )
+_GNU_GRANT = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the "
+    "Free Software Foundation; either version {2} of the License, or (at your option) any later version. "
+)
+_ISC_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR "
+    "IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
 
 # Licence texts and notes as they are published, with the identifier of their licence.
 KNOWN = (
@@ -108,8 +118,62 @@ KNOWN = (
         "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
     ("all-rights-reserved", "All rights reserved."),
+    ("GPL-2.0-or-later", _GNU_GRANT.format("program", "", "2") + _GPL_END.format("")),
+    ("LGPL-2.1-or-later", _GNU_GRANT.format("library", "Lesser ", "2.1") + _GPL_END.format("Lesser ").replace("program", "library")),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising "
+        "from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not "
+        "claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+        "software. This notice may not be removed or altered from any source distribution.",
+    ),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+        'covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative '
+        "works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices "
+        "in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in "
+        "all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in "
+        'the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY '
+        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND "
+        "NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _ISC_WARRANTY,
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("Artistic-1.0-Perl OR GPL-1.0-or-later", "This library is free software; you can redistribute it and/or modify it under the same terms as Perl itself."),
 )
 
+# Identifiers that tag lines of source files name, and the names that notes give to licences.
+TAGGED = (
+    "0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 "
+    "CC-BY-NC-ND-4.0 CC0-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only "
+    "LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 MS-PL OFL-1.1 PostgreSQL Python-2.0 Unlicense WTFPL Zlib"
+).split()
+TAGGED_PAIRS = ("Apache-2.0 OR MIT", "MIT OR Apache-2.0", "GPL-2.0-only OR MIT", "GPL-2.0-only OR BSD-2-Clause", "GPL-2.0-only OR BSD-3-Clause")
+NAMES = (
+    ("MIT", ("MIT", "MIT License")),
+    ("Apache-2.0", ("Apache-2.0", "Apache License 2.0", "Apache License, Version 2.0")),
+    ("BSD-2-Clause", ("BSD 2-Clause License",)),
+    ("BSD-3-Clause", ("BSD 3-Clause License",)),
+    ("GPL-2.0-only", ("GPLv2", "GPL v2")),
+    ("GPL-3.0-only", ("GPLv3", "GPL v3")),
+    ("LGPL-3.0-only", ("LGPLv3", "LGPL v3")),
+    ("AGPL-3.0-only", ("AGPLv3", "AGPL v3")),
+    ("MPL-2.0", ("MPL 2.0", "Mozilla Public License 2.0")),
+    ("ISC", ("ISC License",)),
+)
+NOTES = ("Licensed under {}.", "Licensed under the {}.", "This project is licensed under the {}.", "This software is licensed under the {}.", "Released under the {}.", "Distributed under the {}.")
+
 SPLIT = r"[.;:!?]+(?=\s|$)|\n[^\S\n]*\n"
 
 
@@ -121,6 +185,12 @@ def _cut(text: str) -> list[str]:
     return [s for s in map(_plain, re.split(SPLIT, text)) if s]
 
 
+def _lines() -> list[tuple[str, str]]:
+    """Lines that are sentences as a whole: tags with an identifier, and notes with a name."""
+    tags = [(name, f"SPDX-License-Identifier: {name}") for name in (*TAGGED, *TAGGED_PAIRS)]
+    return tags + [(licence, note.format(name)) for licence, names in NAMES for name in names for note in NOTES]
+
+
 def knowledge() -> tuple[dict[str, str], list[tuple[str, str]]]:
     """Identifier of every known sentence, and (licence, identifiers in order) with the longest first."""
     names: dict[str, str] = {}
@@ -129,6 +199,11 @@ def knowledge() -> tuple[dict[str, str], list[tuple[str, str]]]:
         for n, sentence in enumerate(_cut(text), 1):
             names.setdefault(sentence, f"<{licence}#{len(names) + 1}>")
         rules.append((licence, "".join(names[s] for s in _cut(text))))
+    for licence, text in _lines():
+        sentence = _plain(text)
+        if sentence not in names:
+            names[sentence] = f"<{licence}#{len(names) + 1}>"
+            rules.append((licence, names[sentence]))
     return names, sorted(rules, key=lambda r: -r[1].count("<"))
 
 
@@ -136,7 +211,8 @@ def _identifiers(pieces: Column, names: dict[str, str]) -> Column:
     """The identifiers of known sentences, in order, as one string."""
     known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     plain = F.transform(pieces, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.array_join(F.transform(plain, lambda s: F.try_element_at(known, s)), "")
+    # a map is searched from its start, the set of its keys by hash
+    return F.array_join(F.transform(plain, lambda s: F.when(s.isin(*names), F.try_element_at(known, s))), "")
 
 
 def _apply(sequence: Column, rules: list[tuple[str, str]]) -> Column:

@@ -44,3 +44,33 @@ def test_order_and_length_of_rules(spark):
 
 def test_empty_table(spark):
     assert licences.scan(docs(spark, [])).count() == 0
+
+
+def test_tags_notes_and_texts_in_their_own_words(spark):
+    """Texts as they stand in files, not taken from the module's tables."""
+    zlib = (
+        "/* This software is provided 'as-is', without any express or implied\n * warranty. In no event will the authors be held liable for any damages\n"
+        " * arising from the use of this software.\n *\n * Permission is granted to anyone to use this software for any purpose,\n"
+        " * including commercial applications, and to alter it and redistribute it\n * freely, subject to the following restrictions:\n *\n"
+        " * 1. The origin of this software must not be misrepresented; you must not\n *    claim that you wrote the original software. If you use this software\n"
+        " *    in a product, an acknowledgment in the product documentation would be\n *    appreciated but is not required.\n"
+        " * 2. Altered source versions must be plainly marked as such, and must not be\n *    misrepresented as being the original software.\n"
+        " * 3. This notice may not be removed or altered from any source distribution.\n */\nint x;"
+    )
+    gpl2 = (
+        " This program is free software; you can redistribute it and/or modify\n it under the terms of the GNU General Public License as published by\n"
+        " the Free Software Foundation; either version 2 of the License, or\n (at your option) any later version.\n\n"
+        " This program is distributed in the hope that it will be useful,\n but WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n GNU General Public License for more details.\n"
+    )
+    pairs = [
+        (1, "#!/bin/sh\n# SPDX-License-Identifier: MIT\necho 1"), (2, "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint a;"),
+        (3, "<!-- SPDX-License-Identifier: Apache-2.0 OR MIT -->"), (4, "SPDX-License-Identifier: unheard-of"), (5, "The notes say\nlicensed under GPLv3\nand so on"),
+        (6, zlib), (7, gpl2), (8, "Distributed under the MPL 2.0. // SPDX-License-Identifier: MIT"), (9, "MIT\n1. GPL v3\nApache-2.0"),
+        (10, "This project is licensed under the Apache License 2.0."), (11, "the word licensed under GPLv3 inside of a longer line"),
+    ]
+    got = {r.doc_id: (r.licences, r.unmatched) for r in licences.scan(docs(spark, pairs)).collect()}
+    assert got == {
+        1: (["MIT"], []), 2: (["GPL-2.0-or-later"], []), 3: (["Apache-2.0 OR MIT"], []), 4: ([], []), 5: (["GPL-3.0-only"], []), 6: (["Zlib"], []),
+        7: (["GPL-2.0-or-later"], []), 8: (["MPL-2.0"], []), 9: ([], []), 10: (["Apache-2.0"], []), 11: ([], []),
+    }
