@@ -142,16 +142,20 @@ class _Show:
     def text(self) -> str:
         return "".join(piece[1] for piece in self.pieces)
 
-    def edges(self, widths: _Widths) -> tuple[list[float], list[float]]:
-        """Left and right of every character."""
-        lefts, rights = [], []
+    def words(self, widths: _Widths) -> Iterator[tuple[str, float, float]]:
+        """Words with their left and right."""
+        ends = []
         for x, text, unit, each, blank in self.pieces:
-            ends = [x + w * unit for w in accumulate(map(widths.__getitem__, text), initial=0)]
+            ends.append([x + w * unit for w in accumulate(map(widths.__getitem__, text), initial=0)])
             if each or blank:
-                ends = [e + more for e, more in zip(ends, accumulate((each + blank * (c == " ") for c in text), initial=0.0))]
-            lefts += ends[:-1]
-            rights += ends[1:]
-        return lefts, rights
+                more = accumulate((each + blank * (c == " ") for c in text), initial=0.0)
+                ends[-1] = [e + m for e, m in zip(ends[-1], more)]
+        if len(ends) == 1:
+            lefts, rights = ends[0], ends[0][1:]
+        else:
+            lefts, rights = [x for e in ends for x in e[:-1]], [x for e in ends for x in e[1:]]
+        for word in _WORD.finditer(self.text):
+            yield word[0], lefts[word.start()], rights[word.end() - 1]
 
 
 def _shown(stream: bytes, bold: frozenset[str]) -> Iterator[_Show]:
@@ -302,11 +306,10 @@ def words(content: Column, bold_fonts: tuple[str, ...] = ("F2",)) -> Column:
             for number, page in enumerate(_pages(document.as_py() or b"")):
                 for show in _shown(page, bold):
                     heavy = show.font in bold
-                    lefts, rights = show.edges(_BOLD if heavy else _REGULAR)
                     top = PAGE_HEIGHT - show.y - DESCENT * show.size - show.size
                     name = "Helvetica-Bold" if heavy else "Helvetica"
-                    for word in _WORD.finditer(show.text):
-                        rows.append((number, word[0], lefts[word.start()], top, rights[word.end() - 1], top + show.size, name, show.size))
+                    bottom = top + show.size
+                    rows += [(number, word, left, top, right, bottom, name, show.size) for word, left, right in show.words(_BOLD if heavy else _REGULAR)]
             offsets.append(len(rows))
         return _listed(_WORDS, offsets, [list(c) for c in zip(*rows)] or [[]] * 8)
 
