@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.crypto import encrypt_bytes
 from ..functions.text import base_name, decoded
 from ..schemas import FILES
+from ..session import gathered
 
 # One file is one row. A larger file is a row without content, and the stages after tell so.
 MAX_FILE_BYTES = 512 * 1024 * 1024
@@ -25,7 +26,7 @@ def _limited(files: DataFrame, max_bytes: int) -> DataFrame:
     """Two scans with complementary filters on the length, both pushed down; that of the large files reads no content."""
     whole = files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
     large = files.filter(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
-    return whole.unionByName(large)
+    return gathered(whole).unionByName(gathered(large))
 
 
 def oversized(spark: SparkSession, path: str, glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:

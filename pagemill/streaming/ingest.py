@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.binding import only
 from ..functions.crypto import encrypt_bytes
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
 from ..schemas import CATEGORIES, ELEMENTS, PAGE_ROWS, PARSED_DOCS
-from ..session import stored
+from ..session import few_listing_tasks, stored
 from ..sources import buckets, files, versions
 
 DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
@@ -25,15 +26,19 @@ DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
 
 def append(stream: DataFrame, target: str, name: str) -> None:
     """Run a stream over everything that is there, into ``target/name``."""
-    query = (
+    run(
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", f"{target}/_checkpoints/{name}")
-        .option("path", f"{target}/{name}")
-        .trigger(availableNow=True)
-        .start()
+        .option("path", f"{target}/{name}"),
+        stream.sparkSession,
     )
-    query.awaitTermination()
+
+
+def run(writer: DataStreamWriter, spark: SparkSession) -> None:
+    """Take what is there, and stop."""
+    with few_listing_tasks(spark):
+        writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def stream_table(spark: SparkSession, target: str, name: str, schema: str, max_files: int = 1000) -> DataFrame:
@@ -85,13 +90,8 @@ def maintain_pages(spark: SparkSession, target: str, key: bytes, into: str, max_
     The checkpoint lies beside the view, so that batch numbers and view belong together.
     """
     stream = stream_table(spark, target, ELEMENT_TABLE, ELEMENTS, max_files)
-    query = (
-        stream.writeStream.foreachBatch(lambda batch, number: renew_pages(batch, number, target, key, into, count))
-        .option("checkpointLocation", f"{into}/_checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    renewed = stream.writeStream.foreachBatch(lambda batch, number: renew_pages(batch, number, target, key, into, count))
+    run(renewed.option("checkpointLocation", f"{into}/_checkpoint"), spark)
 
 
 def renew_pages(batch: DataFrame, number: int, target: str, key: bytes, into: str, count: int = VIEW_BUCKETS) -> None:
@@ -153,13 +153,7 @@ def each_batch(
     def write(batch: DataFrame, batch_id: int) -> None:
         build(batch).write.mode("overwrite").parquet(f"{target}/{name}/batch_id={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{target}/_checkpoints/{name}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run(stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{target}/_checkpoints/{name}"), stream.sparkSession)
 
 
 def read_batches(spark: SparkSession, target: str, name: str) -> DataFrame:

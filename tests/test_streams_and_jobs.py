@@ -168,3 +168,17 @@ def test_landing_folder_is_emptied_behind_the_stream(spark, key, tmp_path):
     names = sorted(r.file_name for r in spark.read.parquet(f"{out}/{ingest.DOCS}").collect())
     assert names == ["a_hr.enc", "b_hr.enc", "c_hr.enc", "d_hr.enc"]
     assert there() == ["d_hr.enc"] and kept() == ["a_hr.enc", "b_hr.enc", "c_hr.enc"]
+
+
+def test_a_run_lists_its_files_in_few_tasks(spark, tmp_path):
+    name, seen = "spark.sql.sources.parallelPartitionDiscovery.parallelism", []
+    before, cores = spark.conf.get(name), spark.sparkContext.defaultParallelism
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+
+    def build(batch):
+        seen.append(int(spark.conf.get(name)))
+        return batch
+
+    ingest.each_batch(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), str(tmp_path), "out", build)
+    assert seen and max(seen) <= cores * 4 and spark.conf.get(name) == before
+    assert ingest.read_batches(spark, str(tmp_path), "out").count() == 10
