@@ -128,3 +128,14 @@ def test_eval_csv_keeps_quotes_commas_and_lines(spark, tmp_path):
     assert [tuple(r) for r in read.collect()] == rows
     evalset.write_eval_csv(read, str(tmp_path / "again"))
     assert {tuple(r) for r in evalset.read_eval_csv(spark, str(tmp_path / "again")).collect()} == set(rows)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    """Spark puts some 32 small files into a split; a scan has no task for each of these beyond a few a core."""
+    for n in range(2_000):
+        (tmp_path / f"{n}.enc").write_bytes(b"x" * (n % 7 + 1))
+    cores = spark.sparkContext.defaultParallelism
+    found = files.read_files(spark, str(tmp_path), max_bytes=6)
+    assert found.rdd.getNumPartitions() <= 2 * max(4 * cores, 2_000 // 32 // 32 + 1)
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.content) for r in found.collect()}
+    assert got == {f"{n}.enc": (n % 7 + 1, bytearray(b"x" * (n % 7 + 1)) if n % 7 < 6 else None) for n in range(2_000)}
