@@ -309,3 +309,14 @@ def test_leak_check_of_many_entities_stays_linear(spark):
         assert redact.leaks(frame, ["doc_id"]).count() >= n // 2
         took[n] = time.time() - at
     assert took[32000] < 5 * took[8000] + 1
+
+
+def test_words_are_parted_as_python_does_without_a_pattern(spark, capsys):
+    from pagemill.functions import text
+
+    spaces = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+    texts = ["", " ", None, "one", " a  b\n", "x" + "y".join(spaces) + "z", "é​f 日本　語 \U0001f600 .", spaces]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.words(F.col("t")).alias("w"))
+    assert [r.w for r in frame.collect()] == [None if t is None else t.split() for t in texts]
+    frame.explain()
+    assert "regexp_extract_all" not in capsys.readouterr().out
