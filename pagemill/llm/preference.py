@@ -93,18 +93,31 @@ def pair_segments(
 def format_pairs(
     chosen: DataFrame, rejected: DataFrame, pair: str = "pair_id", turn: str = "turn", role: str = "role", text: str = "text", row_chars: int = ROW_CHARS
 ) -> DataFrame:
-    """One row per pair: pair_id, prompt_turns, prompt, chosen and rejected (array<struct<text, learnt>>), usable.
+    """One row per pair: pair_id, prompt_turns, prompt, chosen and rejected (array<struct<text, learnt>>), usable, prompt_parts (as chosen).
 
-    Pairs of over ``row_chars`` characters have null for prompt, chosen and rejected: their segments stay rows of ``pair_segments``.
+    Pairs of over ``row_chars`` characters have null for prompt, its parts, chosen and rejected: their segments stay rows of ``pair_segments``.
     """
     rows = stored(pair_segments(chosen, rejected, pair, turn, role, text))
+    facts = measured(rows)
+    return facts.join(gathered(rows, facts, row_chars), "pair_id", "left").select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", "usable", "prompt_parts")
+
+
+def measured(rows: DataFrame) -> DataFrame:
+    """(pair_id, prompt_turns, chars, usable) of the pairs of segments."""
     facts = rows.groupBy("pair_id", "prompt_turns").agg(
         F.sum(F.length("header") + F.length("text")).alias("chars"), *[F.coalesce(F.max(F.when(F.col("side") == s, F.col("learnt"))), F.lit(False)).alias(s) for s in ("chosen", "rejected")]
     )
-    facts = stored(facts.select("pair_id", "prompt_turns", "chars", (F.col("chosen") & F.col("rejected")).alias("usable")))
-    # far fewer than one pair per row_chars characters of all text is longer
-    long = F.broadcast(facts.filter(F.col("chars") > row_chars).select("pair_id"))
-    fitting = rows.join(long, "pair_id", "left_anti")
+    return stored(facts.select("pair_id", "prompt_turns", "chars", (F.col("chosen") & F.col("rejected")).alias("usable")))
+
+
+def long_pairs(facts: DataFrame, row_chars: int = ROW_CHARS) -> DataFrame:
+    """Ids of the pairs that do not fit into a row; far fewer than one per row_chars characters of all text."""
+    return F.broadcast(facts.filter(F.col("chars") > row_chars).select("pair_id"))
+
+
+def gathered(rows: DataFrame, facts: DataFrame, row_chars: int = ROW_CHARS) -> DataFrame:
+    """(pair_id, prompt, prompt_parts, chosen, rejected) of the pairs that fit into a row, from their segments."""
+    fitting = rows.join(long_pairs(facts, row_chars), "pair_id", "left_anti")
 
     def listed(name: str) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("side") == name, F.struct("place", "header", "text", "learnt"))))
@@ -116,8 +129,7 @@ def format_pairs(
         header = lambda t: F.struct(t["header"].alias("text"), F.lit(False).alias("learnt"))
         return F.flatten(F.transform(name, lambda t: F.array(header(t), F.struct(t["text"].alias("text"), t["learnt"].alias("learnt")))))
 
-    whole = lists.select("pair_id", prompt.alias("prompt"), parts("chosen").alias("chosen"), parts("rejected").alias("rejected"))
-    return facts.join(whole, "pair_id", "left").select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", "usable")
+    return lists.select("pair_id", prompt.alias("prompt"), parts("prompt").alias("prompt_parts"), parts("chosen").alias("chosen"), parts("rejected").alias("rejected"))
 
 
 def next_replies(replies: DataFrame) -> DataFrame:

@@ -115,3 +115,15 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, 0, "user", "x")], SCHEMA)
     assert preference.format_pairs(none, some).count() == preference.format_pairs(none, none).count() == 0
     assert preference.swapped_replies(none, conversation="pair_id").count() == 0
+
+
+def test_query_formats_every_pair_that_fits(spark, tmp_path, monkeypatch):
+    """The digests come from the gathered rows; pairs too long for a row give the same from their segments."""
+    from pagemill.llm.queries import op5_preference_formatting
+
+    turns = [(c, n, "assistant" if n % 2 else "user", f"{c} says {n}" * (c % 5)) for c in range(40) for n in range(c % 7 + 1)]
+    spark.createDataFrame(turns, TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
+    given, gathered = [], preference.gathered
+    monkeypatch.setattr(preference, "gathered", lambda *a: given.append(a) or gathered(*a))
+    got = [sorted(tuple(r) for r in op5_preference_formatting(spark, str(tmp_path), n).collect()) for n in (preference.ROW_CHARS, 60, 0)]
+    assert len(given) == 3 and len(got[0]) == 40 and got[0] == got[1] == got[2]
