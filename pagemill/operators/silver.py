@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import crypto
@@ -19,7 +21,7 @@ def formatted(elements: DataFrame) -> DataFrame:
     return elements.select("*", only(_shaped(), has_text).alias("formatted_content"))
 
 
-def pages(elements: DataFrame) -> DataFrame:
+def pages(elements: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Pages of an element table, by aggregation.
 
     Elements of one file leave one task of the scan together, so the map-side aggregate
@@ -28,7 +30,7 @@ def pages(elements: DataFrame) -> DataFrame:
     piece = F.struct("element_id", F.col("formatted_content").alias("text"))
     return (
         formatted(elements)
-        .groupBy(*PAGE_KEY)
+        .groupBy(*PAGE_KEY, *keep)
         .agg(
             F.concat_ws("\n\n", F.array_sort(F.collect_list(piece))["text"]).alias("page_content"),
             F.count("*").alias("element_count"),
@@ -77,12 +79,12 @@ def pages_of(docs: DataFrame) -> DataFrame:
     ).withColumns({"extracted_at": F.current_timestamp(), "aggregated_at": F.current_timestamp()})
 
 
-def sealed_pages(clear: DataFrame, key: bytes) -> DataFrame:
+def sealed_pages(clear: DataFrame, key: bytes, keep: Sequence[str] = ()) -> DataFrame:
     """The stored form of pages."""
     return clear.select(
         *PAGE_KEY,
         crypto.seal(F.col("page_content"), key).alias("encrypted_page_content"),
-        "element_count", "element_types", "image_uri", "extracted_at", "aggregated_at",
+        "element_count", "element_types", "image_uri", "extracted_at", "aggregated_at", *keep,
     )
 
 

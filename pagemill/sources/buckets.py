@@ -53,10 +53,11 @@ def read(spark: SparkSession, path: str, schema: str, parts: Sequence[str] | Non
     return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders)
 
 
-def replace(rows: DataFrame, path: str, by: Sequence[str], touched: Sequence[str], batch: int | None = None) -> int:
+def replace(rows: DataFrame, path: str, by: Sequence[str], touched: Sequence[str], batch: int | None = None, dealt: bool = False) -> int:
     """Make ``rows`` all that the touched folders hold; returns the number of the manifest.
 
     A folder that gets no row is left out of the manifest. ``by`` are columns of ``rows``; their values are plain words or numbers.
+    Rows that are ``dealt`` by them already are written as they are.
     """
     spark = rows.sparkSession
     for name in touched:
@@ -65,7 +66,7 @@ def replace(rows: DataFrame, path: str, by: Sequence[str], touched: Sequence[str
     known = manifest(spark, path) or {}
     kept = {p: v for p, v in known.items() if p not in set(touched)}
     if touched:
-        version = versions.write_next(rows.hint("rebalance", *by), f"{path}/data", *by)
+        version = versions.write_next(rows if dealt else rows.hint("rebalance", *by), f"{path}/data", *by)
         schema = rows.schema
         filled = spark.read.schema(schema).parquet(f"{path}/data/version={version}").select(part(by).alias("p")).distinct()
         kept |= {r.p: version for r in filled.collect()}

@@ -81,6 +81,8 @@ def refresh_pages(spark: SparkSession, target: str, key: bytes, into: str) -> No
 
 
 VIEW_BUCKETS = 32
+# Files of a micro-batch whose names are broadcast.
+FEW_FILES = 100_000
 _VIEW_ROWS = f"{PAGE_ROWS}, bucket INT"
 
 
@@ -104,12 +106,26 @@ def renew_pages(batch: DataFrame, number: int, target: str, key: bytes, into: st
         return
     named = stored(batch.select("file_path").distinct().withColumn("bucket", buckets.bucket("file_path", count)), "files")
     touched = [r.p for r in named.select("bucket").distinct().select(buckets.part(["bucket"]).alias("p")).collect()]
-    theirs = spark.read.schema(ELEMENTS).parquet(f"{target}/{ELEMENT_TABLE}").join(named, "file_path", "left_semi")
-    pages = silver.sealed_pages(silver.pages(bronze.unsealed_elements(theirs, key)), key).withColumn("bucket", buckets.bucket("file_path", count))
+    few = named.count() <= FEW_FILES
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(4 * count, "bucket")
+
+    def joined(rows: DataFrame, files: DataFrame, how: str) -> DataFrame:
+        # either side is dealt by bucket at most once, and nothing else is shuffled
+        keys = ["bucket", "file_path"]
+        return dealt(rows.join(F.broadcast(files), keys, how)) if few else dealt(rows).join(dealt(files), keys, how)
+
+    clear = bronze.unsealed_elements(spark.read.schema(ELEMENTS).parquet(f"{target}/{ELEMENT_TABLE}"), key)
+    theirs = joined(clear.withColumn("bucket", buckets.bucket("file_path", count)), named, "left_semi")
+    pages = silver.sealed_pages(silver.pages(theirs, ["bucket"]), key, ["bucket"])
     before = buckets.read(spark, into, _VIEW_ROWS, touched)
     if before is not None:
-        pages = before.join(named, "file_path", "left_anti").select(*pages.columns).unionByName(pages)
-    buckets.replace(pages, into, ["bucket"], touched, number)
+        # told by paths alone whether any page stays
+        others = before.select("file_path", "bucket").distinct().join(named, ["bucket", "file_path"], "left_anti")
+        if not others.isEmpty():
+            pages = joined(before, named, "left_anti").select(*pages.columns).unionByName(pages)
+    buckets.replace(pages, into, ["bucket"], touched, number, dealt=True)
 
 
 def maintained_pages(spark: SparkSession, into: str) -> DataFrame:

@@ -157,3 +157,21 @@ def test_a_maintained_view_equals_the_batch_view(spark, key, tmp_path):
     ingest.renew_pages(spark.read.parquet(f"{target}/{ingest.ELEMENT_TABLE}"), last, target, key, into, 8)
     ingest.maintain_pages(spark, target, key, into, count=8)
     assert {f for f in files_under(into) if "_checkpoint" not in f} == {f for f in before if "_checkpoint" not in f}
+
+
+def test_renewed_pages_are_dealt_once(spark, key, tmp_path, monkeypatch):
+    """Pages go to their buckets before they are sealed; many files in a batch give the same view as few."""
+    target, shown = str(tmp_path / "t"), []
+    rows = [(f"{f}_hr.enc", f"/{f}_hr.enc", "hr", n, "text", f"{f} {n}", None, n // 3, None, None) for f in range(30) for n in range(6)]
+    names = "file_name string, file_path string, document_type string, element_id int, element_type string, content string, description string, page_id int, image_uri string, bbox_json string"
+    clear = spark.createDataFrame(rows, names).withColumn("extracted_at", F.current_timestamp())
+    asked, replace = [], ingest.buckets.replace
+    monkeypatch.setattr(ingest.buckets, "replace", lambda *a, **k: asked.append(k.get("dealt")) or replace(*a, **k))
+    for few, into in ((100, str(tmp_path / "a")), (0, str(tmp_path / "b"))):
+        monkeypatch.setattr(ingest, "FEW_FILES", few)
+        folder = f"{target}{few}"
+        for half in ("element_id % 2 = 0", "element_id % 2 = 1 AND file_name < '2'"):
+            bronze.sealed_elements(clear.filter(half), key).write.mode("append").parquet(f"{folder}/{ingest.ELEMENT_TABLE}")
+            ingest.maintain_pages(spark, folder, key, into, count=4)
+        shown.append(sorted(tuple(r) for r in silver.unsealed_pages(ingest.maintained_pages(spark, into), key).select("file_path", "page_id", "page_content").collect()))
+    assert shown[0] == shown[1] and len(shown[0]) == 60 and asked == [True] * 4
