@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -121,10 +122,16 @@ def sync(
     if changes.isEmpty():
         return versions.latest(spark, f"{path}/manifest")
     touched = [r.p for r in changes.select(F.explode("parts").alias("p")).distinct().collect()]
-    fresh = routed.join(changes.filter("action <> 'delete'").select("chunk_id"), "chunk_id", "left_semi")
-    made = masked_pages(fresh, categories, mask, masked, ("source_hash", "bucket"))
-    same = buckets.read(spark, path, _SYNCED, touched).join(changes.select("chunk_id"), "chunk_id", "left_anti")
-    version = buckets.replace(same.select(*made.columns).unionByName(made), path, _PARTS, touched)
+    # texts are joined to the changes only where there are texts on either side
+    parts_of = []
+    if known:
+        same = buckets.read(spark, path, _SYNCED, touched).join(changes.select("chunk_id"), "chunk_id", "left_anti")
+        parts_of.append(same.select(*GOLD, "source_hash", "bucket"))
+    wanted = changes.filter("action <> 'delete'").select("chunk_id")
+    if not wanted.isEmpty():
+        fresh = routed.join(wanted, "chunk_id", "left_semi") if known else routed.filter("chunk_id IS NOT NULL")
+        parts_of.append(masked_pages(fresh, categories, mask, masked, ("source_hash", "bucket")))
+    version = buckets.replace(reduce(DataFrame.unionByName, parts_of), path, _PARTS, touched)
     versions.write_next(changes.select("chunk_id", "action"), f"{path}/changes")
     buckets.prune(spark, path)
     return version

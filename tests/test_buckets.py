@@ -175,3 +175,16 @@ def test_renewed_pages_are_dealt_once(spark, key, tmp_path, monkeypatch):
             ingest.maintain_pages(spark, folder, key, into, count=4)
         shown.append(sorted(tuple(r) for r in silver.unsealed_pages(ingest.maintained_pages(spark, into), key).select("file_path", "page_id", "page_content").collect()))
     assert shown[0] == shown[1] and len(shown[0]) == 60 and asked == [True] * 4
+
+
+def test_gold_reads_no_text_for_pages_that_only_go(spark, tmp_path):
+    """A run that finds only deleted pages neither masks nor joins the pages that are there."""
+    asked = []
+    rows = [(f"{f}_hr.enc", f"/{f}_hr.enc", "hr", 0, f"text {f}", 1, "text", None) for f in range(20)]
+    pages = spark.createDataFrame(rows, "file_name string, file_path string, document_type string, page_id int, page_content string, element_count long, element_types string, image_uri string")
+    mask = lambda text: asked.append(1) or F.upper(text)
+    for kept, n in ((pages, 20), (pages.filter("file_name < '15'"), None)):
+        gold.sync(kept, str(tmp_path), "s", mask=mask)
+        got = {(r.file_path, r.page_content_masked) for r in gold.published(spark, str(tmp_path)).collect()}
+        assert got == {(r.file_path, r.page_content.upper()) for r in kept.collect()} and len(got) == (n or len(got))
+    assert asked == [1]
