@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.crypto import encrypt_bytes
 from ..functions.text import base_name, decoded
 from ..schemas import FILES
-from ..session import gathered
+from ..session import few_listing_tasks, gathered
 
 # One file is one row. A larger file is a row without content, and the stages after tell so.
 MAX_FILE_BYTES = 512 * 1024 * 1024
+# Files that a folder gets on average, if they are dealt to several: tasks that write into one folder wait for each other.
+FOLDER_FILES = 1000
+# Folders read at once: the driver holds the list of their files.
+LISTED_FOLDERS = 256
 
 
-def read_files(spark: SparkSession, path: str, glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """(path, length, content) of the files. A file over the limit is there with NULL content, which is never read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def read_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """(path, length, content) of the files of one folder or several. A file over the limit is there with NULL content, which is never read."""
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path if isinstance(path, str) else list(path))
     return _limited(files, max_bytes)
 
 
 def _limited(files: DataFrame, max_bytes: int) -> DataFrame:
-    """Two scans with complementary filters on the length, both pushed down; that of the large files reads no content."""
-    whole = files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
-    large = files.filter(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    """Two scans by the listed size, which parts the files before any is opened; that of the large files reads no content."""
+    size = F.col("_metadata.file_size")
+    whole = files.filter(size <= max_bytes).select("path", "length", "content")
+    large = files.filter(size > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
     return gathered(whole).unionByName(gathered(large))
 
 
@@ -64,10 +70,23 @@ def encrypted(files: DataFrame, key: bytes) -> DataFrame:
     ).withColumn("encrypted_bytes", F.octet_length("content").cast("bigint"))
 
 
-def write_files(rows: DataFrame, folder: str) -> DataFrame:
+def folder_of(name: Column, folders: int) -> Column:
+    """The folder that a file is dealt to: by its name, so that a later file of one name replaces the earlier."""
+    return F.lpad(F.pmod(F.crc32(name.cast("binary")), F.lit(folders)).cast("string"), 6, "0")
+
+
+def folder_groups(written: DataFrame, folder: str, folders: int, at_once: int = LISTED_FOLDERS) -> list[list[str]]:
+    """The folders that ``write_files`` has put files into, as many in a group as are to be listed at once."""
+    dealt = written.filter("reason IS NULL").select(folder_of(F.col("name"), folders).alias("part")).distinct()
+    paths = sorted(f"{folder}/{r.part}" for r in dealt.collect())
+    return [paths[at : at + at_once] for at in range(0, len(paths), at_once)]
+
+
+def write_files(rows: DataFrame, folder: str, folders: int | None = None) -> DataFrame:
     """Write ``name, content`` rows as one file each; returns (name, bytes, reason), with a reason for what was not written.
 
-    The folder is taken as Spark takes it: without a scheme it is on the default file system.
+    The folder is taken as Spark takes it: without a scheme it is on the default file system. With ``folders`` the files
+    are dealt to so many in it, see ``folder_of``.
 
     Runs in the tasks, over any file system Arrow can open. A file appears under its name
     only when complete, and a task that is run again replaces it.
@@ -87,24 +106,30 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
             remote, root = fs.FileSystem.from_uri(target)
         root = "/" + root.lstrip("/") if target.startswith("file:") else root
         remote.create_dir(root, recursive=True)
+        made = {""}
         for batch in batches:
-            names = batch.column("name").to_pylist()
+            names, parts = batch.column("name").to_pylist(), batch.column("part").to_pylist()
             sizes, reasons = [], []
-            for name, content in zip(names, batch.column("content"), strict=True):
+            for name, part_folder, content in zip(names, parts, batch.column("content"), strict=True):
                 if not content.is_valid:
                     sizes.append(None)
                     reasons.append("no content")
                     continue
                 data = content.as_buffer()
                 reasons.append(None)
-                part = os.path.join(root, f"_{uuid.uuid4().hex}.part")
+                into = os.path.join(root, part_folder)
+                if part_folder not in made:
+                    remote.create_dir(into, recursive=True)
+                    made.add(part_folder)
+                part = os.path.join(into, f"_{uuid.uuid4().hex}.part")
                 with remote.open_output_stream(part) as out:
                     out.write(data)
-                remote.move(part, os.path.join(root, name))
+                remote.move(part, os.path.join(into, name))
                 sizes.append(data.size)
             yield pa.RecordBatch.from_pydict({"name": names, "bytes": pa.array(sizes, pa.int64()), "reason": pa.array(reasons, pa.string())})
 
-    return rows.select("name", "content").mapInArrow(write, "name string, bytes bigint, reason string")
+    dealt = F.lit("") if folders is None else folder_of(F.col("name"), folders)
+    return rows.select("name", "content", dealt.alias("part")).mapInArrow(write, "name string, bytes bigint, reason string")
 
 
 def qualified(spark: SparkSession, folder: str) -> str:

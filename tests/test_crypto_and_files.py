@@ -1,4 +1,5 @@
 import base64
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from pagemill import session
 from pagemill.functions import crypto, parse
 from pagemill.operators import bronze
+from pagemill.plans import queries
 from pagemill.sources import evalset, files
 
 
@@ -139,3 +141,29 @@ def test_small_files_share_tasks(spark, tmp_path):
     assert found.rdd.getNumPartitions() <= 2 * max(4 * cores, 2_000 // 32 // 32 + 1)
     got = {r.path.rsplit("/", 1)[1]: (r.length, r.content) for r in found.collect()}
     assert got == {f"{n}.enc": (n % 7 + 1, bytearray(b"x" * (n % 7 + 1)) if n % 7 < 6 else None) for n in range(2_000)}
+
+
+def test_files_are_dealt_to_folders_and_read_group_by_group(spark, key, tmp_path):
+    """Tasks that write into one folder wait for each other, and the driver lists a folder whole."""
+    rows = spark.range(300).selectExpr("concat(id % 299, '.enc') AS name", "CAST(concat('body ', id % 299) AS BINARY) AS content")
+    written = files.write_files(rows.unionByName(spark.sql("SELECT 'none.enc' AS name, CAST(NULL AS BINARY) AS content")), str(tmp_path), 7).collect()
+    assert len(written) == 301 and sorted(f.name for f in tmp_path.iterdir()) == [f"{n:06d}" for n in range(7)]
+    done = spark.createDataFrame(written, "name string, bytes bigint, reason string")
+    groups = files.folder_groups(done, str(tmp_path), 7, at_once=3)
+    assert [len(g) for g in groups] == [3, 3, 1]
+    got = [(r.path.rsplit("/", 1)[1], bytes(r.content)) for g in groups for r in files.read_files(spark, g).collect()]
+    assert sorted(got) == sorted((f"{n}.enc", b"body %d" % n) for n in range(299))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2_300])
+def test_encrypted_files_are_found_again_in_all_folders(spark, tmp_path, monkeypatch, n):
+    runs = itertools.count()
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}-{next(runs)}")
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('src', id % 5) AS source", "repeat('a\\n', CAST(id % 4 AS INT)) AS text")
+    docs.write.parquet(f"{tmp_path}/sf/documents.parquet")
+    got = queries.encrypted_files_roundtrip(spark, f"{tmp_path}/sf").collect()
+    assert sorted((r.file_size, r.n_elements) for r in got) == sorted((2 * (k % 4) + 28, k % 4 + 1) for k in range(n))
+    folder = tmp_path / "enc-0"
+    assert not n or sorted(f.name for f in folder.iterdir()) == [f"{k:06d}" for k in range(-(-n // files.FOLDER_FILES))]
+    again = queries.opened_files(spark, str(folder), max(1, -(-n // files.FOLDER_FILES)), session.ephemeral_key(spark), at_once=2)
+    assert sorted(r.file_size for r in again.collect()) == sorted(r.file_size for r in got)
