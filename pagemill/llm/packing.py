@@ -37,10 +37,10 @@ BITS = 10
 BUCKETS = 4096
 SEED = 7
 # Words whose ids a worker remembers, and words looked up at once.
-KNOWN_WORDS = 1_000_000
-SLICE_WORDS = 500_000
-# Bytes of text that a worker gets at once.
-BATCH_BYTES = 4 << 20
+KNOWN_WORDS = 300_000
+SLICE_WORDS = 200_000
+# Bytes of text that a worker gets at once: what it makes of them takes some twenty times as much.
+BATCH_BYTES = 1 << 20
 # ASCII signs that can follow a word as one run; the apostrophe starts contractions and "<" special tokens.
 _SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
@@ -65,6 +65,17 @@ class WordIds:
     def _forget(self) -> None:
         self.code: dict[bytes, int] = {}
         self.start, self.count, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
+        self.again = np.zeros(1024, bool)
+
+    def _forget_rare(self) -> None:
+        """Keep the words that were met again since the last time, unless they fill half the room."""
+        kept = np.flatnonzero(self.again[: len(self.code)])
+        if len(kept) > KNOWN_WORDS // 2:
+            kept = kept[:0]
+        words, counts = list(self.code), self.count[kept]
+        ids = self._gathered(kept, counts)
+        self._forget()
+        self._add([words[n] for n in kept.tolist()], counts, ids)
 
     def _learn(self, words: list[bytes]) -> None:
         """Words of letters before a run of ASCII signs are made of both: the tokenizer parts letters from signs."""
@@ -98,7 +109,7 @@ class WordIds:
 
     def _add(self, words: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
         first, n = len(self.code), len(words)
-        self.start, self.count = _room(self.start, first + n), _room(self.count, first + n)
+        self.start, self.count, self.again = _room(self.start, first + n), _room(self.count, first + n), _room(self.again, first + n)
         self.pool = _room(self.pool, self.used + len(ids))
         self.count[first : first + n] = counts
         self.start[first : first + n] = self.used + np.cumsum(counts) - counts
@@ -136,8 +147,9 @@ class WordIds:
         joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(numbered.dictionary)], numbered.dictionary.cast(pa.large_binary())), pa.scalar(b" ", pa.large_binary()))
         different = joined[0].as_py().split(b" ")
         if len(self.code) + len(different) > KNOWN_WORDS:
-            self._forget()
+            self._forget_rare()
         code = np.fromiter(map(self.code.get, different, repeat(-1)), np.int64, len(different))
+        self.again[code[code >= 0]] = True
         missing = np.flatnonzero(code < 0).tolist()
         if missing:
             self._learn([different[n] for n in missing])

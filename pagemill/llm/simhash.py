@@ -29,13 +29,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import components
-from .common import as_struct, attach, small, stored, tie_break, unnest
+from .common import as_struct, attach, batches_of, small, stored, tie_break, unnest
 
 SEED = 42
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 # Fingerprints of one key that a task compares at once; a key with more is cut into blocks of this size.
 BLOCK = 16_384
+# Bytes of text that a worker gets at once.
+BATCH_BYTES = 1 << 20
 
 # --- fingerprints -------------------------------------------------------------------------
 
@@ -273,7 +275,8 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = MAX_DISTANCE, shingle_words: int = SHINGLE_WORDS, block: int = BLOCK
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (hex), component_id (smallest id that links reach), component_size."""
-    light = stored(fingerprints(docs, F.col(text_col), {"doc_id": F.col(id_col)}, shingle_words))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        light = stored(fingerprints(docs, F.col(text_col), {"doc_id": F.col(id_col)}, shingle_words))
     facts, total = _facts(light, distance, block)
     return attach(light, stored(facts), "fp", "n", total).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size"
@@ -288,7 +291,8 @@ def dedup(
     Rows alone in their component are not shuffled unless the list of the others is too large to ship.
     """
     row_key = {"_id": F.col(id_col), "_hash": F.xxhash64(F.col(text_col))}
-    light = stored(fingerprints(docs, F.col(text_col), {"doc_id": F.col(id_col), **row_key}, shingle_words))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        light = stored(fingerprints(docs, F.col(text_col), {"doc_id": F.col(id_col), **row_key}, shingle_words))
     facts, total = _facts(light, distance, block)
     crowd = attach(light, stored(facts), "fp", "n", total).filter("component_size > 1").select("_id", "_hash", "root").distinct()
     crowd = stored(crowd.withColumnsRenamed({"_id": "_cid", "_hash": "_chash"}))
