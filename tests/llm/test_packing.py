@@ -93,3 +93,17 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sum(r.length for r in got) == sum(len(expected_ids(t)) for _, t in pairs)
     check([r for r in got if r.doc_id == 4] and got, [(4, pairs[4][1])], 2048)
     assert packing.pack(docs(spark, []), PATH).count() == 0
+
+
+def test_full_memory_of_words_keeps_those_met_again(monkeypatch):
+    """A worker serves many stages: what it remembers stays, so it must be little, and the words that come again."""
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 100)
+    words, rare = packing.WordIds(PATH), [" ".join(f"q{turn}x{n}" for n in range(30)) for turn in range(5)]
+    lines = ["the river (again) bank", "the river (again) bank", *rare, "the river (again) bank"]
+    for n, text in enumerate(lines):
+        assert words.ids(text.encode()).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(words.code) <= 100
+        assert n < 1 or b"river" in words.code
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 6)
+    assert words.ids(lines[0].encode()).tolist() == words.tokenizer.encode(lines[0], add_special_tokens=False).ids
+    assert packing.KNOWN_WORDS == 6 and 0 < len(words.code) <= 10
