@@ -18,6 +18,8 @@ MAX_FILE_BYTES = 512 * 1024 * 1024
 FOLDER_FILES = 1000
 # Folders read at once: the driver holds the list of their files.
 LISTED_FOLDERS = 256
+# The same for one stream. What comes into so many folders at a time mostly fits into one micro-batch.
+STREAM_FOLDERS = 24
 
 
 def read_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*.enc", max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
@@ -82,6 +84,20 @@ def folder_groups(written: DataFrame, folder: str, folders: int, at_once: int =
     return [paths[at : at + at_once] for at in range(0, len(paths), at_once)]
 
 
+def folders_for(rows: DataFrame, name: Column) -> int:
+    """Folders for files of these names, so that each gets some ``FOLDER_FILES``; rows of one name are one file."""
+    return max(1, -(-rows.agg(F.approx_count_distinct(name)).first()[0] // FOLDER_FILES))
+
+
+def folder_globs(folder: str, folders: int, at_once: int = STREAM_FOLDERS) -> list[str]:
+    """All folders that ``write_files`` deals to, there yet or not, as one glob for as many as are to be listed at once.
+
+    A stream over each keeps the driver from holding all files: it lists, and remembers, those of its own glob.
+    """
+    names = [f"{n:06d}" for n in range(folders)]
+    return [f"{folder}/{{{','.join(names[at : at + at_once])}}}" for at in range(0, folders, at_once)]
+
+
 def write_files(rows: DataFrame, folder: str, folders: int | None = None) -> DataFrame:
     """Write ``name, content`` rows as one file each; returns (name, bytes, reason), with a reason for what was not written.
 

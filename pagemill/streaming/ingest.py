@@ -9,6 +9,8 @@ log of the one before, so a restart after a lost driver neither drops nor double
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -18,7 +20,7 @@ from ..functions.crypto import encrypt_bytes
 from ..operators import bronze, silver
 from ..operators.bronze import Parser
 from ..schemas import CATEGORIES, ELEMENTS, PAGE_ROWS, PARSED_DOCS
-from ..session import few_listing_tasks, stored
+from ..session import few_listing_tasks, forget, gathered, stored
 from ..sources import buckets, files, versions
 
 DOCS, ELEMENT_TABLE, PAGES = "bronze_docs", "bronze_elements", "silver_pages"
@@ -37,8 +39,11 @@ def append(stream: DataFrame, target: str, name: str) -> None:
 
 def run(writer: DataStreamWriter, spark: SparkSession) -> None:
     """Take what is there, and stop."""
-    with few_listing_tasks(spark):
-        writer.trigger(availableNow=True).start().awaitTermination()
+    try:
+        with few_listing_tasks(spark):
+            writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        forget()
 
 
 def stream_table(spark: SparkSession, target: str, name: str, schema: str, max_files: int = 1000) -> DataFrame:
@@ -61,6 +66,34 @@ def ingest_docs(
     append(bronze.sealed_docs(bronze.parsed(stream, key, parser, labels, on_error), key), target, DOCS)
 
 
+# Streams that run side by side: while the driver prepares a micro-batch of one, the cores work on those of the others.
+STREAMS = 3
+
+
+def share(target: str, n: int) -> str:
+    """Where the tables of one stream lie, if a landing folder is read by several, each over its own folders in it."""
+    return f"{target}/share={n:06d}"
+
+
+def each_share(spark: SparkSession, sources: Sequence[str], target: str, step: Callable[[str, str], None], at_once: int = STREAMS) -> None:
+    """Run ``step(source, its target)`` for all sources, a few at a time. An error ends the run when those that have begun are done."""
+    # set once around the threads, whose settings are the session's
+    with few_listing_tasks(spark), ThreadPoolExecutor(at_once) as pool:
+        done = [pool.submit(step, source, share(target, n)) for n, source in enumerate(sources)]
+        try:
+            for one in done:
+                one.result()
+        except BaseException:
+            pool.shutdown(wait=True, cancel_futures=True)
+            raise
+
+
+def shared_docs(spark: SparkSession, target: str, shares: int) -> DataFrame:
+    """The stored documents of all shares, each as its stream has committed them."""
+    read = lambda n: spark.read.schema(PARSED_DOCS).parquet(f"{share(target, n)}/{DOCS}")
+    return gathered(reduce(DataFrame.unionByName, map(read, range(shares))))
+
+
 def ingest_elements(spark: SparkSession, target: str, key: bytes) -> None:
     """Step 2: new documents to stored elements."""
     docs = stream_table(spark, target, DOCS, PARSED_DOCS)

@@ -1,11 +1,16 @@
 import csv
+import gc
+import itertools
+import weakref
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from pagemill import schemas
 from pagemill.functions import parse
 from pagemill.operators import bronze, gold, modelhook, silver, vectors
-from pagemill.plans import jobs
+from pagemill.plans import jobs, queries
 from pagemill.sources import buckets, files, versions
 from pagemill.streaming import ingest
 from tests.test_parse_and_pages import PDF
@@ -182,3 +187,58 @@ def test_a_run_lists_its_files_in_few_tasks(spark, tmp_path):
     ingest.each_batch(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), str(tmp_path), "out", build)
     assert seen and max(seen) <= cores * 4 and spark.conf.get(name) == before
     assert ingest.read_batches(spark, str(tmp_path), "out").count() == 10
+
+
+def small_shares(spark, monkeypatch, tmp_path, n, max_files):
+    """A table of n texts; their files go 25 to a folder and two folders to a stream. Gets a row for each stream: its path and the files there."""
+    runs, streams = itertools.count(), []
+    globs, read, ingested = files.folder_globs, files.stream_files, ingest.ingest_docs
+
+    def seen(spark, path, **options):
+        streams.append((path, spark.read.format("binaryFile").load(path).count()))
+        return read(spark, path, **options)
+
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}-{next(runs)}")
+    monkeypatch.setattr(files, "FOLDER_FILES", 25)
+    monkeypatch.setattr(files, "folder_globs", lambda folder, folders: globs(folder, folders, 2), raising=False)
+    monkeypatch.setattr(files, "stream_files", seen)
+    monkeypatch.setattr(ingest, "ingest_docs", lambda *a, **b: ingested(*a, **b, max_files=max_files))
+    rows = spark.range(n).selectExpr("id AS doc_id", "concat('src', id % 5) AS source", "repeat('a\\n', CAST(id % 4 AS INT)) AS text")
+    rows.write.parquet(f"{tmp_path}/sf/documents.parquet")
+    return streams
+
+
+def test_no_stream_holds_all_files(spark, tmp_path, monkeypatch):
+    """The driver remembers every file that a stream has seen."""
+    streams = small_shares(spark, monkeypatch, tmp_path, 200, 30)
+    got = queries.stream_files(spark, f"{tmp_path}/sf").collect()
+    assert sorted((r.file_name.split("_")[0], r.file_size, r.n_elements) for r in got) == sorted((str(k), 2 * (k % 4) + 28, k % 4 + 1) for k in range(200))
+    assert len({path for path, _ in streams}) >= 4 and max(there for _, there in streams) <= 100
+
+
+def test_a_finished_stream_is_let_go(spark, tmp_path, monkeypatch):
+    begun, start = [], DataStreamWriter.start
+
+    def seen(writer):
+        query = start(writer)
+        begun.append(weakref.ref(query._jsq))
+        return query
+
+    monkeypatch.setattr(DataStreamWriter, "start", seen)
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    gc.collect()
+    gc.disable()
+    try:
+        ingest.append(spark.readStream.schema("id long").parquet(f"{tmp_path}/in"), str(tmp_path), "out")
+    finally:
+        gc.enable()
+    assert len(begun) == 1 and begun[0]() is None and spark.read.parquet(f"{tmp_path}/out").count() == 10
+
+
+def test_an_error_in_one_share_is_raised(spark, tmp_path):
+    def step(source, into):
+        if source == "b":
+            raise ValueError("share b")
+
+    with pytest.raises(ValueError, match="share b"):
+        ingest.each_share(spark, ["a", "b", "c"], str(tmp_path), step)
