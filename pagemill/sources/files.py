@@ -17,7 +17,7 @@ MAX_FILE_BYTES = 512 * 1024 * 1024
 # Files that a folder gets on average, if they are dealt to several: tasks that write into one folder wait for each other.
 FOLDER_FILES = 1000
 # Folders read at once: the driver holds the list of their files.
-LISTED_FOLDERS = 256
+LISTED_FOLDERS = 64
 # The same for one stream. What comes into so many folders at a time mostly fits into one micro-batch.
 STREAM_FOLDERS = 24
 

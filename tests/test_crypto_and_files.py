@@ -1,5 +1,7 @@
 import base64
+import gc
 import itertools
+import weakref
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +169,38 @@ def test_encrypted_files_are_found_again_in_all_folders(spark, tmp_path, monkeyp
     assert not n or sorted(f.name for f in folder.iterdir()) == [f"{k:06d}" for k in range(-(-n // files.FOLDER_FILES))]
     again = queries.opened_files(spark, str(folder), max(1, -(-n // files.FOLDER_FILES)), session.ephemeral_key(spark), at_once=2)
     assert sorted(r.file_size for r in again.collect()) == sorted(r.file_size for r in got)
+
+
+def test_the_driver_lets_go_of_each_group_of_folders(spark, key, tmp_path, monkeypatch):
+    """A frame holds the list of its files; Python frees it only when it looks for cycles."""
+    rows = spark.range(60).selectExpr("concat(id, '.enc') AS name", "CAST('body' AS BINARY) AS content")
+    sealed = rows.select("name", crypto.encrypt_bytes(F.col("content"), key).alias("content"))
+    files.write_files(sealed, f"{tmp_path}/enc", 6).write.parquet(f"{tmp_path}/enc_written")
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    read, frames, alive = files.read_files, [], []
+
+    def seen(*args):
+        alive.append(sum(f() is not None for f in frames))
+        found = read(*args)
+        frames.append(weakref.ref(found._jdf))
+        return found
+
+    monkeypatch.setattr(queries.files, "read_files", seen)
+    gc.collect()
+    gc.disable()
+    try:
+        got = queries.opened_files(spark, f"{tmp_path}/enc", 6, key, at_once=2)
+    finally:
+        gc.enable()
+    assert got.count() == 60 and alive == [0, 0, 0]
+
+
+CACHED = "spark.sql.hive.filesourcePartitionFileCacheSize"
+
+
+def test_listings_are_not_kept_for_the_session(spark):
+    before = spark.conf.get(CACHED)
+    with session.few_listing_tasks(spark):
+        assert spark.conf.get(CACHED) == "0"
+    assert spark.conf.get(CACHED) == before
+    assert files.LISTED_FOLDERS * files.FOLDER_FILES <= 64_000
