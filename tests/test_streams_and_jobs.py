@@ -216,6 +216,15 @@ def test_no_stream_holds_all_files(spark, tmp_path, monkeypatch):
     assert len({path for path, _ in streams}) >= 4 and max(there for _, there in streams) <= 100
 
 
+def test_what_a_run_has_read_is_archived_by_the_next(spark, tmp_path, monkeypatch):
+    """Whatever their number: with more files than a micro-batch takes, one stream archives most of them in the run that reads them."""
+    streams = small_shares(spark, monkeypatch, tmp_path, 200, 40)
+    got = queries.stream_files_archived(spark, f"{tmp_path}/sf").collect()
+    ids = {int(r.file_name.split("_")[0]): r.left_in_inbox for r in got}
+    assert len(got) == 200 and ids == {k: k % 3 == 2 for k in range(200)}
+    assert len({path for path, _ in streams}) >= 4 and max(there for _, there in streams) <= 100
+
+
 def test_a_finished_stream_is_let_go(spark, tmp_path, monkeypatch):
     begun, start = [], DataStreamWriter.start
 
