@@ -67,7 +67,7 @@ def ingest_docs(
 
 
 # Streams that run side by side: while the driver prepares a micro-batch of one, the cores work on those of the others.
-STREAMS = 3
+STREAMS = 2
 
 
 def share(target: str, n: int) -> str:
